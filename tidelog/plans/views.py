@@ -28,8 +28,13 @@ def fixed_now() -> Column:
     return F.lit(NOW).cast("timestamp")
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    table = spark.read.parquet(path)
+    if not streaming:
+        return table
+    # The pattern also matches a plain file, which a stream cannot list as a folder.
+    return spark.readStream.schema(table.schema).parquet(f"{path}*")
 
 
 _CREATED = f"({_BASE} - make_dt_interval(0, cast(c_custkey % 100000 as int)))"
@@ -51,8 +56,8 @@ _DEVICE_DOCUMENT = {
 }
 
 
-def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer").join(
+def _customers(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    return _table(spark, sf_dir, "customer", streaming).join(
         _table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
 
 
@@ -61,9 +66,9 @@ def device_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customers(spark, sf_dir).selectExpr(*[f"{e} AS {name}" for name, e in _DEVICE_DOCUMENT.items()])
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Events with their time in whole milliseconds."""
-    rows = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    rows = _table(spark, sf_dir, "events", streaming).select("event_id", "ts", "user_id", "event_type", "value")
     return rows.withColumn("ts", zoneless(F.date_trunc("millisecond", "ts"))).withColumn(
         "ts_ms", F.unix_millis(F.col("ts").cast("timestamp")))
 
@@ -106,7 +111,7 @@ def _envelope_text(before: str, after: str, op: str, ts_ms: str) -> Column:
     return F.to_json(F.expr(f"named_struct('before', {before}, 'after', {after}, 'op', {op}, 'ts_ms', {ts_ms})"), _JSON)
 
 
-def device_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def device_topic(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Creates of all devices, with the irregularities a log may hold: missing and bad time
     texts, missing capture times, other operations, missing images, text that is no JSON.
 
@@ -130,10 +135,10 @@ def device_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN c_custkey % 19 = 18 THEN 'u' ELSE 'c' END",
         "if(c_custkey % 13 = 12, NULL, 1706745600000 + c_custkey * 1000)"))
     key = F.col("c_custkey")
-    return as_records(_customers(spark, sf_dir), value, key % 4, key, F.lit(None))
+    return as_records(_customers(spark, sf_dir, streaming), value, key % 4, key, F.lit(None))
 
 
-def reading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reading_topic(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Creates of all readings, with updates and missing images in between."""
     image = _reading_image(reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))",
                            timestamp="if(event_id % 43 = 42, NULL, ts)")
@@ -142,7 +147,7 @@ def reading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"if(event_id % 29 = 28, NULL, {image})",
         "CASE WHEN event_id % 19 = 18 THEN 'u' ELSE 'c' END",
         "if(event_id % 13 = 12, NULL, ts_ms)")
-    rows = _events(spark, sf_dir)
+    rows = _events(spark, sf_dir, streaming)
     return as_records(rows, value, F.col("event_id") % 4, F.col("event_id"), F.col("ts_ms"))
 
 
@@ -168,18 +173,18 @@ DEVICE_OP = """CASE WHEN event_id % 17 = 0 THEN 'd' WHEN event_id % 3 = 0 THEN '
     WHEN event_id % 5 = 0 THEN 'r' ELSE 'c' END"""
 
 
-def device_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def device_change_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """A device change log: one envelope per event, several documents per device id."""
     updated = "if(event_id % 31 = 30, NULL, ts)"
     before = _device_image("value + 1", f"{updated} - make_dt_interval(cast(event_id % 3 AS int))")
     after = _device_image("value", updated)
-    rows = _events(spark, sf_dir).withColumn("op", F.expr(DEVICE_OP))
+    rows = _events(spark, sf_dir, streaming).withColumn("op", F.expr(DEVICE_OP))
     value = _envelope_text(
         f"if(op IN ('u', 'd'), {before}, NULL)", f"if(op = 'd', NULL, {after})", "op", "ts_ms")
     return as_records(rows, value, F.col("event_id") % 4, F.col("event_id"), F.col("ts_ms"))
 
 
-def reading_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reading_change_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """A reading change log: a create per event, an update of every fifth (to another day or
     device at times), a delete of every 23rd."""
     first = _reading_image(reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))")
@@ -197,7 +202,7 @@ def reading_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         {record(0, 'c', none, first)},
         if(event_id % 5 = 0, {record(1, 'u', first, second)}, NULL),
         if(event_id % 23 = 0, {record(2, 'd', last, none)}, NULL)), x -> x IS NOT NULL))""")
-    rows = _events(spark, sf_dir).select("event_id", "ts_ms", records)
+    rows = _events(spark, sf_dir, streaming).select("event_id", "ts_ms", records)
     value = _envelope_text("before", "after", "op", "ts_ms + step")
     return as_records(rows, value, F.col("event_id") % 4, F.col("event_id") * 3 + F.col("step"), F.col("ts_ms"))
 
@@ -210,12 +215,12 @@ def reading_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(reading_change_records(spark, sf_dir), READINGS)
 
 
-def device_change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def device_change_events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """The device changes as a document database publishes them."""
     updated = "if(event_id % 31 = 30, NULL, ts)"
     before = _device_image("value + 1", f"{updated} - make_dt_interval(cast(event_id % 3 AS int))")
     after = _device_image("value", updated)
-    rows = _events(spark, sf_dir).withColumn("op", F.expr(DEVICE_OP))
+    rows = _events(spark, sf_dir, streaming).withColumn("op", F.expr(DEVICE_OP))
     value = F.to_json(F.expr(f"""named_struct(
         'operationType', CASE op WHEN 'd' THEN 'delete' WHEN 'u' THEN 'update'
                                  WHEN 'r' THEN 'replace' ELSE 'insert' END,
