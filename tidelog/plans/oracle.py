@@ -310,3 +310,56 @@ FROM newest s JOIN winners d ON s.device_id = d.device_id WHERE s.row_kind <> '-
          latest("by_day", "reading_id, partition_date", "newest", "reading_id IS NOT NULL")], """
 SELECT _id AS mongo_id, reading_id || '$' || partition_date AS doc_id FROM newest WHERE row_kind <> '-D'"""),
 }
+
+_RAW_READINGS = f"""
+raw_readings AS (
+  SELECT _id AS mongo_id, reading_id, device_id, sensor_value, "timestamp" AS reading_timestamp,
+         {DAY.format('updated_at')} AS partition_date FROM readings)"""
+
+LAKE_ORACLE = {
+    "lake_partition_prune": query([EVENTS, READINGS, _RAW_READINGS], """
+SELECT partition_date, device_id, count(*) AS readings, max(sensor_value) AS highest
+FROM raw_readings WHERE partition_date BETWEEN '2024-01-05' AND '2024-01-07'
+GROUP BY partition_date, device_id"""),
+    "lake_current_state": ORACLE["upsert_readings_by_day"],
+    "lake_top_devices": query([EVENTS, READINGS, DEVICES], f"""
+SELECT d.device_id, d.device_name, count(*) AS readings,
+       count(CASE WHEN {SEVERITY} = 'CRITICAL' THEN 1 END) AS critical_readings
+FROM readings s JOIN devices d ON s.device_id = d.device_id
+GROUP BY d.device_id, d.device_name
+ORDER BY critical_readings DESC, readings DESC, d.device_id LIMIT 10"""),
+    "lake_latest_reading": query([EVENTS, READINGS, _RAW_READINGS], """
+SELECT device_id, reading_id, sensor_value, reading_timestamp FROM raw_readings
+QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY reading_timestamp DESC, reading_id DESC) = 1"""),
+    "lake_silent_devices": query([EVENTS, READINGS, DEVICES], """
+SELECT device_id, device_name, status FROM devices d
+WHERE NOT EXISTS (SELECT 1 FROM readings s WHERE s.device_id = d.device_id)"""),
+}
+
+# Windows are closed up to the watermark: the newest counted reading less ten seconds.
+_CLOSED = """
+SELECT * FROM ({inner}) WHERE window_end <=
+  (SELECT max(date_trunc('milliseconds', ts)) - INTERVAL 10 SECOND FROM events WHERE event_type <> 'signup')"""
+
+STREAM_ORACLE = {
+    "stream_capture_devices": query([EVENTS, DEVICE_CHANGES], f"""
+SELECT CASE WHEN row_kind IN ('-U', '-D') THEN '-D' ELSE '+I' END AS row_kind, ms, pos * 2 + ord AS pos, _id,
+       {", ".join(f"CASE WHEN row_kind <> '-D' THEN {c} END AS {c}" for c in _split(DEVICE_COLUMNS))}
+FROM device_changes"""),
+    "stream_devices_raw": ORACLE["raw_devices_append"],
+    "stream_readings_raw": ORACLE["raw_readings_append"],
+    "stream_enriched_within_ttl": query([EVENTS, DEVICE_CHANGES, READING_ROWS], f"""
+SELECT {joined('s.mongo_id', 'd._id', 's.event_timestamp')},
+       {CDC_TS.format('s.event_timestamp')} AS cdc_ts, {DAY.format('s.event_timestamp')} AS partition_date
+FROM device_changes d JOIN reading_rows s ON d.device_id = s.device_id
+WHERE d.row_kind = '+I' AND d.pos % 3 <> 0 AND d.pos % 5 <> 0 AND s.reading_id IS NOT NULL
+  AND abs(epoch_us(s.event_timestamp) // 1000 - d.ms) <= 7200000"""),
+    "stream_temperature_minute": _CLOSED.format(inner=ORACLE["temperature_minute"]).strip(),
+    "stream_upsert_devices": ORACLE["upsert_devices_by_day"],
+    "stream_upsert_readings": ORACLE["upsert_readings_by_day"],
+    "stream_upsert_enriched": ORACLE["upsert_enriched_by_day"],
+    "stream_search_enriched": f"""
+SELECT * EXCLUDE (_index, action, version) FROM ({ORACLE["search_docs_enriched"]}) WHERE action = 'index'""".strip(),
+}
+
+ORACLE = {**ORACLE, **LAKE_ORACLE, **STREAM_ORACLE}

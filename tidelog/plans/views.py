@@ -88,9 +88,9 @@ def _reading_image(reading_id: str = "concat('R', event_id)", device: str = "use
         'updated_at', {updated})"""
 
 
-def reading_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reading_documents(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """One reading document per event."""
-    return _events(spark, sf_dir).selectExpr(f"inline(array({_reading_image()}))")
+    return _events(spark, sf_dir, streaming).selectExpr(f"inline(array({_reading_image()}))")
 
 
 def flat(documents: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidelog.operators import decode_rows, enrich, tables, windows
 from tidelog.sinks.append import append_stream, numbered_batch_writer
-from tidelog.streaming.queries import WATERMARK_DELAY, Trigger, start
+from tidelog.streaming.queries import WATERMARK_DELAY, Trigger, chosen, start
 
 
 def enriched_stream(devices: DataFrame, readings: DataFrame, ttl_seconds: int = 7200, salts: int = 8) -> DataFrame:
@@ -51,7 +51,7 @@ def temperature_writer(readings: DataFrame, devices: Callable[[], DataFrame], pa
 def start_append_lake(device_records: DataFrame, reading_records: DataFrame, root: str,
                       devices: Callable[[], DataFrame], trigger: Trigger = Trigger(),
                       now: Column | None = None, ttl_seconds: int = 7200, salts: int = 8,
-                      fmt: str = "parquet") -> list[StreamingQuery]:
+                      fmt: str = "parquet", only: Collection[str] | None = None) -> list[StreamingQuery]:
     """Four queries: raw devices, raw readings, their join, and temperature per minute.
 
     ``devices`` opens the device rows for the aggregate, each time anew: usually the
@@ -69,4 +69,5 @@ def start_append_lake(device_records: DataFrame, reading_records: DataFrame, roo
         "temperature_readings_minute": temperature_writer(
             reading_rows, devices, f"{root}/temperature_readings_minute"),
     }
-    return [start(writer, name, f"{root}/_checkpoints", trigger) for name, writer in outputs.items()]
+    return [start(writer, name, f"{root}/_checkpoints", trigger)
+            for name, writer in chosen(outputs, only).items()]

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.changelog import decode_change_events
 from tidelog.schemas import DEVICES, READINGS
 from tidelog.sinks.change_log import log_stream
-from tidelog.streaming.queries import Trigger, start
+from tidelog.streaming.queries import Trigger, chosen, start
 
 
 def start_capture(device_events: DataFrame, reading_events: DataFrame, device_sink: dict, reading_sink: dict,
-                  checkpoints: str, trigger: Trigger = Trigger(), now: Column | None = None) -> list[StreamingQuery]:
+                  checkpoints: str, trigger: Trigger = Trigger(), now: Column | None = None,
+                  only: Collection[str] | None = None) -> list[StreamingQuery]:
     """Write both collections' change events as envelope records.
 
     A sink is ``{"fmt": "kafka", "topic": …, "kafka.bootstrap.servers": …}`` or
     ``{"path": …}``. Delivery to a broker is at least once: consumers order by ``seq``,
     so a repeated record has no effect on keyed tables.
     """
-    jobs = [
-        ("capture_devices", device_events, DEVICES, device_sink),
-        ("capture_readings", reading_events, READINGS, reading_sink),
-    ]
+    outputs = {
+        "capture_devices": (device_events, DEVICES, device_sink),
+        "capture_readings": (reading_events, READINGS, reading_sink),
+    }
     return [
         start(log_stream(decode_change_events(events, payload), payload, now=now, **sink), name, checkpoints, trigger)
-        for name, events, payload, sink in jobs
+        for name, (events, payload, sink) in chosen(outputs, only).items()
     ]

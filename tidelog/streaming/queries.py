@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -30,6 +31,14 @@ def start(writer: DataStreamWriter, name: str, checkpoints: str, trigger: Trigge
     return trigger.on(writer).start()
 
 
+def chosen(outputs: dict, only: Collection[str] | None) -> dict:
+    """The outputs to start: all of them, or those named."""
+    unknown = set(only or ()) - set(outputs)
+    if unknown:
+        raise ValueError(f"no such output: {sorted(unknown)}; there are {sorted(outputs)}")
+    return {name: output for name, output in outputs.items() if only is None or name in only}
+
+
 def finish(queries: list[StreamingQuery]) -> None:
     """Wait until bounded queries have taken all input; the first error is raised."""
     for query in queries:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +13,7 @@ from tidelog.operators.changelog import decode, decode_change_events
 from tidelog.operators.search import documents, search_actions
 from tidelog.sinks.bulk import write_bulk
 from tidelog.streaming.enriched_feed import EnrichedFeed, both_sides
-from tidelog.streaming.queries import Trigger, start
+from tidelog.streaming.queries import Trigger, chosen, start
 from tidelog.streaming.upsert_lake import every
 
 # Index names and joined fields, through the log and directly.
@@ -30,7 +30,8 @@ def file_writer(root: str) -> Writer:
 
 def start_search(spark: SparkSession, device_records: DataFrame, reading_records: DataFrame, root: str,
                  direct: bool = False, writer: Writer | None = None, trigger: Trigger = Trigger(),
-                 now: Column | None = None, compact_every: int | None = 100) -> list[StreamingQuery]:
+                 now: Column | None = None, compact_every: int | None = 100,
+                 only: Collection[str] | None = None) -> list[StreamingQuery]:
     """Three queries: device documents, reading documents, joined documents.
 
     ``direct`` reads a document database's change events instead of envelope records, uses the
@@ -62,5 +63,5 @@ def start_search(spark: SparkSession, device_records: DataFrame, reading_records
     return [
         start(stream.writeStream.outputMode("append").foreachBatch(write), f"search_{name}",
               f"{root}/_checkpoints", trigger)
-        for name, (stream, write) in outputs.items()
+        for name, (stream, write) in chosen(outputs, only).items()
     ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +12,7 @@ from tidelog.operators.changelog import decode
 from tidelog.schemas import DEVICES, KEYED_TABLES, READINGS, table_schema
 from tidelog.sinks.change_table import ChangeTable, change_schema
 from tidelog.streaming.enriched_feed import OUTPUT_SEQ, EnrichedFeed, both_sides
-from tidelog.streaming.queries import Trigger, start
+from tidelog.streaming.queries import Trigger, chosen, start
 
 DEVICE_TABLE, READING_TABLE, ENRICHED_TABLE = KEYED_TABLES
 
@@ -46,7 +46,8 @@ def enriched_batch(feed: EnrichedFeed, table: ChangeTable, compact_every: int |
 
 def start_upsert_lake(spark: SparkSession, device_records: DataFrame, reading_records: DataFrame, root: str,
                       trigger: Trigger = Trigger(), now: Column | None = None,
-                      compact_every: int | None = 100) -> list[StreamingQuery]:
+                      compact_every: int | None = 100,
+                      only: Collection[str] | None = None) -> list[StreamingQuery]:
     """Three queries: devices, readings, and their join.
 
     ``spark`` is the session batches are processed in (with adaptive execution).
@@ -72,5 +73,5 @@ def start_upsert_lake(spark: SparkSession, device_records: DataFrame, reading_re
     }
     return [
         start(stream.writeStream.outputMode("append").foreachBatch(write), name, f"{root}/_checkpoints", trigger)
-        for name, (stream, write) in outputs.items()
+        for name, (stream, write) in chosen(outputs, only).items()
     ]
