@@ -38,20 +38,20 @@ def sequence(ms: Column, deletes: Column, part: Column, pos: Column, ord_: Colum
     )
 
 
-def _typed_image(image: Column, payload: T.StructType) -> Column:
-    """A JSON image with its time texts parsed; NULL stays NULL."""
-    fields = [
+def typed_fields(image: Column, payload: T.StructType) -> list[Column]:
+    """The fields of a JSON image, time texts parsed."""
+    return [
         (parse_time(image[f.name]) if isinstance(f.dataType, T.TimestampNTZType) else image[f.name]).alias(f.name)
         for f in payload
     ]
-    return F.when(image.isNotNull(), F.struct(*fields))
 
 
 def _image_rows(parsed: DataFrame, payload: T.StructType) -> DataFrame:
     """From (op, ms, part, pos, before, after) to one row per image that counts.
 
-    Only the images an operation uses are unfolded, inside one generator: a record
-    is parsed once and no row is shuffled.
+    The images are unfolded by a generator and filtered after it. The filter refers to
+    generated columns, so it stays above the parsing: each record is parsed once, inside
+    generated code, and no row is shuffled.
     """
     op = F.col("op")
     removed = F.struct(
@@ -64,17 +64,10 @@ def _image_rows(parsed: DataFrame, payload: T.StructType) -> DataFrame:
         F.lit(1).alias("ord"),
         F.col("after").alias("image"),
     )
-    kept = F.filter(
-        F.array(removed, added),
-        lambda row: row["row_kind"].isNotNull() & row["image"].isNotNull(),
-    )
-    rows = parsed.select("op", "ms", "part", "pos", F.inline(kept))
-    image = F.col("image")
-    return rows.select(
-        "row_kind",
-        sequence(F.col("ms"), F.col("op") == "d", F.col("part"), F.col("pos"), F.col("ord")).alias("seq"),
-        _typed_image(image, payload).alias("image"),
-    ).select("row_kind", "seq", "image.*")
+    rows = parsed.select("op", "ms", "part", "pos", F.inline(F.array(removed, added))).where(
+        F.col("row_kind").isNotNull() & F.col("image").isNotNull())
+    place = sequence(F.col("ms"), F.col("op") == "d", F.col("part"), F.col("pos"), F.col("ord"))
+    return rows.select("row_kind", place.alias("seq"), *typed_fields(F.col("image"), payload))
 
 
 def decode(records: DataFrame, payload: T.StructType) -> DataFrame:
@@ -159,12 +152,14 @@ def encode(changes: DataFrame, payload: T.StructType) -> DataFrame:
 
 
 def insert_only(parsed: DataFrame) -> DataFrame:
-    """Creates with an image: what the append tables accept.
+    """Creates with an image, from parsed records (column ``change``): what the append tables accept.
 
     Since :func:`encode` writes an update as delete + create, images after an update
-    arrive here as well; a native ``u`` does not.
+    arrive here as well; a native ``u`` does not. The generator keeps the filter above the
+    parser: pushed below it, it would parse every record once more per condition.
     """
-    return parsed.where(F.col("after").isNotNull() & (F.col("op") == "c"))
+    changes = parsed.select(F.inline(F.array("change")))
+    return changes.where(F.col("after").isNotNull() & (F.col("op") == "c"))
 
 
 def latest_changes(changes: DataFrame, keys: list[str]) -> DataFrame:

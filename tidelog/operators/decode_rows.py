@@ -12,13 +12,13 @@ from tidelog.schemas import DEVICES, READINGS, as_text_times
 
 
 def parse_envelope(records: DataFrame, payload: T.StructType) -> DataFrame:
-    """``after``, ``op`` and ``ts_ms`` of each record; the before-image is not parsed."""
+    """``after``, ``op`` and ``ts_ms`` of each record, as struct ``change``; the before-image is not parsed."""
     schema = T.StructType([
         T.StructField("after", as_text_times(payload)),
         T.StructField("op", T.StringType()),
         T.StructField("ts_ms", T.LongType()),
     ])
-    return records.select(F.from_json("value", schema).alias("change")).select("change.*")
+    return records.select(F.from_json("value", schema).alias("change"))
 
 
 def _flatten(creates: DataFrame, payload: T.StructType, now: Column | None) -> DataFrame:

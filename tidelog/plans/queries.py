@@ -42,7 +42,7 @@ def decode_envelope_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_time_from_ts_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = decode_rows.parse_envelope(views.reading_topic(spark, sf_dir), schemas.READINGS)
+    parsed = decode_rows.parse_envelope(views.reading_topic(spark, sf_dir), schemas.READINGS).select("change.*")
     at = fn.event_time(F.col("ts_ms"), views.fixed_now())
     return parsed.select(F.col("after._id").alias("mongo_id"), "op", fn.zoneless(at).alias("event_time"))
 
