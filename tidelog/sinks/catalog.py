@@ -30,5 +30,10 @@ def create_append_tables(spark: SparkSession, root: str, database: str = "iot_db
 
 
 def register_partitions(spark: SparkSession, table: str) -> None:
-    """Let the catalog learn about day folders that were written by path."""
-    spark.catalog.recoverPartitions(table)
+    """Let the catalog learn about day folders that were written by path.
+
+    A folder written by a stream needs none of this: its own commit log lists its files,
+    and the table is then not partitioned as far as the catalog is concerned.
+    """
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
