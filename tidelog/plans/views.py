@@ -73,24 +73,31 @@ def _events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFr
         "ts_ms", F.unix_millis(F.col("ts").cast("timestamp")))
 
 
-def _reading_image(reading_id: str = "concat('R', event_id)", device: str = "user_id",
-                   value: str = "value", timestamp: str = "ts", updated: str = "ts") -> str:
-    return f"""named_struct(
-        '_id', concat('r', event_id),
-        'reading_id', {reading_id},
-        'device_id', cast({device} AS string),
-        'sensor_value', {value},
-        'unit', CASE event_type WHEN 'signup' THEN '%' ELSE '°C' END,
-        'quality', CASE event_type WHEN 'error' THEN 'critical' WHEN 'purchase' THEN 'warning' ELSE 'good' END,
-        'timestamp', {timestamp},
-        'battery_level', cast(event_id % 101 AS int),
-        'created_at', ts,
-        'updated_at', {updated})"""
+def _struct(fields: dict[str, str]) -> str:
+    return f"named_struct({', '.join(f'{name!r}, {e}' for name, e in fields.items())})"
+
+
+def _reading_fields(reading_id: str = "concat('R', event_id)", device: str = "user_id",
+                    value: str = "value", timestamp: str = "ts", updated: str = "ts") -> dict[str, str]:
+    return {
+        "_id": "concat('r', event_id)",
+        "reading_id": reading_id,
+        "device_id": f"cast({device} AS string)",
+        "sensor_value": value,
+        "unit": "CASE event_type WHEN 'signup' THEN '%' ELSE '°C' END",
+        "quality": """CASE event_type WHEN 'error' THEN 'critical' WHEN 'purchase' THEN 'warning'
+            ELSE 'good' END""",
+        "timestamp": timestamp,
+        "battery_level": "cast(event_id % 101 AS int)",
+        "created_at": "ts",
+        "updated_at": updated,
+    }
 
 
 def reading_documents(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """One reading document per event."""
-    return _events(spark, sf_dir, streaming).selectExpr(f"inline(array({_reading_image()}))")
+    rows = _events(spark, sf_dir, streaming)
+    return rows.selectExpr(*[f"{e} AS {name}" for name, e in _reading_fields().items()])
 
 
 def flat(documents: DataFrame) -> DataFrame:
@@ -128,7 +135,7 @@ def device_topic(spark: SparkSession, sf_dir: str, streaming: bool = False) -> D
         "created_at": f"date_format({doc['created_at']}, {text})",
         "updated_at": f"CASE WHEN c_custkey % 8 = 5 THEN NULL ELSE date_format({doc['updated_at']}, {text}) END",
     }
-    image = f"named_struct({', '.join(f'{name!r}, {e}' for name, e in fields.items())})"
+    image = _struct(fields)
     value = F.when(F.col("c_custkey") % 37 == 36, F.lit("garbage")).otherwise(_envelope_text(
         f"if(false, {image}, NULL)",
         f"if(c_custkey % 29 = 28, NULL, {image})",
@@ -140,8 +147,8 @@ def device_topic(spark: SparkSession, sf_dir: str, streaming: bool = False) -> D
 
 def reading_topic(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Creates of all readings, with updates and missing images in between."""
-    image = _reading_image(reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))",
-                           timestamp="if(event_id % 43 = 42, NULL, ts)")
+    image = _struct(_reading_fields(reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))",
+                           timestamp="if(event_id % 43 = 42, NULL, ts)"))
     value = _envelope_text(
         f"if(false, {image}, NULL)",
         f"if(event_id % 29 = 28, NULL, {image})",
@@ -152,21 +159,22 @@ def reading_topic(spark: SparkSession, sf_dir: str, streaming: bool = False) ->
 
 
 def _device_image(threshold: str, updated: str) -> str:
-    return f"""named_struct(
-        '_id', concat('d', user_id, if(event_id % 7 = 3, 'b', 'a')),
-        'device_id', cast(if(event_id % 11 = 10, user_id + 1, user_id) AS string),
-        'device_name', concat('Device ', user_id),
-        'device_type', CASE WHEN user_id % 4 = 3 THEN 'humidity' ELSE 'temperature' END,
-        'location', event_type,
-        'building', concat('B', user_id % 5),
-        'floor_level', cast(user_id % 10 AS int),
-        'area_type', 'technical',
-        'temperature_threshold', {threshold},
-        'installed_date', ts - interval 30 days,
-        'status', 'active',
-        'battery_level', cast(event_id % 101 AS int),
-        'created_at', ts - interval 1 day,
-        'updated_at', {updated})"""
+    return _struct({
+        "_id": "concat('d', user_id, if(event_id % 7 = 3, 'b', 'a'))",
+        "device_id": "cast(if(event_id % 11 = 10, user_id + 1, user_id) AS string)",
+        "device_name": "concat('Device ', user_id)",
+        "device_type": "CASE WHEN user_id % 4 = 3 THEN 'humidity' ELSE 'temperature' END",
+        "location": "event_type",
+        "building": "concat('B', user_id % 5)",
+        "floor_level": "cast(user_id % 10 AS int)",
+        "area_type": "'technical'",
+        "temperature_threshold": threshold,
+        "installed_date": "ts - interval 30 days",
+        "status": "'active'",
+        "battery_level": "cast(event_id % 101 AS int)",
+        "created_at": "ts - interval 1 day",
+        "updated_at": updated,
+    })
 
 
 DEVICE_OP = """CASE WHEN event_id % 17 = 0 THEN 'd' WHEN event_id % 3 = 0 THEN 'u'
@@ -187,11 +195,11 @@ def device_change_records(spark: SparkSession, sf_dir: str, streaming: bool = Fa
 def reading_change_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """A reading change log: a create per event, an update of every fifth (to another day or
     device at times), a delete of every 23rd."""
-    first = _reading_image(reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))")
-    second = _reading_image(
+    first = _struct(_reading_fields(reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))"))
+    second = _struct(_reading_fields(
         reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))",
         device="if(event_id % 15 = 0, user_id + 1, user_id)", value="value + 1",
-        timestamp="ts + make_dt_interval(cast(event_id % 2 AS int))", updated="ts + interval 1 hour")
+        timestamp="ts + make_dt_interval(cast(event_id % 2 AS int))", updated="ts + interval 1 hour"))
     last = f"if(event_id % 5 = 0, {second}, {first})"
 
     def record(step: int, op: str, before: str, after: str) -> str:

@@ -10,9 +10,15 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidelog.schemas import table_schema
 
 
-def write_append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append a batch; each task writes the days it holds."""
-    df.write.format(fmt).mode("append").partitionBy("partition_date").save(path)
+def write_append(df: DataFrame, path: str, fmt: str = "parquet", rebalance: bool = False) -> None:
+    """Append a batch; each task writes the days it holds.
+
+    Change logs arrive roughly in time order, so a task holds few days. Where it holds many,
+    ``rebalance`` brings the rows of a day together first; a large day still becomes several
+    files, and small days share a task.
+    """
+    rows = df.hint("rebalance", "partition_date") if rebalance else df
+    rows.write.format(fmt).mode("append").partitionBy("partition_date").save(path)
 
 
 def append_stream(df: DataFrame, path: str, fmt: str = "parquet") -> DataStreamWriter:
