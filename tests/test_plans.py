@@ -174,29 +174,69 @@ def test_hot_device_costs_its_windows_only(spark):
     assert plan.index("Exchange") < plan.index("partial_count")
 
 
+def keyed(spark, path, **layout):
+    return ChangeTable(spark, str(path), change_schema(schemas.DEVICES), ["_id"], **layout)
+
+
 def test_keyed_table_reads_only_the_buckets_it_needs(spark, tmp_path):
-    table = ChangeTable(spark, str(tmp_path / "t"), change_schema(schemas.DEVICES), ["_id"], buckets=8)
-    table.write_batch(views.device_changes(spark, SF), 0)
-    assert table.compact() == 0 and table.compact() is None
+    table = keyed(spark, tmp_path / "t", buckets=8)
+    changes = views.device_changes(spark, SF)
+    table.write_batch(changes.where("seq.pos < 500"), 0)
+    table.write_batch(changes.where("seq.pos >= 500"), 1)
+    assert table.compact() is None
+    assert table.compact(full=True) == (0, 1) and table.compact(full=True) is None
     wanted = table.buckets_of(spark.createDataFrame([("d1a",)], "_id string"))
-    rows = table.changes(wanted)
-    scan = next(line for line in physical(rows).splitlines() if "FileScan" in line)
+    scan = next(line for line in physical(table.changes(wanted)).splitlines() if "FileScan" in line)
     assert re.search(r"PartitionFilters: \[[^\]]*bucket#", scan)
-    full = changelog.current_state(views.device_changes(spark, SF), ["_id"])
+    full = changelog.current_state(changes, ["_id"])
     assert table.current().exceptAll(full.drop("row_kind", "seq")).count() == 0
     assert table.current().count() == full.count()
 
 
+def test_day_filter_reaches_the_files_of_a_keyed_table(spark, tmp_path):
+    columns, keys = schemas.KEYED_TABLES["iceberg_sensor_readings"]
+    table = ChangeTable(spark, str(tmp_path / "t"), change_schema(schemas.table_schema(columns)), keys, by_day=True)
+    changes = tables.readings_by_day(views.reading_changes(spark, SF), fixed_now())
+    for batch_id in range(3):
+        table.write_batch(changes.where(F.col("seq.pos") % 3 == batch_id), batch_id)
+    table.compact(before=2, full=True)
+    day = table.current().where("partition_date = '2024-01-05'")
+    scans = [line for line in physical(day).splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    assert all(re.search(r"PartitionFilters: \[[^\]]*partition_date#", scan) for scan in scans)
+    full = changelog.current_state(changes, keys).where("partition_date = '2024-01-05'")
+    assert day.count() == full.count() > 0
+
+
+def test_merging_is_tiered(spark, tmp_path):
+    """Twelve batches, fan-out 3: small folders are merged with their likes only."""
+    table = keyed(spark, tmp_path / "t", buckets=1)
+    changes = views.device_changes(spark, SF).where("seq.pos < 60").persist()
+    spans = []
+    for batch_id in range(12):
+        table.write_batch(changes.where(F.col("seq.pos") % 12 == batch_id), batch_id)
+        spans.append(table.compact(fanout=3))
+        if batch_id == 7:
+            table.expire()
+    assert [s for s in spans if s] == [(0, 2), (3, 5), (6, 8), (0, 8), (9, 11)]
+    assert table.current().count() == changelog.current_state(changes, ["_id"]).count()
+    table.compact(full=True)
+    table.expire()
+    assert table._complete() == [(0, 11)]
+    assert table.current().count() == changelog.current_state(changes, ["_id"]).count()
+    changes.unpersist()
+
+
 def test_incomplete_folders_do_not_count(spark, tmp_path):
-    table = ChangeTable(spark, str(tmp_path / "t"), change_schema(schemas.DEVICES), ["_id"], buckets=2)
+    table = keyed(spark, tmp_path / "t", buckets=2)
     assert table.current().count() == 0
     changes = views.device_changes(spark, SF)
     table.write_batch(changes.where("seq.pos < 500"), 0)
     table.write_batch(changes.where("seq.pos >= 500"), 1)
     expected = table.current().count()
-    table.compact()
+    table.compact(full=True)
     table.write_batch(changes, 2)
-    for marker in ("changes/batch_id=2/_SUCCESS", "snapshots/upto=1/_SUCCESS"):
+    for marker in ("changes/batch_id=2/_SUCCESS", "merged/span=0-1/_SUCCESS"):
         (tmp_path / "t" / marker).unlink()
     assert table.current().count() == expected
 

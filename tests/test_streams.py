@@ -146,7 +146,7 @@ def test_upsert_lake_over_several_batches(spark, tmp_path):
 
     def run():
         finish(start_upsert_lake(spark, stream(spark, tmp_path / "devices"), stream(spark, tmp_path / "readings"),
-                                 root, ONCE, fixed_now(), compact_every=2))
+                                 root, ONCE, fixed_now(), compact_every=1))
         return keyed_states(spark, root)
 
     next_day = "2025-01-02 10:05:00.000"
@@ -177,7 +177,7 @@ def test_upsert_lake_over_several_batches(spark, tmp_path):
     for name in states:
         table = keyed_table(spark, root, name)
         before = table.current().count()
-        table.compact()
+        table.compact(full=True)
         table.expire()
         assert table.current().count() == before
 

@@ -82,17 +82,19 @@ def lake_silent_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A keyed table written in two batches with a snapshot in between, then read as a view.
+    """A keyed table written in three batches, two of them merged, then read as a view.
 
     The batches interleave, so some changes arrive after newer ones.
     """
     columns, keys = schemas.KEYED_TABLES["iceberg_sensor_readings"]
-    table = ChangeTable(spark, fresh_dir(spark, "keyed"), change_schema(schemas.table_schema(columns)), keys)
+    table = ChangeTable(spark, fresh_dir(spark, "keyed"), change_schema(schemas.table_schema(columns)), keys,
+                        by_day=True)
     changes = tables.readings_by_day(views.reading_changes(spark, sf_dir), views.fixed_now())
-    even = F.col("seq.pos") % 2 == 0
-    table.write_batch(changes.where(~even), 0)
-    table.compact()
-    table.write_batch(changes.where(even), 1)
+    part = F.col("seq.pos") % 3
+    table.write_batch(changes.where(part == 2), 0)
+    table.write_batch(changes.where(part == 0), 1)
+    table.compact(full=True)
+    table.write_batch(changes.where(part == 1), 2)
     register_lake(spark, table.path, {}, keyed={"iceberg_sensor_readings": table.current()})
     return spark.sql("SELECT * FROM iceberg_sensor_readings")
 

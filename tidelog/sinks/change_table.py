@@ -1,16 +1,21 @@
-"""Keyed tables on plain files: an append-only folder of changes plus snapshots.
+"""Keyed tables on plain files: an append-only folder of changes, merged now and then.
 
 A keyed table must apply updates and deletes, which Parquet files cannot do in place.
 So a batch only ever adds its own folder, and reading keeps the newest change per key::
 
-    <path>/changes/batch_id=<n>/…              what batch n brought
-    <path>/snapshots/upto=<n>/bucket=<b>/…     newest change per key of batches 0..n
+    <path>/changes/batch_id=<n>/…     what batch n brought
+    <path>/merged/span=<a>-<b>/…      newest change per key of batches a..b
 
 * Writing a batch again replaces that batch's folder and nothing else, so a replay after
   a lost executor or driver changes nothing.
-* A batch is written as it comes, without a shuffle. Only a snapshot is laid out by bucket.
+* A batch is written as it comes, without a shuffle.
+* Merging takes neighbours of similar size, so a row is rewritten once per power of the
+  fan-out, not once per merge: the whole table is not copied for a few new batches.
 * A folder counts once its ``_SUCCESS`` file is there: readers see whole batches.
-* Snapshots keep deletes, so that a late older change cannot bring a row back.
+* Merged folders keep deletes, so that a late older change cannot bring a row back.
+
+Tables read by day are laid out by ``partition_date``; tables looked up by key are laid out
+by a hash bucket once merged. Either way a reader opens only the folders it asks for.
 
 A checkpoint and the table it fills belong together: starting a new checkpoint on an old
 table would number batches from 0 again and replace the old ones.
@@ -37,100 +42,141 @@ def change_schema(payload: T.StructType, seq: T.StructType = SEQ) -> T.StructTyp
     return T.StructType([T.StructField("row_kind", T.StringType()), T.StructField("seq", seq), *payload.fields])
 
 
+Span = tuple[int, int]
+
+
 class ChangeTable:
-    """A table keyed by ``keys``; rows with the same ``bucket_by`` share a bucket."""
+    """A table keyed by ``keys``, laid out by day or by buckets of ``bucket_by``."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str],
-                 bucket_by: list[str] | None = None, buckets: int = 64):
+                 by_day: bool = False, bucket_by: list[str] | None = None, buckets: int = 64):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
-        self.bucket_by, self.buckets = bucket_by or keys, buckets
+        self.by_day, self.bucket_by, self.buckets = by_day, bucket_by or keys, buckets
 
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
 
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
         rows = changes.where(F.col("row_kind") != BEFORE_UPDATE).select(*self.schema.fieldNames())
-        rows.write.mode("overwrite").parquet(self._folder("changes", "batch_id", batch_id))
+        writer = rows.write.mode("overwrite")
+        if self.by_day:
+            writer = writer.partitionBy("partition_date")
+        writer.parquet(self._batch_folder(batch_id))
 
     def batch(self, batch_id: int) -> DataFrame:
         """What a batch brought, read back: the batch is not computed a second time."""
-        return self.spark.read.schema(self.schema).parquet(self._folder("changes", "batch_id", batch_id))
+        return self.spark.read.schema(self.schema).parquet(self._batch_folder(batch_id)).select(*self.schema.fieldNames())
 
     def changes(self, buckets: list[int] | None = None, before: int | None = None) -> DataFrame:
-        """The newest snapshot and the batches after it.
+        """All changes, from merged folders where there are any.
 
-        With ``buckets``, only those snapshot folders are read. ``before`` leaves out that
-        batch and later ones.
+        With ``buckets``, only those folders of a bucketed table are read. ``before`` leaves
+        out that batch and later ones.
         """
-        snapshot = max((n for n in self._complete("snapshots", "upto") if before is None or n < before), default=-1)
-        recent = [n for n in self._complete("changes", "batch_id")
-                  if n > snapshot and (before is None or n < before)]
-        parts = []
-        if snapshot >= 0:
-            schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
-            rows = self.spark.read.schema(schema).parquet(self._folder("snapshots", "upto", snapshot))
-            if buckets is not None:
-                rows = rows.where(F.col("bucket").isin(buckets))
-            parts.append(rows.drop("bucket"))
-        if recent:
-            rows = self.spark.read.schema(self.schema).parquet(
-                *[self._folder("changes", "batch_id", n) for n in recent])
-            parts.append(rows if buckets is None else rows.where(self.bucket().isin(buckets)))
-        if not parts:
-            return self.spark.createDataFrame([], self.schema)
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return self._read(self._cover(before), buckets)
 
     def latest(self, buckets: list[int] | None = None, before: int | None = None) -> DataFrame:
         """Newest change per key, deletes included."""
         return latest_changes(self.changes(buckets, before), self.keys)
 
     def current(self, buckets: list[int] | None = None) -> DataFrame:
-        """The table's rows."""
+        """The table's rows. A filter on a key column, such as the day, reaches the files."""
         return self.latest(buckets).where(F.col("row_kind") != DELETE).drop("row_kind", "seq")
 
     def buckets_of(self, rows: DataFrame) -> list[int]:
         """Bucket numbers that occur in ``rows``: at most ``buckets`` values."""
         return [r[0] for r in rows.select(self.bucket().alias("b")).distinct().collect()]
 
-    def compact(self) -> int | None:
-        """Write a snapshot of all complete batches; returns the last batch it covers.
+    def compact(self, before: int | None = None, fanout: int = 10, full: bool = False) -> Span | None:
+        """Merge neighbouring folders; returns the batches the new folder covers, if any.
 
-        ``rebalance`` cuts a large bucket into several files and joins small ones, so one
-        hot bucket does not become one task. Within a file, rows are sorted by key.
+        Folders are merged when ``fanout`` neighbours of about the same size have piled up, or
+        all of them with ``full``. ``rebalance`` cuts a large day or bucket into several files
+        and joins small ones, so a hot one does not become one task.
         """
-        done = self._complete("changes", "batch_id")
-        last = max(done, default=None)
-        if last is None or last in self._complete("snapshots", "upto"):
+        spans = self._cover(before)
+        due = (spans if len(spans) > 1 else []) if full else _due(spans, fanout)
+        if not due:
             return None
-        rows = self.latest().withColumn("bucket", self.bucket())
-        rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *self.keys)
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(self._folder("snapshots", "upto", last))
-        return last
+        rows, by = latest_changes(self._read(due), self.keys), "partition_date"
+        if not self.by_day:
+            rows, by = rows.withColumn("bucket", self.bucket()), "bucket"
+        span = (due[0][0], due[-1][1])
+        rows = rows.hint("rebalance", by).sortWithinPartitions(by, *[k for k in self.keys if k != by])
+        rows.write.mode("overwrite").partitionBy(by).parquet(self._merged_folder(span))
+        return span
 
     def expire(self) -> None:
-        """Remove what the newest snapshot has replaced. Run it when no reader is active."""
-        snapshots = self._complete("snapshots", "upto")
-        newest = max(snapshots, default=-1)
-        for n in snapshots:
-            if n < newest:
-                self._remove("snapshots", "upto", n)
-        for n in self._complete("changes", "batch_id"):
-            if n <= newest:
-                self._remove("changes", "batch_id", n)
-
-    def _folder(self, kind: str, label: str, number: int) -> str:
-        return f"{self.path}/{kind}/{label}={number}"
+        """Remove folders that merged ones have replaced. Run it when no reader is active."""
+        kept = set(self._cover(None))
+        for span in self._complete():
+            if span not in kept:
+                self._remove(self._merged_folder(span) if span[0] < span[1] else self._batch_folder(span[0]))
+
+    def _read(self, spans: list[Span], buckets: list[int] | None = None) -> DataFrame:
+        names = self.schema.fieldNames()
+        batches = [self._batch_folder(a) for a, b in spans if a == b]
+        merged = [self._merged_folder(span) for span in spans if span[0] < span[1]]
+        parts = []
+        if batches:
+            reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/changes")
+            rows = reader.parquet(*batches).select(*names)
+            parts.append(rows if buckets is None else rows.where(self.bucket().isin(buckets)))
+        if merged:
+            schema = self.schema if self.by_day else T.StructType(
+                [*self.schema.fields, T.StructField("bucket", T.IntegerType())])
+            rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/merged").parquet(*merged)
+            parts.append((rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).select(*names))
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def _cover(self, before: int | None) -> list[Span]:
+        """The fewest complete folders that hold every batch, in order."""
+        cover: list[Span] = []
+        for span in sorted(self._complete(), key=lambda s: (s[0], -s[1])):
+            if (before is None or span[1] < before) and (not cover or span[0] > cover[-1][1]):
+                cover.append(span)
+        return cover
+
+    def _batch_folder(self, batch_id: int) -> str:
+        return f"{self.path}/changes/batch_id={batch_id}"
+
+    def _merged_folder(self, span: Span) -> str:
+        return f"{self.path}/merged/span={span[0]}-{span[1]}"
 
     def _file_system(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
-    def _complete(self, kind: str, label: str) -> list[int]:
-        """Numbers of the complete folders. Names only are listed: one per batch or snapshot."""
-        fs, pattern = self._file_system(f"{self.path}/{kind}/{label}=*/_SUCCESS")
-        found = fs.globStatus(pattern) or []
-        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
-
-    def _remove(self, kind: str, label: str, number: int) -> None:
-        fs, path = self._file_system(self._folder(kind, label, number))
+    def _complete(self) -> list[Span]:
+        """Complete folders. Only names are listed: one per batch or merge."""
+        spans = []
+        for pattern in ("changes/batch_id=*", "merged/span=*"):
+            fs, path = self._file_system(f"{self.path}/{pattern}/_SUCCESS")
+            for status in fs.globStatus(path) or []:
+                first, _, last = status.getPath().getParent().getName().split("=")[1].partition("-")
+                spans.append((int(first), int(last or first)))
+        return spans
+
+    def _remove(self, folder: str) -> None:
+        fs, path = self._file_system(folder)
         fs.delete(path, True)
+
+
+def _due(spans: list[Span], fanout: int) -> list[Span]:
+    """The newest neighbours of one size class, once there are ``fanout`` of them.
+
+    Size classes grow by ``fanout``; the smallest class that is due comes first.
+    """
+    def size(span: Span) -> int:
+        return span[1] - span[0] + 1
+
+    low = 1
+    while any(size(span) >= low for span in spans):
+        same = [i for i, span in enumerate(spans) if low <= size(span) < low * fanout]
+        run = [i for i in same if all(j in same for j in range(i, same[-1] + 1))]
+        if len(run) >= fanout:
+            return [spans[i] for i in run]
+        low *= fanout
+    return []

@@ -47,9 +47,11 @@ class EnrichedFeed:
         reading = T.StructType([*READINGS.fields, *([T.StructField("partition_date", T.StringType())] if by_day else [])])
         self.reading_schema = reading
         self.devices = ChangeTable(
-            spark, f"{path}/devices", change_schema(DEVICES), ["device_id", "_id"], ["device_id"], buckets)
+            spark, f"{path}/devices", change_schema(DEVICES), ["device_id", "_id"],
+            bucket_by=["device_id"], buckets=buckets)
         self.readings = ChangeTable(
-            spark, f"{path}/readings", change_schema(reading), reading_keys, ["device_id"], buckets)
+            spark, f"{path}/readings", change_schema(reading), reading_keys,
+            bucket_by=["device_id"], buckets=buckets)
         self.output_columns = [*enrich.JOINED_COLUMNS, *(["partition_date"] if by_day else [])]
 
     def output_schema(self) -> T.StructType:
@@ -81,9 +83,9 @@ class EnrichedFeed:
         seq = F.struct("seq.*", F.lit(batch_id).cast("bigint").alias("batch")).alias("seq")
         return enrich.mark_unmatched(joined).select("row_kind", seq, *self.output_columns)
 
-    def compact(self) -> None:
-        self.devices.compact()
-        self.readings.compact()
+    def compact(self, before: int | None = None) -> None:
+        self.devices.compact(before)
+        self.readings.compact(before)
 
     def _side(self, side: str, payload: T.StructType) -> DataFrame:
         schema = T.StructType([

@@ -30,7 +30,7 @@ def file_writer(root: str) -> Writer:
 
 def start_search(spark: SparkSession, device_records: DataFrame, reading_records: DataFrame, root: str,
                  direct: bool = False, writer: Writer | None = None, trigger: Trigger = Trigger(),
-                 now: Column | None = None, compact_every: int | None = 100,
+                 now: Column | None = None, compact_every: int | None = 10,
                  only: Collection[str] | None = None) -> list[StreamingQuery]:
     """Three queries: device documents, reading documents, joined documents.
 

@@ -22,7 +22,7 @@ def keyed_table(spark: SparkSession, root: str, name: str) -> ChangeTable:
     columns, keys = KEYED_TABLES[name]
     payload = table_schema(columns)
     schema = change_schema(payload, OUTPUT_SEQ) if name == ENRICHED_TABLE else change_schema(payload)
-    return ChangeTable(spark, f"{root.rstrip('/')}/{name}", schema, keys)
+    return ChangeTable(spark, f"{root.rstrip('/')}/{name}", schema, keys, by_day=True)
 
 
 def keyed_states(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -30,23 +30,24 @@ def keyed_states(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: keyed_table(spark, root, name).current() for name in KEYED_TABLES}
 
 
-def every(n: int | None, batch_id: int, job: Callable[[], object]) -> None:
-    """Run a compaction after each n-th batch."""
+def every(n: int | None, batch_id: int, merge: Callable[[int], object]) -> None:
+    """Merge small folders after each n-th batch. The batch itself is left out, because it
+    may run again until its checkpoint is written."""
     if n and batch_id and batch_id % n == 0:
-        job()
+        merge(batch_id)
 
 
 def enriched_batch(feed: EnrichedFeed, table: ChangeTable, compact_every: int | None) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         table.write_batch(feed.apply(batch, batch_id), batch_id)
-        every(compact_every, batch_id, lambda: (feed.compact(), table.compact()))
+        every(compact_every, batch_id, lambda before: (feed.compact(before), table.compact(before)))
 
     return write
 
 
 def start_upsert_lake(spark: SparkSession, device_records: DataFrame, reading_records: DataFrame, root: str,
                       trigger: Trigger = Trigger(), now: Column | None = None,
-                      compact_every: int | None = 100,
+                      compact_every: int | None = 10,
                       only: Collection[str] | None = None) -> list[StreamingQuery]:
     """Three queries: devices, readings, and their join.
 
