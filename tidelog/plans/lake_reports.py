@@ -89,7 +89,9 @@ def lake_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns, keys = schemas.KEYED_TABLES["iceberg_sensor_readings"]
     table = ChangeTable(spark, fresh_dir(spark, "keyed"), change_schema(schemas.table_schema(columns)), keys,
                         by_day=True)
-    changes = tables.readings_by_day(views.reading_changes(spark, sf_dir), views.fixed_now())
+    arrived = f"{table.path}/arrived"
+    tables.readings_by_day(views.reading_changes(spark, sf_dir), views.fixed_now()).write.parquet(arrived)
+    changes = spark.read.schema(table.schema).parquet(arrived)
     part = F.col("seq.pos") % 3
     table.write_batch(changes.where(part == 2), 0)
     table.write_batch(changes.where(part == 0), 1)

@@ -22,11 +22,11 @@ devices AS (
          c_mktsegment AS location, n_name AS building, CAST(c_nationkey % 10 AS INTEGER) AS floor_level,
          CASE c_custkey % 3 WHEN 0 THEN 'technical' WHEN 1 THEN 'storage' ELSE 'office' END AS area_type,
          CAST(25.0 + (c_custkey % 11) * 5.0 AS DOUBLE) AS temperature_threshold,
-         {BASE} - to_hours(CAST(c_custkey % 100000 AS INTEGER)) - INTERVAL 30 DAY AS installed_date,
+         {BASE} - to_hours(CAST(c_custkey % 1000 AS INTEGER)) - INTERVAL 30 DAY AS installed_date,
          CASE WHEN c_custkey % 7 = 0 THEN 'inactive' ELSE 'active' END AS status,
          CAST(c_custkey % 101 AS INTEGER) AS battery_level,
-         {BASE} - to_hours(CAST(c_custkey % 100000 AS INTEGER)) AS created_at,
-         {BASE} - to_hours(CAST(c_custkey % 100000 AS INTEGER))
+         {BASE} - to_hours(CAST(c_custkey % 1000 AS INTEGER)) AS created_at,
+         {BASE} - to_hours(CAST(c_custkey % 1000 AS INTEGER))
            + to_hours(CAST(c_custkey % 48 AS INTEGER)) AS updated_at,
          c_custkey AS k
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""

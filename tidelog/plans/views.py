@@ -37,7 +37,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
     return spark.readStream.schema(table.schema).parquet(f"{path}*")
 
 
-_CREATED = f"({_BASE} - make_dt_interval(0, cast(c_custkey % 100000 as int)))"
+_CREATED = f"({_BASE} - make_dt_interval(0, cast(c_custkey % 1000 as int)))"
 _DEVICE_DOCUMENT = {
     "_id": "concat('d', c_custkey, 'a')",
     "device_id": "cast(c_custkey AS string)",

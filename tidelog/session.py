@@ -48,10 +48,15 @@ def build_session(app_name: str = "tidelog", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, local mode) a folder of our own is used.
+    In local mode (tests) a folder of our own will do where none is named. On a cluster a
+    machine's own temporary folder would be lost with the machine, so a name is required.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    return (configured or f"/tmp/tidelog-{spark.sparkContext.applicationId}").rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"/tmp/tidelog-{spark.sparkContext.applicationId}"
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
