@@ -12,6 +12,7 @@ from tidelog.operators import enrich, tables
 from tidelog.operators.changelog import decode
 from tidelog.schemas import DEVICES, READINGS
 from tidelog.sinks.change_table import ChangeTable
+from tidelog.streaming import enriched_feed
 from tidelog.streaming.enriched_feed import EnrichedFeed, both_sides
 
 DEVICE_IDS = ["dev1", "dev2", "dev3"]
@@ -60,8 +61,9 @@ SEEDS = [int(x) for x in os.environ.get("FEED_SEEDS", "2").split(",")]
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("by_day,with_before", [(True, True), (False, False)])
-def test_feed_equals_definition(spark, tmp_path, seed, by_day, with_before):
+@pytest.mark.parametrize("by_day,with_before,few_ids", [(True, True, 1000), (False, False, 1)])
+def test_feed_equals_definition(spark, tmp_path, monkeypatch, seed, by_day, with_before, few_ids):
+    monkeypatch.setattr(enriched_feed, "FEW_IDS", few_ids)
     keys = ["reading_id", "partition_date"] if by_day else ["_id"]
     feed = EnrichedFeed(spark, str(tmp_path / "state"), keys, enrich.LOG_TIMES, by_day, fixed_now(), buckets=4)
     output_keys = ["reading_id", "partition_date"] if by_day else ["reading_mongo_id"]

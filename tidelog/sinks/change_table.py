@@ -102,7 +102,8 @@ class ChangeTable:
         if not self.by_day:
             rows, by = rows.withColumn("bucket", self.bucket()), "bucket"
         span = (due[0][0], due[-1][1])
-        rows = rows.hint("rebalance", by).sortWithinPartitions(by, *[k for k in self.keys if k != by])
+        order = dict.fromkeys([by, *([] if self.by_day else self.bucket_by), *self.keys])
+        rows = rows.hint("rebalance", by).sortWithinPartitions(*order)
         rows.write.mode("overwrite").partitionBy(by).parquet(self._merged_folder(span))
         return span
 

@@ -3,8 +3,8 @@
 A device change alters every row joined with that device; a reading change alters one row.
 Each batch yields just the rows concerned, found without scanning what did not change:
 
-* Both sides are kept in tables bucketed by ``device_id``. New readings look up the devices
-  in their buckets; a changed device looks up the readings in its bucket.
+* Both sides are kept in tables bucketed and sorted by ``device_id``. New readings look up
+  their devices; a changed device looks up its readings.
 * An output row carries the reading's ``seq`` and the number of the batch that made it, and
   the greatest such pair wins. So a row that was made from an outdated reading loses by
   itself, and no batch has to search for the reading versions it replaces.
@@ -23,6 +23,9 @@ from tidelog.operators.changelog import BEFORE_UPDATE, DELETE, latest_changes
 from tidelog.schemas import DEVICES, READINGS, table_schema
 from tidelog.sinks.change_table import SEQ, ChangeTable, change_schema
 
+# Up to this many device ids are turned into a filter.
+FEW_IDS = 1000
+
 OUTPUT_SEQ = T.StructType([*SEQ.fields, T.StructField("batch", T.LongType())])
 
 
@@ -69,16 +72,13 @@ class EnrichedFeed:
         self.devices.write_batch(self._settle_devices(arrived, batch_id), batch_id)
         fresh = self.readings.batch(batch_id)
         moved = self.devices.batch(batch_id).select("device_id").distinct()
-        moved_buckets = self.devices.buckets_of(moved)
 
-        concerned = fresh
-        if moved_buckets:
-            stored = self.readings.changes(moved_buckets, before=batch_id)
-            concerned = fresh.unionByName(stored.join(moved, "device_id", "left_semi"))
-        concerned = latest_changes(concerned, self.reading_keys)
+        stored = self._rows_of(self.readings, moved, before=batch_id)
+        concerned = latest_changes(fresh.unionByName(stored), self.reading_keys)
 
-        needed = sorted({*moved_buckets, *self.devices.buckets_of(fresh)})
-        known = latest_changes(self.devices.changes(needed), self.devices.keys).where(F.col("row_kind") != DELETE)
+        asked = fresh.select("device_id").union(moved).distinct()
+        known = latest_changes(self._rows_of(self.devices, asked), self.devices.keys)
+        known = known.where(F.col("row_kind") != DELETE)
         joined = enrich.join_winners(concerned, enrich.device_winners(known), self.times, self.now, how="left")
         seq = F.struct("seq.*", F.lit(batch_id).cast("bigint").alias("batch")).alias("seq")
         return enrich.mark_unmatched(joined).select("row_kind", seq, *self.output_columns)
@@ -87,6 +87,20 @@ class EnrichedFeed:
         self.devices.compact(before)
         self.readings.compact(before)
 
+    def _rows_of(self, table: ChangeTable, ids: DataFrame, before: int | None = None) -> DataFrame:
+        """Rows of a table that belong to some device ids, from the buckets of these ids.
+
+        Few ids become a filter that the Parquet reader applies to row groups, which are sorted by
+        device id. More than ``FEW_IDS`` are not brought to the driver: a semi-join selects them.
+        """
+        ids = ids.where(F.col("device_id").isNotNull())
+        few = ids.select("device_id", table.bucket().alias("bucket")).limit(FEW_IDS + 1).collect()
+        if len(few) <= FEW_IDS:
+            rows = table.changes(sorted({r.bucket for r in few}), before)
+            return rows.where(F.col("device_id").isin([r.device_id for r in few]))
+        return table.changes(table.buckets_of(ids), before).join(ids, "device_id", "left_semi").select(
+            *table.schema.fieldNames())
+
     def _side(self, side: str, payload: T.StructType) -> DataFrame:
         schema = T.StructType([
             T.StructField("row_kind", T.StringType()), T.StructField("seq", SEQ), T.StructField(side, payload),

@@ -30,7 +30,7 @@ def file_writer(root: str) -> Writer:
 
 def start_search(spark: SparkSession, device_records: DataFrame, reading_records: DataFrame, root: str,
                  direct: bool = False, writer: Writer | None = None, trigger: Trigger = Trigger(),
-                 now: Column | None = None, compact_every: int | None = 10,
+                 now: Column | None = None, compact_every: int | None = 10, buckets: int = 64,
                  only: Collection[str] | None = None) -> list[StreamingQuery]:
     """Three queries: device documents, reading documents, joined documents.
 
@@ -45,7 +45,7 @@ def start_search(spark: SparkSession, device_records: DataFrame, reading_records
     times = enrich.DIRECT_TIMES if direct else enrich.LOG_TIMES
     send = writer or file_writer(f"{root}/bulk")
     device_changes, reading_changes = read(device_records, schemas.DEVICES), read(reading_records, schemas.READINGS)
-    feed = EnrichedFeed(spark, f"{root}/_enriched_state", ["_id"], times, by_day=False, now=now)
+    feed = EnrichedFeed(spark, f"{root}/_enriched_state", ["_id"], times, by_day=False, now=now, buckets=buckets)
 
     def entity(index: str, doc_fields: list[str]) -> Callable[[DataFrame, int], None]:
         return lambda batch, batch_id: send(documents(batch, index, doc_fields), index, batch_id)

@@ -47,11 +47,12 @@ def enriched_batch(feed: EnrichedFeed, table: ChangeTable, compact_every: int |
 
 def start_upsert_lake(spark: SparkSession, device_records: DataFrame, reading_records: DataFrame, root: str,
                       trigger: Trigger = Trigger(), now: Column | None = None,
-                      compact_every: int | None = 10,
+                      compact_every: int | None = 10, buckets: int = 64,
                       only: Collection[str] | None = None) -> list[StreamingQuery]:
     """Three queries: devices, readings, and their join.
 
-    ``spark`` is the session batches are processed in (with adaptive execution).
+    ``spark`` is the session batches are processed in (with adaptive execution). ``buckets`` is
+    the layout of the join's state: choose it so that one bucket of readings is a moderate read.
     """
     root = root.rstrip("/")
     device_changes, reading_changes = decode(device_records, DEVICES), decode(reading_records, READINGS)
@@ -64,7 +65,7 @@ def start_upsert_lake(spark: SparkSession, device_records: DataFrame, reading_re
         return write
 
     feed = EnrichedFeed(spark, f"{root}/_enriched_state", ["reading_id", "partition_date"],
-                        enrich.LOG_TIMES, by_day=True, now=now)
+                        enrich.LOG_TIMES, by_day=True, now=now, buckets=buckets)
     outputs = {
         DEVICE_TABLE: (tables.devices_by_day(device_changes, now), plain(keyed_table(spark, root, DEVICE_TABLE))),
         READING_TABLE: (tables.readings_by_day(reading_changes, now), plain(keyed_table(spark, root, READING_TABLE))),
