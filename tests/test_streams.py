@@ -11,6 +11,7 @@ from fixtures import (
     change,
     device,
     fixed_now,
+    frame,
     reading,
     record,
     seed_device_records,
@@ -26,7 +27,7 @@ from tidelog.sinks.catalog import create_append_tables, register_partitions
 from tidelog.sinks.merge import merge_sql
 from tidelog.sources.lake import open_table, register_lake
 from tidelog.sources.records import read_change_events, read_records
-from tidelog.streaming import Trigger, start_append_lake, start_capture, start_search, start_upsert_lake
+from tidelog.streaming import Trigger, capture_snapshot, start_append_lake, start_capture, start_search, start_upsert_lake
 from tidelog.streaming.append_lake import temperature_writer
 from tidelog.streaming.queries import finish, start
 from tidelog.streaming.upsert_lake import keyed_states, keyed_table
@@ -137,6 +138,14 @@ def test_capture_writes_what_the_next_job_reads(spark, tmp_path):
     assert [(r.row_kind, r.temperature_threshold) for r in log.orderBy("seq").collect()] == [
         ("+I", 30.0), ("-D", 30.0), ("+I", 40.0)]
     assert changelog.decode(read_records(spark, path=str(tmp_path / "log" / "read")), schemas.READINGS).count() == 1
+    # The collection as it was before: consumers read its folder too, and every change is newer.
+    known = changelog.decode(frame(spark, [record(change("c", None, device(d, threshold=1.0)), 1)
+                                           for d in ("d1", "d2")]), schemas.DEVICES)
+    capture_snapshot(known.drop("row_kind", "seq"), schemas.DEVICES, fixed_now(), path=str(tmp_path / "log" / "snapshot"))
+    both = read_records(spark, path=str(tmp_path / "log" / "snapshot")).unionByName(
+        read_records(spark, path=str(tmp_path / "log" / "dev")))
+    state = changelog.current_state(changelog.decode(both, schemas.DEVICES), ["_id"])
+    assert {r._id: r.temperature_threshold for r in state.collect()} == {"d1": 40.0, "d2": 1.0}
     written = spark.read.json(str(tmp_path / "log" / "dev"))
     assert {r.captured_ms for r in written.collect()} == {1748736000500}
 

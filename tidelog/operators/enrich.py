@@ -35,14 +35,14 @@ JOINED_COLUMNS = [
 ]
 
 
-def _device_side(devices: DataFrame) -> DataFrame:
+def device_columns(devices: DataFrame) -> DataFrame:
     return devices.select(
         *[F.col(source).alias(name) for name, source in _DEVICE_SIDE.items()],
         F.col("event_timestamp").alias("device_event_timestamp"),
     )
 
 
-def _reading_side(readings: DataFrame) -> DataFrame:
+def reading_columns(readings: DataFrame) -> DataFrame:
     return readings.select(
         F.col("device_id"),
         *[F.col(source).alias(name) for name, source in _READING_SIDE.items()],
@@ -50,14 +50,14 @@ def _reading_side(readings: DataFrame) -> DataFrame:
     )
 
 
-def _classified(joined: DataFrame, event_timestamp: Column) -> DataFrame:
+def classified(joined: DataFrame, event_timestamp: Column) -> DataFrame:
     return joined.withColumns({
         "severity": severity(F.col("sensor_value"), F.col("temperature_threshold")),
         "event_timestamp": event_timestamp,
     })
 
 
-def _capture_time() -> Column:
+def capture_time() -> Column:
     return F.coalesce("reading_event_timestamp", "device_event_timestamp")
 
 
@@ -69,9 +69,9 @@ def enrich_append(devices: DataFrame, readings: DataFrame) -> DataFrame:
     big shuffle partition, which adaptive execution splits: nothing follows the join
     that would need its partitioning.
     """
-    known = _reading_side(readings.where(F.col("reading_id").isNotNull()))
-    joined = known.join(_device_side(devices), "device_id", "inner")
-    return _classified(joined, _capture_time()).select(*JOINED_COLUMNS)
+    known = reading_columns(readings.where(F.col("reading_id").isNotNull()))
+    joined = known.join(device_columns(devices), "device_id", "inner")
+    return classified(joined, capture_time()).select(*JOINED_COLUMNS)
 
 
 def devices_with_readings(devices: DataFrame, readings: DataFrame) -> DataFrame:
@@ -81,11 +81,11 @@ def devices_with_readings(devices: DataFrame, readings: DataFrame) -> DataFrame:
     a hot device over tasks, an inner join can. The anti join needs only the distinct
     ids of the readings, which the partial aggregate reduces before the exchange.
     """
-    device_side, reading_side = _device_side(devices), _reading_side(readings)
+    device_side, reading_side = device_columns(devices), reading_columns(readings)
     pairs = reading_side.join(device_side, "device_id", "inner")
     silent = device_side.join(readings.select("device_id").distinct(), "device_id", "left_anti")
     rows = pairs.unionByName(silent, allowMissingColumns=True)
-    return _classified(rows, _capture_time()).select(*JOINED_COLUMNS)
+    return classified(rows, capture_time()).select(*JOINED_COLUMNS)
 
 
 def enrich_within(devices: DataFrame, readings: DataFrame, ttl_seconds: int = 7200) -> DataFrame:
@@ -101,16 +101,16 @@ def enrich_within(devices: DataFrame, readings: DataFrame, ttl_seconds: int = 72
     def slot(c: str) -> Column:
         return F.floor(F.unix_micros(F.col(c)) / F.lit(width))
 
-    device_side = _device_side(devices).withColumn(
+    device_side = device_columns(devices).withColumn(
         "slot", F.explode(F.transform(
             F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda step: slot("device_event_timestamp") + step)),
     )
-    reading_side = _reading_side(readings.where(F.col("reading_id").isNotNull())).withColumn(
+    reading_side = reading_columns(readings.where(F.col("reading_id").isNotNull())).withColumn(
         "slot", slot("reading_event_timestamp"),
     )
     gap = F.abs(F.unix_micros("reading_event_timestamp") - F.unix_micros("device_event_timestamp"))
     joined = reading_side.join(device_side, ["device_id", "slot"], "inner").where(gap <= width)
-    return _classified(joined, _capture_time()).select(*JOINED_COLUMNS)
+    return classified(joined, capture_time()).select(*JOINED_COLUMNS)
 
 
 def payload_event_time(columns: list[str], now: Column | None) -> Column:

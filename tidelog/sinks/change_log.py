@@ -36,3 +36,10 @@ def log_stream(changes: DataFrame, payload: T.StructType, fmt: str = "json",
     """Write a change stream: ``kafka`` with broker options, or a directory with ``path``."""
     rows = broker_rows(changes, payload, now) if fmt == "kafka" else file_rows(changes, payload, now)
     return rows.writeStream.format(fmt).outputMode("append").options(**options)
+
+
+def log_batch(changes: DataFrame, payload: T.StructType, fmt: str = "json",
+              now: Column | None = None, **options: str) -> None:
+    """Write a bounded changelog the same way, in one go."""
+    rows = broker_rows(changes, payload, now) if fmt == "kafka" else file_rows(changes, payload, now)
+    rows.write.format(fmt).mode("append").options(**options).save()

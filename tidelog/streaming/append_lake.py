@@ -20,9 +20,9 @@ def enriched_stream(devices: DataFrame, readings: DataFrame, ttl_seconds: int =
     joins are not re-planned at run time, so the key is salted: each reading goes to one of
     ``salts`` copies of its device, and a hot device's readings are held by as many tasks.
     """
-    device_side = enrich._device_side(devices.withWatermark("event_timestamp", WATERMARK_DELAY)).withColumn(
+    device_side = enrich.device_columns(devices.withWatermark("event_timestamp", WATERMARK_DELAY)).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    reading_side = enrich._reading_side(
+    reading_side = enrich.reading_columns(
         readings.where(F.col("reading_id").isNotNull()).withWatermark("event_timestamp", WATERMARK_DELAY),
     ).withColumn("salt", F.pmod(F.xxhash64("reading_mongo_id", "reading_id"), F.lit(salts)).cast("int"))
     d, s = device_side.alias("d"), reading_side.alias("s")
@@ -32,7 +32,7 @@ def enriched_stream(devices: DataFrame, readings: DataFrame, ttl_seconds: int =
         & (F.col("s.reading_event_timestamp") >= F.col("d.device_event_timestamp") - gap)
         & (F.col("s.reading_event_timestamp") <= F.col("d.device_event_timestamp") + gap)
     ), "inner").select("d.*", *[F.col(f"s.{c}").alias(c) for c in reading_side.columns if c not in ("device_id", "salt")])
-    return enrich._classified(joined, enrich._capture_time()).select(*enrich.JOINED_COLUMNS)
+    return enrich.classified(joined, enrich.capture_time()).select(*enrich.JOINED_COLUMNS)
 
 
 def temperature_writer(readings: DataFrame, devices: Callable[[], DataFrame], path: str,

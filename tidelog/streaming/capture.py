@@ -5,14 +5,25 @@ from __future__ import annotations
 from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators.changelog import decode_change_events
+from tidelog.operators.changelog import decode_change_events, snapshot
 from tidelog.schemas import DEVICES, READINGS
-from tidelog.sinks.change_log import log_stream
+from tidelog.sinks.change_log import log_batch, log_stream
 from tidelog.streaming.queries import Trigger, chosen, start
 
 
+def capture_snapshot(documents: DataFrame, payload: T.StructType, now: Column | None = None, **sink: str) -> None:
+    """Write a whole collection as creates that precede every change: the *initial* start mode.
+
+    Open the change stream first, then take the snapshot: a change that falls in between is in both,
+    and the greater ``seq`` of the change decides. A directory written by a stream shows only that
+    stream's files, so in files the snapshot gets a folder of its own, and consumers read both.
+    """
+    log_batch(snapshot(documents, payload), payload, now=now, **sink)
+
+
 def start_capture(device_events: DataFrame, reading_events: DataFrame, device_sink: dict, reading_sink: dict,
                   checkpoints: str, trigger: Trigger = Trigger(), now: Column | None = None,
                   only: Collection[str] | None = None) -> list[StreamingQuery]:
