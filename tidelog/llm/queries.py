@@ -9,7 +9,19 @@ from tidelog.llm.chat import CHAT_SQL, format_conversations
 from tidelog.llm.common import table
 from tidelog.llm.licenses import scan_licenses
 from tidelog.llm.mixing import MIX_SQL, by_position, curriculum_mix
+from tidelog.llm.pages import extract_main_text
+from tidelog.llm.secrets import scan_secrets
 from tidelog.llm.simhash import simhash_components
+from tidelog.llm.toxicity import fit_on, held_out, score_toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its score; the model is fitted on labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_on(docs, table(spark, sf_dir, "labels"))
+    score = F.col("__toxicity")
+    return score_toxicity(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,11 +31,21 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its main text."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix takes from it."""
     return by_position(curriculum_mix(table(spark, sf_dir, "documents")))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate in the documents, judged."""
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every maximal conversation, rendered."""
     return format_conversations(table(spark, sf_dir, "conversations"))
@@ -34,7 +56,9 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_dedup, op4_source_mixing, op7_chat_formatting, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_simhash_dedup, op3_html_extraction, op4_source_mixing, op6_secret_scan, op7_chat_formatting,
+    op10_license_scan)}
 ORACLE = {
     "op4_source_mixing": MIX_SQL.format(docs="documents"),
     "op7_chat_formatting": CHAT_SQL,
