@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.chat import CHAT_SQL, format_conversations
 from tidelog.llm.common import table
+from tidelog.llm.decontaminate import DECONTAMINATE_SQL, contaminated
 from tidelog.llm.licenses import scan_licenses
 from tidelog.llm.mixing import MIX_SQL, by_position, curriculum_mix
 from tidelog.llm.pages import extract_main_text
@@ -41,6 +42,12 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_position(curriculum_mix(table(spark, sf_dir, "documents")))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a benchmark item in it, and how similar the passage is."""
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("key").alias("doc_id"), "item_id", "similarity")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate in the documents, judged."""
     return scan_secrets(table(spark, sf_dir, "documents"))
@@ -57,9 +64,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_simhash_dedup, op3_html_extraction, op4_source_mixing, op6_secret_scan, op7_chat_formatting,
+    op1_toxicity, op2_simhash_dedup, op3_html_extraction, op4_source_mixing, op5_decontamination, op6_secret_scan, op7_chat_formatting,
     op10_license_scan)}
 ORACLE = {
     "op4_source_mixing": MIX_SQL.format(docs="documents"),
+    "op5_decontamination": DECONTAMINATE_SQL.replace("{docs}", "documents"),
     "op7_chat_formatting": CHAT_SQL,
 }
