@@ -10,6 +10,7 @@ from tidelog.llm.common import table
 from tidelog.llm.decontaminate import DECONTAMINATE_SQL, contaminated
 from tidelog.llm.licenses import scan_licenses
 from tidelog.llm.mixing import MIX_SQL, by_position, curriculum_mix
+from tidelog.llm.neighbours import vector_links
 from tidelog.llm.pages import extract_main_text
 from tidelog.llm.secrets import scan_secrets
 from tidelog.llm.simhash import simhash_components
@@ -58,6 +59,11 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links and the least id it can be reached from."""
+    return vector_links(table(spark, sf_dir, "embeddings"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every license match in the documents."""
     return scan_licenses(table(spark, sf_dir, "documents"))
@@ -65,7 +71,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_simhash_dedup, op3_html_extraction, op4_source_mixing, op5_decontamination, op6_secret_scan, op7_chat_formatting,
-    op10_license_scan)}
+    op9_embedding_dedup, op10_license_scan)}
 ORACLE = {
     "op4_source_mixing": MIX_SQL.format(docs="documents"),
     "op5_decontamination": DECONTAMINATE_SQL.replace("{docs}", "documents"),
