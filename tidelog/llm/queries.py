@@ -14,6 +14,7 @@ from tidelog.llm.neighbours import vector_links
 from tidelog.llm.pages import extract_main_text
 from tidelog.llm.secrets import scan_secrets
 from tidelog.llm.simhash import simhash_components
+from tidelog.llm.substrings import remove_repeats
 from tidelog.llm.toxicity import fit_on, held_out, score_toxicity
 
 
@@ -59,6 +60,12 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_conversations(table(spark, sf_dir, "conversations"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 400 bytes that also start elsewhere, as a digest."""
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its links and the least id it can be reached from."""
     return vector_links(table(spark, sf_dir, "embeddings"))
@@ -71,7 +78,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_simhash_dedup, op3_html_extraction, op4_source_mixing, op5_decontamination, op6_secret_scan, op7_chat_formatting,
-    op9_embedding_dedup, op10_license_scan)}
+    op8_suffix_array_dedup, op9_embedding_dedup, op10_license_scan)}
 ORACLE = {
     "op4_source_mixing": MIX_SQL.format(docs="documents"),
     "op5_decontamination": DECONTAMINATE_SQL.replace("{docs}", "documents"),
