@@ -1,9 +1,8 @@
-"""Repeated substrings across documents: suffix arrays by two-stage sorting over the places where a repeat can start."""
+"""Repeated substrings across documents: suffixes sorted in two stages at the places where a repeat can start."""
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,75 +51,81 @@ def _context(data: bytes, at: int, length: int) -> tuple[int, int]:
     return min(at, length - GRAM), min(length, len(data) - at)
 
 
-def two_stage_suffix_array(text: bytes, depth: int) -> list[int]:
-    """Suffixes in order of their first ``depth`` bytes.
+def _common_prefixes(right: np.ndarray) -> np.ndarray:
+    """Of each row with the row before it; 0 for the first."""
+    out = np.zeros(len(right), np.int16)
+    for at in range(1, len(right), 4096):
+        differ = right[at:at + 4096] != right[at - 1:at - 1 + len(right[at:at + 4096])]
+        out[at:at + 4096] = np.where(differ.any(1), differ.argmax(1), right.shape[1])
+    return out
 
-    Only suffixes smaller than their successor are sorted; one scan of the buckets from the left puts every other suffix in
-    place, since its successor comes before it.
-    """
-    n = len(text)
-    if not n:
-        return []
-    codes = np.frombuffer(text, np.uint8).astype(np.int16)
-    change = np.flatnonzero(codes[1:] != codes[:-1])  # last place of each run
-    after = np.searchsorted(change, np.arange(n))
-    following = np.where(after < len(change), codes[np.minimum(change[np.minimum(after, max(0, len(change) - 1))] + 1, n - 1)] if len(change) else -1, -1)
-    smaller = following > codes
-    direct = sorted(np.flatnonzero(smaller).tolist(), key=lambda i: text[i:i + depth])
-    counts = np.bincount(codes, minlength=256)
-    ends = np.cumsum(counts)
-    heads = (ends - counts).tolist()
-    order = [-1] * n
-    sizes = np.bincount(codes[smaller], minlength=256)
-    at = 0
-    for c in np.flatnonzero(sizes):
-        order[ends[c] - sizes[c]:ends[c]] = direct[at:at + sizes[c]]
-        at += int(sizes[c])
-    late = (~smaller).tolist()
-    order[heads[text[n - 1]]] = n - 1  # the last suffix: its successor is empty
-    heads[text[n - 1]] += 1
-    for i in range(n):
-        j = order[i] - 1
-        if j >= 0 and late[j]:
-            c = text[j]
-            order[heads[c]] = j
-            heads[c] += 1
-    return order
+
+def _range_minima(values: np.ndarray) -> list[np.ndarray]:
+    tables, step = [values], 1
+    while 2 * step <= len(values):
+        last = tables[-1]
+        tables.append(np.minimum(last[:len(last) - step], last[step:]))
+        step *= 2
+    return tables
 
 
 def repeated_starts(contexts: list[tuple[int, int, bytes]], length: int = LENGTH) -> list[list[int]]:
     """``contexts`` (group, bytes left of the anchor, data): per context the starts, counted from the anchor, of strings of ``length``
-    that another context of its group has at the same start."""
-    text, owner, base, at = b"\0".join(c[2] for c in contexts) + b"\0", [], [], 0
-    valid = np.zeros(len(text), bool)
-    for k, (_, _, data) in enumerate(contexts):
-        base.append(at)
-        owner += [k] * (len(data) + 1)
-        valid[at:at + max(0, len(data) - length + 1)] = True
-        at += len(data) + 1
-    ok = valid.tolist()
-    order = [i for i in two_stage_suffix_array(text, length + 1) if ok[i]]
+    that another context of its group has at the same start.
+
+    Two-stage sorting: only the suffixes that start at an anchor are sorted directly. Those one byte further left follow from them by one stable pass
+    over the buckets of their first byte, those two bytes left from these, and so on; suffixes that no other one agrees
+    with up to its anchor are left behind. The common prefix of neighbours is what they share before the anchor plus a range minimum
+    over the common prefixes of the suffixes sorted directly.
+    """
+    m = len(contexts)
     found: list[list[int]] = [[] for _ in contexts]
-    run: list[int] = []
-
-    def settle() -> None:
-        places = [(contexts[owner[i]][0], i - base[owner[i]] - contexts[owner[i]][1]) for i in run]
-        shared = Counter(places)
-        for i, place in zip(run, places):
-            if shared[place] > 1:
-                found[owner[i]].append(place[1])
-
-    before = None
-    for i in order:  # common prefixes of neighbours: as long as a string, or the run ends
-        here = text[i:i + length]
-        if here == before:
-            run.append(i)
-        else:
-            if len(run) > 1:
-                settle()
-            run, before = [i], here
-    if len(run) > 1:
-        settle()
+    if m < 2:
+        return found
+    first: dict[int, int] = {}
+    group = np.array([first.setdefault(c[0], len(first)) for c in contexts])
+    lo = np.array([c[1] for c in contexts])
+    hi = np.array([len(c[2]) - c[1] for c in contexts])
+    right = np.frombuffer(b"".join(c[2][c[1]:].ljust(length, b"\0") for c in contexts), np.uint8).reshape(m, length)
+    left = np.ascontiguousarray(np.frombuffer(b"".join(c[2][:c[1]].rjust(length, b"\0") for c in contexts), np.uint8).reshape(m, length).T[::-1])
+    rows = [r.tobytes() for r in right]
+    order = np.array(sorted(range(m), key=lambda i: (group[i], rows[i])))
+    rank = np.empty(m, np.int64)
+    rank[order] = np.arange(m)
+    minima = _range_minima(_common_prefixes(right[order]))
+    label = group.copy()  # contexts with one label agree from the start to the anchor
+    logs = np.zeros(m + 1, np.int64)
+    logs[2:] = np.floor(np.log2(np.arange(2, m + 1))).astype(np.int64)
+    for k in range(length - GRAM + 1):
+        if k:
+            order = order[lo[order] >= k]
+            order = order[np.argsort(left[k - 1][order], kind="stable")]
+            order = order[np.argsort(group[order].astype(np.uint16) if len(first) < 1 << 16 else group[order], kind="stable")]
+        if len(order) < 2:
+            break
+        own = label[order] if not k else label[order] * 256 + left[k - 1][order]
+        new = np.r_[True, own[1:] != own[:-1]]
+        named = np.cumsum(new) - 1
+        label[order] = named
+        keep = np.bincount(named)[named] > 1
+        order, new, named = order[keep], new[keep], named[keep]
+        if len(order) < 2:
+            break
+        a, b = rank[order[:-1]] + 1, rank[order[1:]]
+        joined = np.zeros(len(order), bool)
+        same = np.flatnonzero(~new[1:])
+        span = logs[b[same] - a[same] + 1]
+        low = np.empty(len(same), np.int16)
+        for size in np.unique(span):
+            at = span == size
+            table = minima[size]
+            low[at] = np.minimum(table[a[same[at]]], table[b[same[at]] - (1 << int(size)) + 1])
+        joined[same + 1] = low >= length - k
+        run = np.cumsum(~joined) - 1
+        able = hi[order] >= length - k
+        hit = able & (np.bincount(run, able)[run] > 1)
+        for i in order[hit].tolist():
+            found[i].append(-k)
     return found
 
 
@@ -141,12 +146,12 @@ def _bytes_of(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 18, crowd: int = 2000) -> DataFrame:
+def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, crowd: int = 20_000) -> DataFrame:
     """``digest, spans``: per text with any, the byte spans covered by a string of ``length`` bytes that also starts elsewhere.
 
     Anchors are bytes picked by content (one in about 170), so two equal strings have the same ones. Every anchor is keyed by its 32 bytes and by its
     context, all that strings holding it can reach: in a context that occurs twice every string is repeated, and
-    one whose 32 bytes occur once has no repeated string. What is left, different contexts around equal bytes, goes to suffix arrays, a batch of whole
+    one whose 32 bytes occur once has no repeated string. What is left, different contexts around equal bytes, goes to suffix sorting, a batch of whole
     groups at a time. Groups of more than ``crowd`` contexts, which might not fit a task, count the hashes of their strings instead.
     """
     mine = docs.select(F.coalesce("doc_id", F.lit(-1)).cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
