@@ -146,7 +146,7 @@ def _bytes_of(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, crowd: int = 20_000) -> DataFrame:
+def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, crowd: int = 60_000) -> DataFrame:
     """``digest, spans``: per text with any, the byte spans covered by a string of ``length`` bytes that also starts elsewhere.
 
     Anchors are bytes picked by content (one in about 170), so two equal strings have the same ones. Every anchor is keyed by its 32 bytes and by its
@@ -176,17 +176,14 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, c
 
     columns = ["doc", "digest", "at", "gram", "c1", "c2", "lo", "hi"]
     spots = mine.mapInPandas(find, "doc long, digest binary, at int, gram long, c1 long, c2 long, lo int, hi int")
-    # Copies of a text have equal anchors: one row for all of them.
-    spots = stored(spots.groupBy("digest", "at", "gram", "c1", "c2", "lo", "hi").agg(F.count("*").alias("n"), F.min("doc").alias("doc")), "anchors")
-    context = ["gram", "c1", "c2"]
+    spots = stored(spots, "anchors")
+    context = ["c1", "c2"]
     contexts = stored(spots.groupBy(*context).agg(
-        F.sum("n").alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.min(F.struct("digest", "doc", "at")).alias("where")), "contexts")
+        F.count("*").alias("n"), F.first("gram").alias("gram"), F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.min(F.struct("digest", "doc", "at")).alias("where")), "contexts")
     groups = stored(contexts.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1"), "groups")
     whole = contexts.where(F.col("n") > 1).where(F.col("hi") + F.col("lo") >= length).select(
         *context, F.array(F.struct((-F.col("lo")).alias("a"), (F.col("hi") - length).alias("b"))).cast(_RANGES).alias("ranges"))
-    wanted = (
-        contexts.join(groups, "gram").where(F.col("lo") + F.col("hi") >= length)
-        .groupBy("where.digest", "where.doc").agg(F.collect_list(F.struct(F.col("where.at").alias("at"), "gram", "c1", "c2", "n", "members")).alias("list")))
+    open_ones = contexts.where(F.col("lo") + F.col("hi") >= length).join(groups, "gram")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["gram", "c1", "c2", "n", "members", "lo", "data"]
@@ -205,17 +202,22 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, c
                 yield pd.DataFrame(out, columns=names)
 
     keyed = mine.select("doc", "text", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"))
-    cuts = keyed.join(wanted, ["digest", "doc"]).select("text", "list").mapInPandas(
-        cut, "gram long, c1 long, c2 long, n long, members long, lo int, data binary").dropDuplicates(context)
-    cuts = stored(cuts, "open-contexts")
+
+    def cuts(some: DataFrame) -> DataFrame:
+        """The bytes of contexts, from one document that holds them."""
+        wanted = some.groupBy("where.digest", "where.doc").agg(
+            F.collect_list(F.struct(F.col("where.at").alias("at"), "gram", "c1", "c2", "n", "members")).alias("list"))
+        return keyed.join(wanted, ["digest", "doc"]).select("text", "list").mapInPandas(
+            cut, "gram long, c1 long, c2 long, n long, members long, lo int, data binary")
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple] = []
         size = 0
 
         def done() -> pd.DataFrame:
-            starts = repeated_starts([(r[0], r[3], r[4]) for r in rows], length)
-            kept = [(r[0], r[1], r[2], _ranges(s)) for r, s in zip(rows, starts) if s and r[5] == 1]
+            once = list({(r[1], r[2]): r for r in rows}.values())  # repeated rows of the table bring a context again
+            starts = repeated_starts([(r[0], r[3], r[4]) for r in once], length)
+            kept = [(r[1], r[2], _ranges(s)) for r, s in zip(once, starts) if s and r[5] == 1]
             return pd.DataFrame(kept, columns=[*context, "ranges"])
 
         for frame in batches:
@@ -230,26 +232,27 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, c
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            for gram, c1, c2, lo, data in zip(frame["gram"], frame["c1"], frame["c2"], frame["lo"], frame["data"]):
-                hashes = [xxhash.xxh3_128_intdigest(data[i:i + length]) for i in range(len(data) - length + 1)]
-                yield pd.DataFrame({"gram": gram, "c1": c1, "c2": c2, "start": np.arange(len(hashes)) - lo,
-                                    "h1": [(h >> 64) - (1 << 63) for h in hashes], "h2": [(h & ((1 << 64) - 1)) - (1 << 63) for h in hashes]})
-
-    small = cuts.where(F.col("members") <= crowd).repartition("gram").sortWithinPartitions("gram")
-    arrays = small.mapInPandas(sort, f"gram long, c1 long, c2 long, ranges {_RANGES}")
-    if not groups.where(F.col("members") > crowd).isEmpty():
-        every = cuts.where(F.col("members") > crowd).mapInPandas(strings, "gram long, c1 long, c2 long, start int, h1 long, h2 long")
-        every = stored(every, "strings")
-        same = ["gram", "start", "h1", "h2"]
-        again = every.groupBy(*same).count().where("count > 1").drop("count")
-        hits = every.join(again, same).groupBy(*context).agg(F.collect_list("start").alias("starts"))
+            for c1, c2, lo, data in zip(frame["c1"], frame["c2"], frame["lo"], frame["data"]):
+                starts = range(-lo, len(data) - length + 1 - lo)
+                hashes = [xxhash.xxh3_128_intdigest(data[s + lo:s + lo + length], s + length) for s in starts]
+                yield pd.DataFrame({"c1": c1, "c2": c2, "start": np.array(starts, np.int32), "h1": [(h >> 64) - (1 << 63) for h in hashes],
+                                    "h2": [(h & ((1 << 64) - 1)) - (1 << 63) for h in hashes]})
+
+    small = cuts(open_ones.where(F.col("members") <= crowd)).repartition("gram").sortWithinPartitions("gram")
+    arrays = stored(small.mapInPandas(sort, f"c1 long, c2 long, ranges {_RANGES}"), "sorted")
+    large = open_ones.where(F.col("members") > crowd)
+    if not large.isEmpty():
+        every = stored(cuts(large).dropDuplicates(context).mapInPandas(strings, "c1 long, c2 long, start int, h1 long, h2 long"), "strings")
+        again = every.groupBy("h1", "h2").count().where("count > 1").drop("count")
+        hits = every.join(again, ["h1", "h2"]).groupBy(*context).agg(F.collect_list("start").alias("starts"))
         hits = hits.join(contexts.where("n = 1").select(*context), context).select(
             *context, F.transform("starts", lambda s: F.struct(s.alias("a"), s.alias("b"))).cast(_RANGES).alias("ranges"))
         arrays = arrays.unionByName(hits)
     found = stored(whole.unionByName(arrays), "repeated")
-    spans = spots.join(found, context).select("digest", F.explode(F.transform(
+    spans = spots.select("digest", "at", *context).join(found, context).select("digest", F.explode(F.transform(
         "ranges", lambda r: F.struct((F.col("at") + r["a"]).alias("a"), (F.col("at") + r["b"] + length).alias("b")))).alias("span"))
-    return spans.groupBy("digest").agg(F.collect_list("span").alias("spans"))
+    # Copies of a text bring the same spans.
+    return spans.distinct().groupBy("digest").agg(F.collect_list("span").alias("spans"))
 
 
 def _merged(spans) -> list[tuple[int, int]]:
