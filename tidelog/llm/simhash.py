@@ -65,7 +65,7 @@ def _variants(distance: int) -> Column:
     for s, (shift, width, wildcard) in enumerate(_segments(distance)):
         value = _cut(F.col("fp"), shift, width)
         for bit in range(width if wildcard else 1):
-            wiped = value.bitwiseAND(F.lit(~(1 << bit))) if wildcard else value
+            wiped = value.bitwiseAND(F.lit(~(1 << bit) if bit < BITS - 1 else (1 << bit) - 1)) if wildcard else value
             keys.append(F.struct(F.lit((s << 8) + bit).alias("slot"), wiped.alias("value")))
     return F.array(*keys)
 
@@ -75,7 +75,7 @@ def _is_first(differ: Column, slot: Column, distance: int) -> Column:
     found = F.lit(None)
     for s, (shift, width, wildcard) in reversed(list(enumerate(_segments(distance)))):
         part = _cut(differ, shift, width)
-        bit = (F.when(part == 0, F.lit(0)).otherwise(F.bit_count(part - 1)) if wildcard else F.lit(0))
+        bit = (F.when(part == 0, F.lit(0)).when(part == -(1 << 63), F.lit(63)).otherwise(F.bit_count(part - 1)) if wildcard else F.lit(0))
         found = F.when(F.bit_count(part) <= int(wildcard), F.lit(s << 8) + bit).otherwise(found)
     return slot == found
 
