@@ -186,14 +186,15 @@ class ToxicityModel:
         return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, reg: float = 1e-3) -> np.ndarray:
-    """Logistic weights, none below 0 but the constant: more or higher hits never make a text less toxic."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, reg: float = 1e-4) -> np.ndarray:
+    """Logistic weights for weighted rows, none below 0 but the constant: more or higher hits never make a text less toxic."""
     x = np.hstack([np.ones((len(x), 1)), x])
     w = np.zeros(x.shape[1])
-    step = 4 / np.linalg.eigvalsh(x.T @ x / len(x))[-1]
+    weight = weight / weight.sum()
+    step = 4 / np.linalg.eigvalsh((x * weight[:, None]).T @ x)[-1]
     for _ in range(3000):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w -= step * (x.T @ (p - y) / len(y) + reg * w)
+        w -= step * (x.T @ (weight * (p - y)) + reg * w)
         w[1:] = np.maximum(w[1:], 0)
     return w
 
@@ -209,8 +210,8 @@ def _spread(ranked: list[str], n: int, decay: float, apart: float = 0.75) -> lis
 
 
 def fit(texts: list[str], labels: list[int], landmarks: int = 128, decay: float = 0.6, power: int = 4,
-        rounds: int = 3) -> ToxicityModel | None:
-    """Fit on labelled texts; None if a class is missing.
+        rounds: int = 3, prior: float | None = None) -> ToxicityModel | None:
+    """Fit on labelled texts; None if a class is missing. ``prior`` is the share of toxic texts where it isn't that of the sample.
 
     Only texts are labelled, so sentences are labelled in turns: those of a toxic text that score highest stand for it, those of
     clean texts are all negative. Sentences and the final step per document are fitted on different halves of the texts.
@@ -270,7 +271,10 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 128, decay: float
     model.learn([counts[i] for i in other], known)
     z = np.stack([model.features(counts[i], known) for i in other])
     model.centre, model.scale = z.mean(0), z.std(0) + 1e-9
-    model.doc_weights = _logistic((z - model.centre) / model.scale, y[other])
+    share = max(1e-9, y[other].mean())
+    prior = share if prior is None else prior
+    weight = np.where(y[other] == 1, prior / share, (1 - prior) / max(1e-9, 1 - share))
+    model.doc_weights = _logistic((z - model.centre) / model.scale, y[other], weight)
     return model
 
 
@@ -286,7 +290,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, per_class: int = 1500, most_chars
     sample = docs.select("doc_id", "text").where(F.length("text") <= most_chars).join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")
     rows = sample.select("order", "text", "label").dropDuplicates(["order"]).collect()
     rows.sort(key=lambda r: r["order"])
-    return fit([r["text"] for r in rows], [r["label"] for r in rows], **how)
+    prior = label.agg(F.avg("label").alias("p")).collect()[0]["p"]  # of all labelled rows, not of the balanced sample
+    return fit([r["text"] for r in rows], [r["label"] for r in rows], prior=prior, **how)
 
 
 def held_out(doc_id):
