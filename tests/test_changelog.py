@@ -31,8 +31,8 @@ def kinds(spark, *values):
     return [(r.row_kind, r.temperature_threshold) for r in rows.orderBy("seq").collect()]
 
 
-def state(spark, records):
-    rows = current_state(decode(frame(spark, records), DEVICES), ["_id"]).collect()
+def state(spark, records, keyed=True):
+    rows = current_state(decode(frame(spark, records), DEVICES, keyed), ["_id"]).collect()
     return {r._id: r.temperature_threshold for r in rows}
 
 
@@ -66,10 +66,18 @@ def test_state_does_not_depend_on_arrival(spark, values, expected):
     assert state(spark, records) == expected
 
 
-def test_delete_and_create_at_the_same_time_is_an_update(spark):
+def test_position_decides_within_one_millisecond(spark):
+    steps = [change("c", None, V1, 5), change("u", V1, V2, 5), change("d", V2, None, 5), change("c", None, V1, 5)]
+    for n, expected in enumerate([{"d1": 30.0}, {"d1": 40.0}, {}, {"d1": 30.0}], 1):
+        records = [record(v, i) for i, v in enumerate(steps[:n])]
+        assert state(spark, records) == expected
+        assert state(spark, records[::-1]) == expected
+
+
+def test_delete_and_create_at_the_same_time_is_an_update_in_a_log_without_keys(spark):
     pair = [record(change("d", V1, None, 5), 9, part=1), record(change("c", None, V2, 5), 3, part=0)]
     first = record(change("c", None, V1, 1), 1)
-    assert state(spark, [first, *pair]) == {"d1": 40.0}
+    assert state(spark, [first, *pair], keyed=False) == {"d1": 40.0}
 
 
 def test_encode_writes_updates_as_delete_and_create(spark):
@@ -91,16 +99,36 @@ def test_append_tables_take_rewritten_but_not_native_updates(spark):
     assert [r.temperature_threshold for r in decode_rows.device_rows(rewritten, fixed_now()).collect()] == [40.0]
 
 
-def by_day(spark, values):
+def by_day(spark, values, **how):
     records = frame(spark, [record(v, i + 1) for i, v in enumerate(values)])
-    rows = current_state(tables.devices_by_day(decode(records, DEVICES), fixed_now()), ["device_id", "partition_date"])
+    changes = tables.devices_by_day(decode(records, DEVICES), fixed_now(), **how)
+    rows = current_state(changes, ["device_id", "partition_date"])
     return {r.partition_date: r.temperature_threshold for r in rows.collect()}
 
 
-def test_update_on_another_day_adds_a_row(spark):
+def test_update_on_another_day_moves_the_row(spark):
+    """A native update and the delete + create that the log writes for it have one result."""
+    values = [change("c", None, V1), change("u", V1, V2_NEXT_DAY)]
+    assert by_day(spark, values) == {"2025-01-02": 40.0}
+    assert by_day(spark, [values[0], change("d", V1), change("c", None, V2_NEXT_DAY)]) == {"2025-01-02": 40.0}
+    assert by_day(spark, [values[0], change("u", V1, V2)]) == {"2025-01-01": 40.0}
+    assert by_day(spark, [*values, change("d", V2_NEXT_DAY)]) == {}
+
+
+def test_update_on_another_day_adds_a_row_if_old_days_are_kept(spark):
     values = [change("c", None, V1), change("u", V1, V2_NEXT_DAY)]
-    assert by_day(spark, values) == {"2025-01-01": 30.0, "2025-01-02": 40.0}
-    assert by_day(spark, [*values, change("d", V2_NEXT_DAY)]) == {"2025-01-01": 30.0}
+    assert by_day(spark, values, keep_old_days=True) == {"2025-01-01": 30.0, "2025-01-02": 40.0}
+    assert by_day(spark, [*values, change("d", V2_NEXT_DAY)], keep_old_days=True) == {"2025-01-01": 30.0}
+
+
+def test_update_that_takes_the_reading_id_away(spark):
+    devices = decode(frame(spark, [record(change("c", None, V1), 1)]), DEVICES)
+    log = decode(frame(spark, [record(change("c", None, reading()), 1),
+                               record(change("u", reading(), reading(reading_id=None)), 2)]), READINGS)
+    assert enrich.current_enriched(devices, log, ["_id"]).count() == 0
+    by_day = tables.with_reading_day(log, fixed_now())
+    assert enrich.current_enriched(devices, by_day, ["reading_id", "partition_date"]).count() == 0
+    assert current_state(tables.readings_by_day(log, fixed_now()), ["reading_id", "partition_date"]).count() == 0
 
 
 def test_initial_snapshot_precedes_changes(spark):

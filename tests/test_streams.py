@@ -113,6 +113,25 @@ def test_late_rows_and_devices_that_arrive_meanwhile(spark, tmp_path):
         (0, "dev1"): 1, (1, "dev1"): 1, (1, "dev2"): 1, (5, "dev1"): 1, (6, "dev1"): 1, (9, "dev1"): 1}
 
 
+def test_all_append_queries_with_a_quiet_device_stream(spark, tmp_path):
+    write_records(tmp_path / "devices", [], "0")
+    write_records(tmp_path / "readings", [minute_reading(0, 0), minute_reading(1, 5)], "0")
+    root = str(tmp_path / "lake")
+
+    def run():
+        finish(start_append_lake(stream(spark, tmp_path / "devices"), stream(spark, tmp_path / "readings"), root,
+                                 trigger=ONCE, now=fixed_now(), salts=3))
+
+    run()
+    assert open_table(spark, f"{root}/sensor_readings_raw").count() == 2
+    assert windows_of(spark, root) == {}
+    write_records(tmp_path / "devices", [record(change("c", None, device(), BASE_MS), 0)], "1")
+    run()
+    write_records(tmp_path / "readings", [minute_reading(2, 9)], "1")
+    run()
+    assert windows_of(spark, root) == {(5, "dev1"): 1}
+
+
 def test_old_device_images_count_in_the_append_variant(spark, tmp_path):
     images = [change("c", None, device(threshold=t), BASE_MS) for t in (30.0, 31.0, 32.0)]
     write_records(tmp_path / "devices", [record(v, i) for i, v in enumerate(images)], "0")
@@ -171,13 +190,14 @@ def test_upsert_lake_over_several_batches(spark, tmp_path):
     write_records(tmp_path / "readings", [record(change("u", reading(), reading(at=next_day)), 4)], "1")
     states = run()
     rows = states["iceberg_devices_readings_enriched"].collect()
-    assert sorted((r.partition_date, r.severity) for r in rows) == [("2025-01-01", "NORMAL"), ("2025-01-02", "NORMAL")]
-    assert states["iceberg_sensor_readings"].count() == 2
-    # The moved reading is deleted: only the row of its day goes.
-    write_records(tmp_path / "readings", [record(change("d", reading(at=next_day)), 5)], "2")
+    assert [(r.partition_date, r.severity) for r in rows] == [("2025-01-02", "NORMAL")]
+    assert [r.partition_date for r in states["iceberg_sensor_readings"].collect()] == ["2025-01-02"]
+    # The moved reading is deleted, another one comes.
+    write_records(tmp_path / "readings", [record(change("d", reading(at=next_day)), 5),
+                                          record(change("c", None, reading("r5", "R5")), 6)], "2")
     states = run()
-    assert [r.partition_date for r in states["iceberg_devices_readings_enriched"].collect()] == ["2025-01-01"]
-    assert [r.partition_date for r in states["iceberg_sensor_readings"].collect()] == ["2025-01-01"]
+    for name in ("iceberg_devices_readings_enriched", "iceberg_sensor_readings"):
+        assert [(r.reading_id, r.partition_date) for r in states[name].collect()] == [("R5", "2025-01-01")], name
     assert [r.temperature_threshold for r in states["iceberg_devices"].collect()] == [40.0]
     # The device goes, and with it every joined row; compaction changes nothing.
     write_records(tmp_path / "devices", [record(change("d", device(threshold=40.0)), 6)], "2")

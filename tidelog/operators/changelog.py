@@ -26,12 +26,17 @@ CHANGE_COLUMNS = ["row_kind", "seq"]
 _BEFORE_ALL = -(2**63)
 
 
-def sequence(ms: Column, deletes: Column, part: Column, pos: Column, ord_: Column) -> Column:
-    """Order of a change. At equal time a delete sorts first: an update that was
-    written as delete + create must end in the created row."""
+def sequence(ms: Column, deletes: Column, part: Column, pos: Column, ord_: Column, keyed: bool = True) -> Column:
+    """Order of a change: its time, then its position.
+
+    A keyed log holds all changes of a document in one partition, so at equal time the
+    position decides. In a log that is not ``keyed`` positions of different partitions
+    cannot be compared: there a delete sorts first, because an update that was written as
+    delete + create must end in the created row.
+    """
     return F.struct(
         ms.cast("bigint").alias("ms"),
-        F.when(deletes, 0).otherwise(1).alias("rank"),
+        (F.lit(1) if keyed else F.when(deletes, 0).otherwise(1)).alias("rank"),
         part.cast("int").alias("part"),
         pos.cast("bigint").alias("pos"),
         ord_.cast("int").alias("ord"),
@@ -46,7 +51,7 @@ def typed_fields(image: Column, payload: T.StructType) -> list[Column]:
     ]
 
 
-def _image_rows(parsed: DataFrame, payload: T.StructType) -> DataFrame:
+def _image_rows(parsed: DataFrame, payload: T.StructType, keyed: bool) -> DataFrame:
     """From (op, ms, part, pos, before, after) to one row per image that counts.
 
     The images are unfolded by a generator and filtered after it. The filter refers to
@@ -66,16 +71,17 @@ def _image_rows(parsed: DataFrame, payload: T.StructType) -> DataFrame:
     )
     rows = parsed.select("op", "ms", "part", "pos", F.inline(F.array(removed, added))).where(
         F.col("row_kind").isNotNull() & F.col("image").isNotNull())
-    place = sequence(F.col("ms"), F.col("op") == "d", F.col("part"), F.col("pos"), F.col("ord"))
+    place = sequence(F.col("ms"), F.col("op") == "d", F.col("part"), F.col("pos"), F.col("ord"), keyed)
     return rows.select("row_kind", place.alias("seq"), *typed_fields(F.col("image"), payload))
 
 
-def decode(records: DataFrame, payload: T.StructType) -> DataFrame:
+def decode(records: DataFrame, payload: T.StructType, keyed: bool = True) -> DataFrame:
     """Envelope records to changelog rows.
 
     ``c`` and ``r`` give ``+I``; ``u`` gives ``-U`` and ``+U`` (only ``+U`` when the
     source keeps no before-image); ``d`` gives ``-D``. Text that is no envelope, or
-    an operation without its image, gives no row.
+    an operation without its image, gives no row. ``keyed``: see :func:`sequence`;
+    :func:`encode` keys its records by document id.
     """
     parsed = records.select(
         F.from_json("value", envelope(payload)).alias("change"), "part", "pos", "record_ms",
@@ -83,7 +89,7 @@ def decode(records: DataFrame, payload: T.StructType) -> DataFrame:
         "change.op", "change.before", "change.after", "part", "pos",
         F.coalesce("change.ts_ms", "record_ms", F.lit(_BEFORE_ALL)).alias("ms"),
     )
-    return _image_rows(parsed, payload)
+    return _image_rows(parsed, payload, keyed)
 
 
 def decode_change_events(records: DataFrame, payload: T.StructType) -> DataFrame:
@@ -113,7 +119,7 @@ def decode_change_events(records: DataFrame, payload: T.StructType) -> DataFrame
         "part", "pos",
         F.coalesce(event["wallTimeMs"], F.col("record_ms"), F.lit(_BEFORE_ALL)).alias("ms"),
     )
-    return _image_rows(parsed, payload)
+    return _image_rows(parsed, payload, keyed=True)
 
 
 def snapshot(documents: DataFrame, payload: T.StructType) -> DataFrame:
@@ -162,10 +168,20 @@ def insert_only(parsed: DataFrame) -> DataFrame:
     return changes.where(F.col("after").isNotNull() & (F.col("op") == "c"))
 
 
+def leaving(changes: DataFrame) -> DataFrame:
+    """Images before an update as deletes of the key they carry.
+
+    Needed where an update can change the key: the row of the old key goes. The image after
+    the update is newer (``ord``), so an update that keeps its key replaces its row.
+    """
+    kind = F.when(F.col("row_kind") == BEFORE_UPDATE, DELETE).otherwise(F.col("row_kind"))
+    return changes.withColumn("row_kind", kind)
+
+
 def latest_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
     """The newest change per key, deletes included.
 
-    A before-image removes nothing from a keyed table, so ``-U`` rows are left out.
+    A before-image by itself removes nothing (see :func:`leaving`), so ``-U`` rows are left out.
     The aggregate reduces each input partition before the exchange: at most one row
     per key and partition is shuffled, however hot the key.
     """

@@ -165,9 +165,9 @@ def current_enriched(device_changes: DataFrame, reading_changes: DataFrame, read
     """The joined table as it stands after all changes on either side.
 
     Both logs are reduced to their current rows before the join, and devices further to
-    one row per ``device_id``; the join then moves each reading once.
+    one row per ``device_id``; the join then moves each reading once. Readings without id go
+    after that: a change that takes the id away must replace the older image first.
     """
     winners = device_winners(current_state(device_changes, ["_id"]))
-    known = reading_changes.where(F.col("reading_id").isNotNull())
-    readings = current_state(known, reading_keys)
+    readings = current_state(reading_changes, reading_keys).where(F.col("reading_id").isNotNull())
     return join_winners(readings, winners, times, now)

@@ -18,7 +18,8 @@ ACTION_COLUMNS = ["_index", "_id", "action", "version", "doc"]
 
 
 def document_version(seq: Column) -> Column:
-    """Change time and delete-before-create rank in one number; snapshot rows are 0."""
+    """Change time and rank in one number; snapshot rows are 1. In a keyed log the rank is
+    the same for all changes, so of two in one millisecond the later request stands."""
     return F.greatest(seq["ms"], F.lit(0)) * 2 + seq["rank"]
 
 

@@ -91,7 +91,7 @@ dev_ops AS (
   FROM ev),
 device_changes AS (
   SELECT CASE op WHEN 'u' THEN '-U' ELSE '-D' END AS row_kind, ts_ms AS ms,
-         CASE op WHEN 'd' THEN 0 ELSE 1 END AS rank, event_id % 4 AS part, event_id AS pos, 0 AS ord, {_BEFORE}
+         1 AS rank, event_id % 4 AS part, event_id AS pos, 0 AS ord, {_BEFORE}
   FROM dev_ops WHERE op IN ('u', 'd')
   UNION ALL
   SELECT CASE op WHEN 'u' THEN '+U' ELSE '+I' END, ts_ms, 1, event_id % 4, event_id, 1, {_AFTER}
@@ -100,7 +100,8 @@ device_changes AS (
 _RID = "CASE WHEN event_id % 41 = 0 THEN NULL ELSE 'R' || event_id END"
 _FIRST = _reading(reading_id=_RID)
 _SECOND = _reading(
-    reading_id=_RID, device="CASE WHEN event_id % 15 = 0 THEN user_id + 1 ELSE user_id END", value="value + 1",
+    reading_id="CASE WHEN event_id % 41 = 0 OR event_id % 35 = 0 THEN NULL ELSE 'R' || event_id END",
+    device="CASE WHEN event_id % 15 = 0 THEN user_id + 1 ELSE user_id END", value="value + 1",
     timestamp="ts + to_days(CAST(event_id % 2 AS INTEGER))", updated="ts + INTERVAL 1 HOUR")
 
 
@@ -115,8 +116,8 @@ READING_CHANGES = "\nreading_changes AS (" + "\n  UNION ALL".join([
     _change("+I", 0, 1, 1, _FIRST, "true"),
     _change("-U", 1, 1, 0, _FIRST, "event_id % 5 = 0"),
     _change("+U", 1, 1, 1, _SECOND, "event_id % 5 = 0"),
-    _change("-D", 2, 0, 0, _FIRST, "event_id % 23 = 0 AND event_id % 5 <> 0"),
-    _change("-D", 2, 0, 0, _SECOND, "event_id % 23 = 0 AND event_id % 5 = 0"),
+    _change("-D", 2, 1, 0, _FIRST, "event_id % 23 = 0 AND event_id % 5 <> 0"),
+    _change("-D", 2, 1, 0, _SECOND, "event_id % 23 = 0 AND event_id % 5 = 0"),
 ]) + ")"
 
 
@@ -188,7 +189,8 @@ GROUP BY ALL""")
 
 
 def _by_day(source: str, day: str) -> str:
-    return f"\nby_day AS (SELECT *, {day} FROM {source})"
+    """The day per change; the image before an update takes its row away."""
+    return f"\nby_day AS (SELECT * REPLACE (replace(row_kind, '-U', '-D') AS row_kind), {day} FROM {source})"
 
 
 _ENRICHED_PRESENT = "s.row_kind <> '-D' AND d._id IS NOT NULL AND s.reading_id IS NOT NULL"
@@ -255,9 +257,14 @@ SELECT _id, {DEVICE_COLUMNS} FROM newest WHERE row_kind <> '-D'"""),
                               f"SELECT _id, {READING_COLUMNS} FROM newest WHERE row_kind <> '-D'"),
     "current_enriched": query(
         [EVENTS, DEVICE_CHANGES, READING_CHANGES, WINNERS,
-         latest("reading_changes", "_id", "newest", "reading_id IS NOT NULL")], f"""
+         latest("reading_changes", "_id", "newest")], f"""
 SELECT {joined('s._id', 'd._id', f'coalesce({LOG_EVENT})')}
-FROM newest s JOIN winners d ON s.device_id = d.device_id WHERE s.row_kind <> '-D'"""),
+FROM newest s JOIN winners d ON s.device_id = d.device_id WHERE s.row_kind <> '-D' AND s.reading_id IS NOT NULL"""),
+    # No log here: what becomes of an event's document follows from its number.
+    "changelog_same_instant": query([EVENTS], f"""
+, ends AS (
+  SELECT {_FIRST}, event_id FROM ev WHERE event_id % 5 <> 0 UNION ALL SELECT {_SECOND}, event_id FROM ev WHERE event_id % 5 = 0)
+SELECT _id, {READING_COLUMNS} FROM ends WHERE event_id % 23 <> 0"""),
     "severity_classify": query([EVENTS, READINGS, DEVICES], f"""
 SELECT s.device_id, s.reading_id, s.sensor_value, d.temperature_threshold, {SEVERITY} AS severity
 FROM readings s JOIN devices d ON s.device_id = d.device_id"""),
@@ -341,6 +348,12 @@ _CLOSED = """
 SELECT * FROM ({inner}) WHERE window_end <=
   (SELECT max(date_trunc('milliseconds', ts)) - INTERVAL 10 SECOND FROM events WHERE event_type <> 'signup')"""
 
+
+def _held(docs: str) -> str:
+    """The documents left once all actions are done."""
+    return f"SELECT * EXCLUDE (_index, action, version) FROM ({ORACLE[docs]}) WHERE action = 'index'"
+
+
 STREAM_ORACLE = {
     "stream_capture_devices": query([EVENTS, DEVICE_CHANGES], f"""
 SELECT CASE WHEN row_kind IN ('-U', '-D') THEN '-D' ELSE '+I' END AS row_kind, ms, pos * 2 + ord AS pos, _id,
@@ -358,8 +371,16 @@ WHERE d.row_kind = '+I' AND d.pos % 3 <> 0 AND d.pos % 5 <> 0 AND s.reading_id I
     "stream_upsert_devices": ORACLE["upsert_devices_by_day"],
     "stream_upsert_readings": ORACLE["upsert_readings_by_day"],
     "stream_upsert_enriched": ORACLE["upsert_enriched_by_day"],
-    "stream_search_enriched": f"""
-SELECT * EXCLUDE (_index, action, version) FROM ({ORACLE["search_docs_enriched"]}) WHERE action = 'index'""".strip(),
+    "stream_capture_readings": query([EVENTS, READING_CHANGES], f"""
+SELECT CASE WHEN row_kind IN ('-U', '-D') THEN '-D' ELSE '+I' END AS row_kind, ms, pos * 2 + ord AS pos, _id,
+       {", ".join(f"CASE WHEN row_kind <> '-D' THEN {c} END AS {c}" for c in _split(READING_COLUMNS))}
+FROM reading_changes"""),
+    "stream_search_devices": _held("search_docs_devices"),
+    "stream_search_readings": _held("search_docs_readings"),
+    "stream_search_enriched": _held("search_docs_enriched"),
+    "stream_search_direct_devices": _held("search_docs_devices"),
+    "stream_search_direct_readings": _held("search_docs_readings"),
+    "stream_search_direct_enriched": _held("search_docs_enriched_direct"),
 }
 
 ORACLE = {**ORACLE, **LAKE_ORACLE, **STREAM_ORACLE}

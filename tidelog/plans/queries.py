@@ -101,6 +101,12 @@ def current_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _payload_only(changelog.current_state(views.reading_changes(spark, sf_dir), ["_id"]))
 
 
+def changelog_same_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current readings where all changes of a document happen in one millisecond."""
+    changes = changelog.decode(views.reading_change_records(spark, sf_dir, at="ts_ms"), schemas.READINGS)
+    return _payload_only(changelog.current_state(changes, ["_id"]))
+
+
 def current_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = enrich.current_enriched(
         views.device_changes(spark, sf_dir), views.reading_changes(spark, sf_dir), ["_id"],
@@ -234,7 +240,7 @@ BATCH_QUERIES = {
     for query in (
         decode_envelope_devices, decode_envelope_readings, event_time_from_ts_ms, insert_only_filter,
         changelog_decode_devices, changelog_decode_readings, changelog_encode, changelog_roundtrip,
-        cdc_snapshot_union_changes, current_devices, current_readings, current_enriched,
+        cdc_snapshot_union_changes, current_devices, current_readings, changelog_same_instant, current_enriched,
         severity_classify, cdc_ts_and_partition_date,
         raw_devices_append, raw_readings_append, enriched_append, devices_left_join_readings,
         enriched_within_ttl, temperature_minute, temperature_day,

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog import schemas
 from tidelog.operators import changelog, decode_rows, tables
@@ -23,16 +24,25 @@ from tidelog.streaming.upsert_lake import keyed_table
 ONCE = Trigger(available_now=True)
 
 
-def stream_capture_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _capture(spark: SparkSession, sf_dir: str, name: str, payload: T.StructType) -> DataFrame:
     """Change events in, envelope records out; the records are decoded again."""
     root = fresh_dir(spark, "capture")
-    events = views.device_change_events(spark, sf_dir, streaming=True)
-    finish(start_capture(events, events, {"path": f"{root}/devices"}, {"path": f"{root}/readings"},
-                         f"{root}/_checkpoints", ONCE, views.fixed_now(), only=["capture_devices"]))
-    rows = changelog.decode(read_records(spark, path=f"{root}/devices"), schemas.DEVICES)
+    finish(start_capture(
+        views.device_change_events(spark, sf_dir, streaming=True), views.reading_change_events(spark, sf_dir, streaming=True),
+        {"path": f"{root}/capture_devices"}, {"path": f"{root}/capture_readings"}, f"{root}/_checkpoints", ONCE,
+        views.fixed_now(), only=[name]))
+    rows = changelog.decode(read_records(spark, path=f"{root}/{name}"), payload)
     return rows.withColumns({"ms": F.col("seq.ms"), "pos": F.col("seq.pos")}).drop("seq")
 
 
+def stream_capture_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _capture(spark, sf_dir, "capture_devices", schemas.DEVICES)
+
+
+def stream_capture_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _capture(spark, sf_dir, "capture_readings", schemas.READINGS)
+
+
 def _append_lake(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     root = fresh_dir(spark, "append")
     finish(start_append_lake(
@@ -89,29 +99,56 @@ def stream_upsert_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_lake(spark, sf_dir, "iceberg_devices_readings_enriched")
 
 
-def stream_search_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The joined documents a search service holds after all bulk requests."""
+def _search(spark: SparkSession, sf_dir: str, index: str, fields: list[str], direct: bool = False) -> DataFrame:
+    """The documents of an index that a search service holds after all bulk requests."""
     root = fresh_dir(spark, "search")
 
     def keep(actions: DataFrame, index: str, batch_id: int) -> None:
         actions.write.mode("overwrite").parquet(f"{root}/{index}/batch_id={batch_id}")
 
+    devices, readings = (
+        (views.device_change_events, views.reading_change_events) if direct
+        else (views.device_change_records, views.reading_change_records))
     finish(start_search(
-        spark, views.device_change_records(spark, sf_dir, streaming=True),
-        views.reading_change_records(spark, sf_dir, streaming=True), root, writer=keep, trigger=ONCE,
-        now=views.fixed_now(), only=["iot_enriched_data"]))
-    actions = spark.read.parquet(f"{root}/iot_enriched_data").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        spark, devices(spark, sf_dir, streaming=True), readings(spark, sf_dir, streaming=True), root, direct,
+        writer=keep, trigger=ONCE, now=views.fixed_now(), only=[index]))
+    actions = spark.read.parquet(f"{root}/{index}").withColumn("batch_id", F.col("batch_id").cast("bigint"))
     newest = F.max(F.struct("version", "batch_id", "action", "doc")).alias("newest")
     held = actions.groupBy("_id").agg(newest).where(F.col("newest.action") == "index")
-    doc = F.from_json("newest.doc", schemas.table_schema(schemas.ENRICHED_DOC)).alias("doc")
+    doc = F.from_json("newest.doc", schemas.table_schema(fields)).alias("doc")
     return held.select(F.col("_id").alias("doc_id"), doc).select("doc_id", "doc.*")
 
 
+def stream_search_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, "iot_devices", schemas.DEVICE_DOC)
+
+
+def stream_search_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, "iot_sensor_readings", schemas.READING_DOC)
+
+
+def stream_search_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, "iot_enriched_data", schemas.ENRICHED_DOC)
+
+
+def stream_search_direct_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, "devices", schemas.DEVICE_DOC, direct=True)
+
+
+def stream_search_direct_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, "sensor_readings", schemas.READING_DOC, direct=True)
+
+
+def stream_search_direct_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, "devices_readings", schemas.ENRICHED_DIRECT_DOC, direct=True)
+
+
 STREAM_QUERIES = {
     query.__name__: query
     for query in (
-        stream_capture_devices, stream_devices_raw, stream_readings_raw, stream_enriched_within_ttl,
+        stream_capture_devices, stream_capture_readings, stream_devices_raw, stream_readings_raw, stream_enriched_within_ttl,
         stream_temperature_minute, stream_upsert_devices, stream_upsert_readings, stream_upsert_enriched,
-        stream_search_enriched,
+        stream_search_devices, stream_search_readings, stream_search_enriched,
+        stream_search_direct_devices, stream_search_direct_readings, stream_search_direct_enriched,
     )
 }

@@ -34,7 +34,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
     if not streaming:
         return table
     # The pattern also matches a plain file, which a stream cannot list as a folder.
-    return spark.readStream.schema(table.schema).parquet(f"{path}*")
+    return spark.readStream.schema(table.schema).parquet(f"{path[:-1]}[t]")
 
 
 _CREATED = f"({_BASE} - make_dt_interval(0, cast(c_custkey % 1000 as int)))"
@@ -192,12 +192,12 @@ def device_change_records(spark: SparkSession, sf_dir: str, streaming: bool = Fa
     return as_records(rows, value, F.col("event_id") % 4, F.col("event_id"), F.col("ts_ms"))
 
 
-def reading_change_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """A reading change log: a create per event, an update of every fifth (to another day or
-    device at times), a delete of every 23rd."""
+def _reading_changes(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """Reading changes (``step``, ``op``, ``before``, ``after``): a create per event, an update of every
+    fifth (to another day or device, or to no reading id at times), a delete of every 23rd."""
     first = _struct(_reading_fields(reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))"))
     second = _struct(_reading_fields(
-        reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))",
+        reading_id="if(event_id % 41 = 0 OR event_id % 35 = 0, NULL, concat('R', event_id))",
         device="if(event_id % 15 = 0, user_id + 1, user_id)", value="value + 1",
         timestamp="ts + make_dt_interval(cast(event_id % 2 AS int))", updated="ts + interval 1 hour"))
     last = f"if(event_id % 5 = 0, {second}, {first})"
@@ -210,11 +210,31 @@ def reading_change_records(spark: SparkSession, sf_dir: str, streaming: bool = F
         {record(0, 'c', none, first)},
         if(event_id % 5 = 0, {record(1, 'u', first, second)}, NULL),
         if(event_id % 23 = 0, {record(2, 'd', last, none)}, NULL)), x -> x IS NOT NULL))""")
-    rows = _events(spark, sf_dir, streaming).select("event_id", "ts_ms", records)
-    value = _envelope_text("before", "after", "op", "ts_ms + step")
+    return _events(spark, sf_dir, streaming).select("event_id", "ts_ms", records)
+
+
+def _as_reading_records(rows: DataFrame, value: Column) -> DataFrame:
     return as_records(rows, value, F.col("event_id") % 4, F.col("event_id") * 3 + F.col("step"), F.col("ts_ms"))
 
 
+def reading_change_records(spark: SparkSession, sf_dir: str, streaming: bool = False,
+                           at: str = "ts_ms + step") -> DataFrame:
+    """A reading change log. With ``at="ts_ms"`` all changes of a document carry one time."""
+    rows = _reading_changes(spark, sf_dir, streaming)
+    return _as_reading_records(rows, _envelope_text("before", "after", "op", at))
+
+
+def reading_change_events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """The reading changes as a document database publishes them; deletes name their document only."""
+    value = F.to_json(F.expr("""named_struct(
+        'operationType', CASE op WHEN 'd' THEN 'delete' WHEN 'u' THEN 'update' ELSE 'insert' END,
+        'documentKey', named_struct('_id', concat('r', event_id)),
+        'fullDocument', after,
+        'fullDocumentBeforeChange', if(op = 'u', before, NULL),
+        'wallTimeMs', ts_ms + step)"""), _JSON)
+    return _as_reading_records(_reading_changes(spark, sf_dir, streaming), value)
+
+
 def device_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(device_change_records(spark, sf_dir), DEVICES)
 
