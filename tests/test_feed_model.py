@@ -12,7 +12,6 @@ from tidelog.operators import enrich, tables
 from tidelog.operators.changelog import decode
 from tidelog.schemas import DEVICES, READINGS
 from tidelog.sinks.change_table import ChangeTable
-from tidelog.streaming import enriched_feed
 from tidelog.streaming.enriched_feed import EnrichedFeed, both_sides
 
 DEVICE_IDS = ["dev1", "dev2", "dev3"]
@@ -44,7 +43,8 @@ def random_batches(rng, batches, with_before):
                     del reads[doc]
                     read_records.append(record(change("d", old, None, pos), pos))
                     continue
-                new = reading(doc, doc.upper(), rng.choice(DEVICE_IDS), float(rng.randint(15, 50)), rng.choice(DAYS))
+                reading_id = None if rng.random() < 0.2 else doc.upper()
+                new = reading(doc, reading_id, rng.choice(DEVICE_IDS), float(rng.randint(15, 50)), rng.choice(DAYS))
                 reads[doc] = new
                 known = old if with_before or rng.random() < 0.5 else None
                 read_records.append(record(change("u" if old else "c", known, new, pos), pos))
@@ -61,9 +61,8 @@ SEEDS = [int(x) for x in os.environ.get("FEED_SEEDS", "2").split(",")]
 
 
 @pytest.mark.parametrize("seed", SEEDS)
-@pytest.mark.parametrize("by_day,with_before,few_ids", [(True, True, 1000), (False, False, 1)])
-def test_feed_equals_definition(spark, tmp_path, monkeypatch, seed, by_day, with_before, few_ids):
-    monkeypatch.setattr(enriched_feed, "FEW_IDS", few_ids)
+@pytest.mark.parametrize("by_day,with_before", [(True, True), (False, False)])
+def test_feed_equals_definition(spark, tmp_path, seed, by_day, with_before):
     keys = ["reading_id", "partition_date"] if by_day else ["_id"]
     feed = EnrichedFeed(spark, str(tmp_path / "state"), keys, enrich.LOG_TIMES, by_day, fixed_now(), buckets=4)
     output_keys = ["reading_id", "partition_date"] if by_day else ["reading_mongo_id"]

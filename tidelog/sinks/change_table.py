@@ -44,6 +44,9 @@ def change_schema(payload: T.StructType, seq: T.StructType = SEQ) -> T.StructTyp
 
 Span = tuple[int, int]
 
+# Success markers are what readers go by, so a write asks for them whatever the cluster's setting.
+_MARKED = ("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+
 
 class ChangeTable:
     """A table keyed by ``keys``, laid out by day or by buckets of ``bucket_by``."""
@@ -58,7 +61,7 @@ class ChangeTable:
 
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
         rows = changes.where(F.col("row_kind") != BEFORE_UPDATE).select(*self.schema.fieldNames())
-        writer = rows.write.mode("overwrite")
+        writer = rows.write.mode("overwrite").option(*_MARKED)
         if self.by_day:
             writer = writer.partitionBy("partition_date")
         writer.parquet(self._batch_folder(batch_id))
@@ -104,7 +107,7 @@ class ChangeTable:
         span = (due[0][0], due[-1][1])
         order = dict.fromkeys([by, *([] if self.by_day else self.bucket_by), *self.keys])
         rows = rows.hint("rebalance", by).sortWithinPartitions(*order)
-        rows.write.mode("overwrite").partitionBy(by).parquet(self._merged_folder(span))
+        rows.write.mode("overwrite").option(*_MARKED).partitionBy(by).parquet(self._merged_folder(span))
         return span
 
     def expire(self) -> None:

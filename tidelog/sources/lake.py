@@ -15,6 +15,14 @@ def open_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.load(path)
 
 
+def open_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table directory that another job may not have begun yet: absent means no rows."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return open_table(spark, path, schema)
+
+
 def register_lake(spark: SparkSession, root: str, tables: dict[str, T.StructType | None],
                   fmt: str = "parquet", keyed: dict[str, DataFrame] | None = None) -> list[str]:
     """Make lake tables visible to ``spark.sql`` as views; returns their names.

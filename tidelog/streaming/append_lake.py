@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidelog.operators import decode_rows, enrich, tables, windows
+from tidelog.schemas import DEVICES_RAW, table_schema
 from tidelog.sinks.append import append_stream, numbered_batch_writer
+from tidelog.sources.lake import open_or_empty
 from tidelog.streaming.queries import WATERMARK_DELAY, Trigger, chosen, start
 
 
@@ -49,15 +51,17 @@ def temperature_writer(readings: DataFrame, devices: Callable[[], DataFrame], pa
 
 
 def start_append_lake(device_records: DataFrame, reading_records: DataFrame, root: str,
-                      devices: Callable[[], DataFrame], trigger: Trigger = Trigger(),
+                      devices: Callable[[], DataFrame] | None = None, trigger: Trigger = Trigger(),
                       now: Column | None = None, ttl_seconds: int = 7200, salts: int = 8,
                       fmt: str = "parquet", only: Collection[str] | None = None) -> list[StreamingQuery]:
     """Four queries: raw devices, raw readings, their join, and temperature per minute.
 
-    ``devices`` opens the device rows for the aggregate, each time anew: usually the
-    ``devices_raw`` table this job writes (every created row, older images included).
+    ``devices`` opens the device rows for the aggregate, each time anew. By default they are the
+    ``devices_raw`` table of this job (every created row, older images included), empty until a device arrives.
     """
     root = root.rstrip("/")
+    spark = reading_records.sparkSession
+    devices = devices or (lambda: open_or_empty(spark, f"{root}/devices_raw", table_schema(DEVICES_RAW)))
     device_rows = decode_rows.device_rows(device_records, now)
     reading_rows = decode_rows.reading_rows(reading_records, now)
     outputs = {

@@ -23,9 +23,6 @@ from tidelog.operators.changelog import BEFORE_UPDATE, DELETE, latest_changes
 from tidelog.schemas import DEVICES, READINGS, table_schema
 from tidelog.sinks.change_table import SEQ, ChangeTable, change_schema
 
-# Up to this many device ids are turned into a filter.
-FEW_IDS = 1000
-
 OUTPUT_SEQ = T.StructType([*SEQ.fields, T.StructField("batch", T.LongType())])
 
 
@@ -88,16 +85,8 @@ class EnrichedFeed:
         self.readings.compact(before)
 
     def _rows_of(self, table: ChangeTable, ids: DataFrame, before: int | None = None) -> DataFrame:
-        """Rows of a table that belong to some device ids, from the buckets of these ids.
-
-        Few ids become a filter that the Parquet reader applies to row groups, which are sorted by
-        device id. More than ``FEW_IDS`` are not brought to the driver: a semi-join selects them.
-        """
+        """Rows of a table that belong to some device ids, from the buckets of these ids."""
         ids = ids.where(F.col("device_id").isNotNull())
-        few = ids.select("device_id", table.bucket().alias("bucket")).limit(FEW_IDS + 1).collect()
-        if len(few) <= FEW_IDS:
-            rows = table.changes(sorted({r.bucket for r in few}), before)
-            return rows.where(F.col("device_id").isin([r.device_id for r in few]))
         return table.changes(table.buckets_of(ids), before).join(ids, "device_id", "left_semi").select(
             *table.schema.fieldNames())
 
