@@ -16,7 +16,7 @@ from tidelog.plans import lake_reports, views
 from tidelog.plans.queries import BATCH_QUERIES
 from tidelog.session import configure
 from tidelog.sinks.append import write_append
-from tidelog.sinks.bulk import bulk_lines
+from tidelog.sinks.bulk import bulk_lines, by_operation
 from tidelog.sinks.change_log import broker_rows
 from tidelog.sinks.change_table import ChangeTable, change_schema
 from tidelog.sources.lake import open_table
@@ -266,6 +266,22 @@ def test_bulk_lines(spark):
         '{"index":{"_index":"i","_id":"a","version":3,"version_type":"external_gte"}}\n{"x":1}']
 
 
+def test_service_requests_compute_the_actions_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    schema = "_id string, action string, version bigint, doc string"
+    actions = spark.createDataFrame([("a", "index", 3, '{"mongo_id":"x"}'), ("b", "delete", 4, None)], schema)
+    requests = by_operation(actions.mapInArrow(counted, schema), ["mongo_id"], str(tmp_path / "scratch"))
+    assert {operation: [tuple(r) for r in rows.collect()] for rows, operation in requests} == {
+        "index": [("a", 3, "x")], "delete": [("b", 4)]}
+    assert seen.value == 2
+
+
 def test_time_slots_lose_no_pair(spark):
     """The slot join against comparing every pair, at and around the limit."""
     base = 1735725600

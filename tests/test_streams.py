@@ -6,6 +6,7 @@ import glob
 import json
 
 import pytest
+from conftest import SF
 from fixtures import (
     BASE_MS,
     change,
@@ -18,10 +19,12 @@ from fixtures import (
     seed_reading_records,
     write_records,
 )
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidelog import schemas
 from tidelog.operators import changelog, decode_rows, tables
+from tidelog.plans import views
 from tidelog.sinks.append import read_numbered, write_append
 from tidelog.sinks.catalog import create_append_tables, register_partitions
 from tidelog.sinks.merge import merge_sql
@@ -30,7 +33,7 @@ from tidelog.sources.records import read_change_events, read_records
 from tidelog.streaming import Trigger, capture_snapshot, start_append_lake, start_capture, start_search, start_upsert_lake
 from tidelog.streaming.append_lake import temperature_writer
 from tidelog.streaming.queries import finish, start
-from tidelog.streaming.upsert_lake import keyed_states, keyed_table
+from tidelog.streaming.upsert_lake import create_keyed_tables, keyed_states, keyed_table
 
 ONCE = Trigger(available_now=True)
 
@@ -284,6 +287,32 @@ def test_merge_statement_parses(spark):
     sql = merge_sql("cat.db.t", "src", schemas.DEVICES_BY_DAY, ["device_id", "partition_date"])
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
     assert "MergeIntoTable" in plan and "deleteaction" in plan.lower()
+    assert sql.count("coalesce(s.seq >= t.seq, true)") == 2
+
+
+def test_keyed_tables_can_take_merges(spark, tmp_path):
+    """The tables have a column for each row's place; batches are handed to MERGE (which plain files refuse)."""
+    names = create_keyed_tables(spark, "keyed_test", "parquet")
+    assert [spark.table(name).columns[0] for name in names] == ["seq"] * 3
+    assert set(schemas.DEVICES_BY_DAY) < set(spark.table(names[0]).columns)
+    write_records(tmp_path / "devices", seed_device_records(), "0")
+    write_records(tmp_path / "readings", seed_reading_records(), "0")
+    with pytest.raises(StreamingQueryException, match="MERGE"):
+        finish(start_upsert_lake(spark, stream(spark, tmp_path / "devices"), stream(spark, tmp_path / "readings"), str(tmp_path / "lake"),
+                                 ONCE, fixed_now(), only=["iceberg_devices"], merge_into="keyed_test"))
+    spark.sql("DROP DATABASE keyed_test CASCADE")
+
+
+@pytest.mark.parametrize("table", ["customer", "events"])
+def test_a_registered_stream_takes_several_batches(spark, tmp_path, table):
+    """Oldest rows first, each row once, slice by slice."""
+    number, batches = views._NUMBER[table], []
+    rows = views._table(spark, SF, table, streaming=True).select(number)
+    query = rows.writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).foreachBatch(
+        lambda batch, _: batches.append(sorted(r[0] for r in batch.collect()))).start()
+    finish([query])
+    assert len(batches) == views.SLICES
+    assert sum(batches, []) == sorted(r[0] for r in views._table(spark, SF, table).select(number).collect())
 
 
 def test_unknown_output_is_refused(spark, tmp_path):

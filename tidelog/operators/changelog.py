@@ -92,6 +92,20 @@ def decode(records: DataFrame, payload: T.StructType, keyed: bool = True) -> Dat
     return _image_rows(parsed, payload, keyed)
 
 
+def undecodable(records: DataFrame, payload: T.StructType) -> DataFrame:
+    """The records that :func:`decode` gives no row for (``part, pos, value, reason``), to be counted or kept aside."""
+    change = F.struct(F.from_json("value", envelope(payload)).alias("change"))
+    op, before, after = (F.col(f"change.{name}") for name in ("op", "before", "after"))
+    reason = (
+        F.when(op.isNull(), "no operation")
+        .when(~op.isin("c", "r", "u", "d"), "unknown operation")
+        .when(op.isin("c", "r") & after.isNull(), "no image")
+        .when((op == "u") & before.isNull() & after.isNull(), "no image")
+        .when((op == "d") & before.isNull(), "no image"))
+    rows = records.select("part", "pos", "value", F.inline(F.array(change)))
+    return rows.select("part", "pos", "value", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def decode_change_events(records: DataFrame, payload: T.StructType) -> DataFrame:
     """Document-database change events to changelog rows.
 

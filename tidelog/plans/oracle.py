@@ -230,6 +230,9 @@ SELECT CASE WHEN event_id % 29 = 28 THEN NULL ELSE 'r' || event_id END AS mongo_
     "insert_only_filter": query([EVENTS], """
 SELECT 'r' || event_id AS mongo_id, 'c' AS op, CASE WHEN event_id % 13 = 12 THEN NULL ELSE ts_ms END AS ts_ms
 FROM ev WHERE event_id % 29 <> 28 AND event_id % 19 <> 18"""),
+    "changelog_undecodable": """SELECT CAST(c_custkey % 4 AS INTEGER) AS part, c_custkey AS pos,
+        CASE WHEN c_custkey % 37 = 36 THEN 'no operation' ELSE 'no image' END AS reason
+        FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 37 = 36 OR c_custkey % 29 = 28""",
     "changelog_decode_devices": query([EVENTS, DEVICE_CHANGES], f"SELECT {_ORDER}, {DEVICE_COLUMNS} FROM device_changes"),
     "changelog_decode_readings": query([EVENTS, READING_CHANGES], f"SELECT {_ORDER}, {READING_COLUMNS} FROM reading_changes"),
     "changelog_encode": query([EVENTS, DEVICE_CHANGES], """

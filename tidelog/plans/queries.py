@@ -54,6 +54,10 @@ def insert_only_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Change logs ---------------------------------------------------------------
 
+def changelog_undecodable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.undecodable(views.device_topic(spark, sf_dir), schemas.DEVICES).drop("value")
+
+
 def changelog_decode_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_columns(views.device_changes(spark, sf_dir))
 
@@ -239,7 +243,7 @@ BATCH_QUERIES = {
     query.__name__: query
     for query in (
         decode_envelope_devices, decode_envelope_readings, event_time_from_ts_ms, insert_only_filter,
-        changelog_decode_devices, changelog_decode_readings, changelog_encode, changelog_roundtrip,
+        changelog_undecodable, changelog_decode_devices, changelog_decode_readings, changelog_encode, changelog_roundtrip,
         cdc_snapshot_union_changes, current_devices, current_readings, changelog_same_instant, current_enriched,
         severity_classify, cdc_ts_and_partition_date,
         raw_devices_append, raw_readings_append, enriched_append, devices_left_join_readings,

@@ -1,6 +1,6 @@
 """The continuous jobs, run once over the given tables (``availableNow``).
 
-The tables are opened with ``readStream``; each query returns what its job has written.
+The tables come as streams of several batches; each query returns what its job has written.
 """
 
 from __future__ import annotations

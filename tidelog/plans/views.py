@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.timeparts import TIME_FORMAT, zoneless
 from tidelog.operators.changelog import decode
 from tidelog.schemas import DEVICES, READINGS
+from tidelog.session import fresh_dir
 from tidelog.sources.records import as_records
 
 _JSON = {"ignoreNullFields": "false", "timestampNTZFormat": TIME_FORMAT}
@@ -28,13 +29,34 @@ def fixed_now() -> Column:
     return F.lit(NOW).cast("timestamp")
 
 
+#: What the rows of a streamed table are numbered by, in the order they came.
+_NUMBER = {"customer": "c_custkey", "events": "event_id"}
+#: Batches in which a stream takes a table.
+SLICES = 3
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    table = spark.read.parquet(path)
-    if not streaming:
-        return table
-    # The pattern also matches a plain file, which a stream cannot list as a folder.
-    return spark.readStream.schema(table.schema).parquet(f"{path[:-1]}[t]")
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _as_log(table, _NUMBER[name]) if streaming else table
+
+
+def _as_log(table: DataFrame, number: str) -> DataFrame:
+    """A table as a stream of several batches, oldest rows first.
+
+    It is written to the shared folder slice after slice, each as the same number of files, and a
+    batch takes that many. So a batch is a slice at every size, and no row comes later than its slice.
+    """
+    spark = table.sparkSession
+    folder = fresh_dir(spark, f"log-{number}")
+    low, high = table.agg(F.coalesce(F.min(number), F.lit(0)), F.coalesce(F.max(number), F.lit(0))).first()
+    width = (high - low) // SLICES + 1
+    files = -(-table.rdd.getNumPartitions() // SLICES)
+    for i in range(SLICES):
+        start = low + i * width
+        mine = F.col(number).between(start, start + width - 1)
+        rows = table.where(mine | F.col(number).isNull() if i == 0 else mine)
+        rows.repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 _CREATED = f"({_BASE} - make_dt_interval(0, cast(c_custkey % 1000 as int)))"

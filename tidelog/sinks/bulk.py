@@ -26,20 +26,28 @@ def write_bulk(actions: DataFrame, path: str, batch_id: int, actions_per_file: i
     lines.write.mode("overwrite").option("maxRecordsPerFile", actions_per_file).text(f"{path}/batch_id={batch_id}")
 
 
-def write_service(actions: DataFrame, index: str, fields: list[str], nodes: str,
+def by_operation(actions: DataFrame, fields: list[str], scratch: str) -> list[tuple[DataFrame, str]]:
+    """A batch's rows per operation. The actions are computed once: written to ``scratch`` and read back."""
+    actions.write.mode("overwrite").parquet(scratch)
+    kept = actions.sparkSession.read.schema(actions.schema).parquet(scratch)
+    doc = F.from_json("doc", table_schema(fields)).alias("doc")
+    indexed = kept.where(F.col("action") == "index").select("_id", "version", doc).select("_id", "version", "doc.*")
+    deleted = kept.where(F.col("action") == "delete").select("_id", "version")
+    return [(indexed, "index"), (deleted, "delete")]
+
+
+def write_service(actions: DataFrame, index: str, fields: list[str], nodes: str, scratch: str,
                   batch_bytes: str = "1mb", batch_entries: int = 1000) -> None:
     """Send a batch through the search service's Spark connector (its jar must be present).
 
-    The connector takes one operation per write, so index and delete actions go apart.
+    The connector takes one operation per write, so index and delete actions go apart. ``scratch`` is a
+    folder that all executors share; it holds one batch at a time.
     """
     options = {
         "es.nodes": nodes, "es.mapping.id": "_id", "es.mapping.exclude": "_id,version",
         "es.mapping.version": "version", "es.mapping.version.type": "external_gte",
         "es.batch.size.bytes": batch_bytes, "es.batch.size.entries": str(batch_entries),
     }
-    doc = F.from_json("doc", table_schema(fields)).alias("doc")
-    indexed = actions.where(F.col("action") == "index").select("_id", "version", doc).select("_id", "version", "doc.*")
-    deleted = actions.where(F.col("action") == "delete").select("_id", "version")
-    for rows, operation in ((indexed, "index"), (deleted, "delete")):
+    for rows, operation in by_operation(actions, fields, scratch):
         rows.write.format("org.elasticsearch.spark.sql").mode("append").options(
             **options, **{"es.write.operation": operation}).save(index)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from tidelog.schemas import APPEND_TABLES, table_schema
 
@@ -29,6 +30,13 @@ def create_append_tables(spark: SparkSession, root: str, database: str = "iot_db
     return names
 
 
+def create_keyed_table_sql(table: str, columns: list[str], seq: T.StructType, fmt: str) -> str:
+    """DDL of a keyed table that takes changes by MERGE: its columns and each row's place in the log."""
+    fields = [T.StructField("seq", seq), *table_schema(columns)]
+    body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    return f"CREATE TABLE IF NOT EXISTS {table} ({body}) USING {fmt} PARTITIONED BY (partition_date)"
+
+
 def register_partitions(spark: SparkSession, table: str) -> None:
     """Let the catalog learn about day folders that were written by path.
 

@@ -72,7 +72,9 @@ def read_change_events(spark: SparkSession, fmt: str = "json", streaming: bool =
     """
     if fmt != "mongodb":
         return read_records(spark, fmt, streaming, path, **options)
-    options = {"change.stream.publish.full.document.only": "false", **options}
+    # Without the lookup an update event carries no image.
+    options = {"change.stream.publish.full.document.only": "false",
+               "change.stream.lookup.full.document": "updateLookup", **options}
     reader = spark.readStream if streaming else spark.read
     rows = reader.format(fmt).options(**options).load()
     return rows.select(
