@@ -4,7 +4,9 @@ from itertools import combinations
 
 import pytest
 
+from tidelog.llm.mixing import curriculum_mix, read_by_mix
 from tidelog.llm.shingles import keep_one_per_group
+from tidelog.llm.simhash import keep_one_per_component
 
 SF = "/root/testdata/sf0.01"
 
@@ -56,3 +58,20 @@ def test_near_duplicates_keep_different_texts_under_one_id(documents, odd):
     assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == [(1, "a b c d e f g"), (1, "h i j k l m n")]
     assert len(keep_one_per_group(odd).collect()) == 3  # wordless, six words, long
     assert keep_one_per_group(odd.limit(0)).count() == 0
+
+
+def test_mixing_keeps_documents_without_id(documents):
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(10))
+    rows = [(i if i % 3 else None, text(i), "ab"[i % 2]) for i in range(60)]
+    rows += [(None, text(0), "a"), (7, text(99), "b"), (7, text(98), "b")]  # a repeated row, other texts under one id
+    docs = documents(rows)
+    got = [r.asDict() for r in read_by_mix(docs).collect()]
+    mixed = [(r["doc_id"], r["source"], sum(p["taken"] for p in r["placements"])) for r in curriculum_mix(docs).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
+    assert sorted([(r["doc_id"], r["source"], r["taken"]) for r in got], key=key) == sorted([r for r in mixed if r[2]], key=key)
+    assert any(r["doc_id"] is None for r in got)
+
+
+def test_simhash_keeps_different_texts_under_one_id(documents):
+    got = keep_one_per_component(documents([(1, "a b c d e f g", "a"), (1, "h i j k l m n", "a"), (1, "h i j k l m n", "a")])).collect()
+    assert sorted(r["text"] for r in got) == ["a b c d e f g", "h i j k l m n"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import stored, word_count
+from tidelog.llm.common import doc_key, stored, word_count
 
 #: Weights by the source's place in code point order, and each one's share at the start and the end of training.
 WEIGHTS = (1, 2, 3)
@@ -46,9 +46,16 @@ def _time(done: Column, start: Column, end: Column) -> Column:
         (F.sqrt(start * start + (end - start) * (end + start) * done) - start) / (end - start) + F.lit(0.0))
 
 
+def row_names() -> tuple[Column, Column]:
+    """``doc_key`` and ``row_hash`` of a document: equal for rows with the same id, text and source only."""
+    text, source = F.coalesce(F.col("text"), F.lit("")), F.col("source")
+    return (doc_key(F.col("doc_id"), F.col("text")).alias("doc_key"),
+            F.xxhash64(text, source.isNull(), F.coalesce(source, F.lit("")), F.col("doc_id").isNull()).alias("row_hash"))
+
+
 def curriculum_mix(docs: DataFrame, epochs: int = 3, weights: tuple[int, ...] = WEIGHTS,
                    schedules: tuple[tuple[int, int], ...] = SCHEDULES, digits: int = 3) -> DataFrame:
-    """Where in training each document is read: ``doc_id, source, size, source_size, target, placements``.
+    """Where in training each document is read: ``doc_id, source, size, source_size, target, placements, doc_key, row_hash``.
 
     Within a source documents follow the MD5 of their id, epoch after epoch, until the source's target is used up;
     the last document may be read in part. A placement is (epoch, taken words, position in [0, 1)): the
@@ -58,11 +65,12 @@ def curriculum_mix(docs: DataFrame, epochs: int = 3, weights: tuple[int, ...] =
     source that owns a third of all rows is spread over all tasks.
 
     A null or empty text has size 0 and no placement. A null source is a source of its own, the last.
-    Repeated rows count each. Documents without id are ordered by their text. An empty table gives no rows.
+    Repeated rows count each. Documents without id are ordered by their text. An empty table gives no rows. ``doc_key`` and ``row_hash``
+    (see ``row_names``) tell which row of ``docs`` is meant, also without id.
     """
     slim = stored(
         docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                    F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))).alias("key")),
+                    F.md5(F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))).alias("key"), *row_names()),
         "sizes").withColumn("bucket", F.substring("key", 1, digits))
     buckets = slim.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     targets = source_targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), epochs, weights)
@@ -89,7 +97,26 @@ def curriculum_mix(docs: DataFrame, epochs: int = 3, weights: tuple[int, ...] =
     every = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(epochs - 1).cast("long")), placement)
     return placed.select("doc_id", "source", "size", "source_size", "target",
                          F.when(F.col("target") > 0, F.filter(every, lambda p: p["taken"] > 0))
-                         .otherwise(F.filter(every, lambda p: F.lit(False))).alias("placements"))
+                         .otherwise(F.filter(every, lambda p: F.lit(False))).alias("placements"), "doc_key", "row_hash")
+
+
+def read_by_mix(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the mix reads, with all their columns, the words ``taken`` and the ``first_position``; one row each."""
+    mixed = stored(curriculum_mix(docs).select(
+        F.col("doc_key").alias("__key"), F.col("row_hash").alias("__row"),
+        F.aggregate("placements", F.lit(0).cast("long"), lambda n, p: n + p["taken"]).alias("taken"),
+        F.get("placements", F.lit(0))["position"].alias("first_position")), "mix")
+    named = docs.select("*", *[c.alias(n) for c, n in zip(row_names(), ("__key", "__row"))])
+    repeated = stored(mixed.groupBy("__key", "__row").count().where("count > 1").select("__key", "__row"), "repeated")
+    ids = ["__key", "__row"]
+    out = named.join(mixed.where("taken > 0").join(repeated, ids, "left_anti"), ids)
+    if not repeated.isEmpty():
+        # Repeated rows are alike to the mix: any numbering gives each its own placement.
+        numbered = [
+            rows.join(repeated, ids, "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy(*ids).orderBy(F.col(by).asc_nulls_last())))
+            for rows, by in ((named, "__row"), (mixed, "first_position"))]
+        out = out.unionByName(numbered[0].join(numbered[1].where("taken > 0"), [*ids, "__n"]).drop("__n"))
+    return out.drop(*ids)
 
 
 def by_position(mixed: DataFrame) -> DataFrame:

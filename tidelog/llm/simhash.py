@@ -126,10 +126,12 @@ def simhash_components(docs: DataFrame, distance: int = 2) -> DataFrame:
 
 
 def keep_one_per_component(docs: DataFrame, distance: int = 2) -> DataFrame:
-    """The documents whose key is the least of their component, one row each, with all their columns."""
-    parts = stored(simhash_components(docs, distance).where("key = component").groupBy("key").count(), "kept")
-    mine = docs.withColumn("__key", doc_key(F.col("doc_id"), F.col("text")))
-    kept = mine.join(parts.select(F.col("key").alias("__key"), F.col("count").alias("__n")), "__key")
-    # Only ids that occur more than once need their rows brought together.
-    again = kept.where("__n > 1").dropDuplicates(["__key"])
+    """The documents whose key is the least of their component, one row each, with all their columns.
+    Texts with different fingerprints under one id each stay."""
+    parts = stored(simhash_components(docs, distance).where("key = component").groupBy("key", "fp").count(), "kept")
+    prints = F.pandas_udf(lambda texts: pd.Series([fingerprint(t) for t in texts], dtype="int64"), "long")
+    mine = docs.withColumn("__key", doc_key(F.col("doc_id"), F.col("text"))).withColumn("__fp", prints("text"))
+    kept = mine.join(parts.select(F.col("key").alias("__key"), F.col("fp").alias("__fp"), F.col("count").alias("__n")), ["__key", "__fp"])
+    # Only rows that occur more than once need to be brought together.
+    again = kept.where("__n > 1").dropDuplicates(["__key", "__fp"])
     return kept.where("__n = 1").unionByName(again).select(*[f"`{c}`" for c in docs.columns])
