@@ -4,6 +4,7 @@ from itertools import combinations
 
 import pytest
 
+from tidelog.llm import toxicity
 from tidelog.llm.mixing import curriculum_mix, read_by_mix
 from tidelog.llm.shingles import keep_one_per_group
 from tidelog.llm.simhash import keep_one_per_component
@@ -75,3 +76,9 @@ def test_mixing_keeps_documents_without_id(documents):
 def test_simhash_keeps_different_texts_under_one_id(documents):
     got = keep_one_per_component(documents([(1, "a b c d e f g", "a"), (1, "h i j k l m n", "a"), (1, "h i j k l m n", "a")])).collect()
     assert sorted(r["text"] for r in got) == ["a b c d e f g", "h i j k l m n"]
+
+
+def test_spaced_letters_are_read_to_the_end():
+    words = toxicity.words_of("y o u a r e a t o t a l l y d i s g u s t i n g i d i o t")
+    assert {"youareatotallydisgusting", "lydisgustingidiot"} <= set(words)
+    assert toxicity.words_of("i d i o t")["idiot"] == 1

@@ -37,15 +37,18 @@ def words_of(text: str | None) -> Counter:
     Letters spaced out are one word. Words of more than 24 characters count as overlapping pieces of 24."""
     text = (text or "").lower()
     words: Counter = Counter()
-    for raw, n in Counter(text.split()).items():
-        word = raw if raw.isalpha() else _INSIDE.sub("", _EDGES.sub("", raw))
+
+    def add(word: str, n: int) -> None:
         if len(word) > _LONGEST:
             for at in range(0, len(word) - _LONGEST // 2, _LONGEST // 2):
                 words[word[at:at + _LONGEST]] += n
         elif word:
             words[word] += n
+
+    for raw, n in Counter(text.split()).items():
+        add(raw if raw.isalpha() else _INSIDE.sub("", _EDGES.sub("", raw)), n)
     for found in _SPACED.findall(text):
-        words[re.sub(r"[ .\-_*]", "", found)[:_LONGEST]] += 1
+        add(re.sub(r"[ .\-_*]", "", found), 1)
     return words
 
 
