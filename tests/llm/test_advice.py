@@ -4,7 +4,7 @@ from itertools import combinations
 
 import pytest
 
-from tidelog.llm import toxicity
+from tidelog.llm import pages, toxicity
 from tidelog.llm.mixing import curriculum_mix, read_by_mix
 from tidelog.llm.shingles import keep_one_per_group
 from tidelog.llm.simhash import keep_one_per_component
@@ -82,3 +82,14 @@ def test_spaced_letters_are_read_to_the_end():
     words = toxicity.words_of("y o u a r e a t o t a l l y d i s g u s t i n g i d i o t")
     assert {"youareatotallydisgusting", "lydisgustingidiot"} <= set(words)
     assert toxicity.words_of("i d i o t")["idiot"] == 1
+
+
+@pytest.mark.parametrize("attributes, seen", [
+    ("style='overflow:hidden'", True), ("class='overflow-hidden'", True), ("class=hidden-xs", True), ("aria-hidden='false'", True),
+    ("data-hidden=1", True), ("hidden", False), ("hidden=''", False), ("style='color:red; display : none'", False),
+    ('style="VISIBILITY:hidden"', False), ("id=a class=b hidden", False)])
+def test_pages_hide_by_attributes_only(attributes, seen):
+    page = f"<html><body><main {attributes}><p>A whole article stands here, with more than ten words in its only line.</p></main></body></html>"
+    w, tr = pages.fit_crf()
+    assert bool(pages.leaf_blocks(page)) == seen
+    assert bool(pages.main_text(page, w, tr)) == seen

@@ -27,7 +27,8 @@ _TOKEN = re.compile(
     re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _PARTS = re.compile(r"[a-z]+")
-_HIDDEN = re.compile(r"display\s*:\s*none|\bhidden\b", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 
 #: Parts of class, id and role names that tell content and surroundings apart.
 CONTENT_NAMES = frozenset("article articlebody content contents post entry main body story text maincontent blog prose".split())
@@ -43,6 +44,18 @@ BOILER_NAMES = {
     "share": "share sharing social follow meta byline".split(),
 }
 _BOILER = {name: kind for kind, names in BOILER_NAMES.items() for name in names}
+#: Whole class names that a style sheet usually hides; a feature like others, as scripts may show the element.
+HIDDEN_CLASSES = frozenset("hidden hide d-none is-hidden invisible visually-hidden sr-only screen-reader-text".split())
+
+
+def is_hidden(attributes: str) -> bool:
+    """Whether a tag's attributes hide the element by themselves: ``hidden``, or a style of no display or hidden visibility."""
+    found = [(m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or "") for m in _ATTRIBUTE.finditer(attributes)]
+    return any(name == "hidden" or name == "style" and _UNSEEN.search(value) for name, value in found)
+
+
+def _classes(attributes: str) -> list[str]:
+    return [c for m in _ATTRIBUTE.finditer(attributes) if m.group(1).lower() == "class" for c in (m.group(2) or m.group(3) or m.group(4) or "").lower().split()]
 
 
 class Block:
@@ -109,7 +122,9 @@ def leaf_blocks(page: str | None) -> list[Block]:
             continue
         names = [p for g in _NAMES.findall(m.group(4)) for p in _PARTS.findall("".join(g).lower())]
         kinds = frozenset(_BOILER[p] for p in names if p in _BOILER)
-        hidden = name in UNREAD or bool(_HIDDEN.search(m.group(4)))
+        if names and not HIDDEN_CLASSES.isdisjoint(_classes(m.group(4))):
+            kinds |= {"hidden"}
+        hidden = name in UNREAD or is_hidden(m.group(4))
         stack.append((name, kinds, any(p in CONTENT_NAMES for p in names), hidden))
         unread += hidden
     flush()
@@ -117,7 +132,7 @@ def leaf_blocks(page: str | None) -> list[Block]:
 
 
 TAGS = "article main section nav header footer aside form li ul ol td table p h1 h2 h3 h4 blockquote pre figure figcaption dl label address".split()
-NAMED = [*(f"tag {t}" for t in TAGS), *(f"leaf {t}" for t in (*TAGS, "div", "body")), *(f"kind {k}" for k in BOILER_NAMES),
+NAMED = [*(f"tag {t}" for t in TAGS), *(f"leaf {t}" for t in (*TAGS, "div", "body")), *(f"kind {k}" for k in (*BOILER_NAMES, "hidden")),
          "content name", "content or article", "no content around", "words 1", "words 2-4", "words 5-9", "words 10-24", "words 25+", "linked none",
          "linked some", "linked most", "ends a sentence", "copyright", "separators", "first", "last"]
 SLOT = {name: i for i, name in enumerate(NAMED)}
@@ -147,7 +162,7 @@ def block_features(blocks: list[Block]) -> list[list[int]]:
 def labelled_pages(n: int = 240, seed: int = 17) -> list[tuple[list[Block], list[int]]]:
     """Pages laid out by rule, with the blocks of their article marked: articles in an element of their own, in a named one or
     bare, among menus, headers, adverts, notices, sidebars, forms, comments and footers, some of them never closed."""
-    rng = np.random.default_rng(seed)
+    rng, veil = np.random.default_rng(seed), np.random.default_rng(seed + 1000)
     syllables = "ba ce di fo gu la me ni po ru sa te vi zo en ar is on th el".split()
 
     def words(a, b):
@@ -192,6 +207,9 @@ def labelled_pages(n: int = 240, seed: int = 17) -> list[tuple[list[Block], list
                           ("<main><article>", "</article></main>"), ("", ""), ('<div class="entry">', "</div>"))
         head = [x for x in before if rng.random() < 0.45] or before[:1]
         tail = [x for x in after if rng.random() < 0.45] or after[-2:-1]
+        if veil.random() < 0.2:  # drawn apart, so that the rest of a page is the same with and without
+            unseen = " ".join("".join(syllables[i] for i in veil.integers(len(syllables), size=3)) for _ in range(veil.integers(3, 25)))
+            (head, tail)[veil.integers(2)].append(f'<div class="{("hidden", "hide", "sr-only")[veil.integers(3)]}"><p>{unseen}.</p></div>')
         text = f"<html><head><title>{words(2, 6)}</title></head><body>{''.join(head)}{start}{''.join(body)}{end}{''.join(tail)}</body></html>"
         blocks = leaf_blocks(text)
         main = set(inside)
