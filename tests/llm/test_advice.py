@@ -4,7 +4,7 @@ from itertools import combinations
 
 import pytest
 
-from tidelog.llm import pages, toxicity
+from tidelog.llm import pages, secrets, toxicity
 from tidelog.llm.mixing import curriculum_mix, read_by_mix
 from tidelog.llm.shingles import keep_one_per_group
 from tidelog.llm.simhash import keep_one_per_component
@@ -93,3 +93,18 @@ def test_pages_hide_by_attributes_only(attributes, seen):
     w, tr = pages.fit_crf()
     assert bool(pages.leaf_blocks(page)) == seen
     assert bool(pages.main_text(page, w, tr)) == seen
+
+
+@pytest.mark.parametrize("text, secret", [
+    ("password: hunter2pass", "hunter2pass"), ("token: abcdefghijKLMNOPqrstUVWXyz", "abcdefghijKLMNOPqrstUVWXyz"),
+    ("DB_PASSWORD=Summer2024!", "Summer2024!"), ("API_KEY=" + "aB3dE5fG7h." * 30 + "x", "aB3dE5fG7h." * 30 + "x"),
+    ("secret = \"" + "aB3dE5fG7h." * 30 + "\"", "aB3dE5fG7h." * 30), ("Authorization: Bearer qWeRtYuIoPaSdFgH12", "qWeRtYuIoPaSdFgH12")])
+def test_secrets_after_a_name(text, secret):
+    forest = secrets.fit_forest()
+    found = [c for _, _, c, score in secrets.findings(f"so\n{text}\nnext line", forest) if score >= 0.5]
+    assert found == [secret]
+
+
+@pytest.mark.parametrize("text", ["the token: is read here", "password = os.environ[PASSWORD]", "token = null", "Donaudampfschifffahrt fährt", "key: value", "-" * 40])
+def test_harmless_values_stay(text):
+    assert not [c for _, _, c, score in secrets.findings(text, secrets.fit_forest()) if score >= 0.5]

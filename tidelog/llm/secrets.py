@@ -11,10 +11,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A candidate: a run of key characters of 16 or more with a digit in it, or the value given to a secret's name.
+#: A candidate: a run of key characters of 16 or more, or the value given to a secret's name, quoted or not and of any length.
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
 _ASSIGNED = re.compile(
-    r"(?i)(?:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[:=]\s{0,3}[\"']([^\s\"']{8,200})[\"']")
+    r"""(?i)(?:passw(?:or)?d|passwd|passphrase|pwd|secret|token|api[_-]?key|apikey|[a-z]{2,20}[_-]key|\bkey|auth(?:orization)?|credentials?)"""
+    r"""[a-z0-9_.\-]{0,40}["'`]?\s{0,3}(?::=|=>|[:=])\s{0,3}(?:(?:bearer|basic|token)\s+)?"""
+    r"""(?:"([^"\n]+)"|'([^'\n]+)'|`([^`\n]+)`|["'`]?([^\s"'`]+))|\bbearer\s+([^\s"'`]{8,})""")
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_\-]*=+(?=[^=])")
+_TAIL = ".,;:)]}>"
 
 #: Words that name a secret, words that name a harmless digest or id, placeholders, common words in identifiers.
 NAMES = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "api-key", "access_key", "auth", "bearer", "credential",
@@ -36,10 +40,11 @@ WORDS = ("access", "account", "action", "address", "admin", "application", "arra
          "stream", "string", "style", "system", "table", "target", "task", "template", "test", "text", "thread", "time", "title", "token",
          "tree", "type", "unit", "update", "upload", "url", "user", "util", "value", "version", "view", "web", "width", "window", "work",
          "write", "xml", "your")
+PASSWORDS = ("summer", "Summer", "winter", "hunter", "dragon", "Monkey", "letmein", "Welcome", "qwerty", "Admin", "P@ssw0rd", "s3cret", "Passw", "football")
 _WORDS = re.compile("|".join(sorted(WORDS, key=len, reverse=True)))
 
 FEATURES = ("length", "entropy", "digits", "uppers", "symbols", "class_changes", "vowel_changes", "distinct", "hex_only", "dictionary",
-            "placeholder", "in_path", "name_before", "harmless_before", "quoted", "assigned", "dashes", "longest_letters")
+            "placeholder", "in_path", "name_before", "harmless_before", "quoted", "assigned", "dashes", "longest_letters", "code")
 
 
 def features(candidate: str, before: str, after: str) -> list[float]:
@@ -63,15 +68,38 @@ def features(candidate: str, before: str, after: str) -> list[float]:
         float(any(w.strip("_-") in HARMLESS for w in words)),
         float(before[-1:] in "\"'`" and before != "" and after[:1] in "\"'`" and after != ""),
         float(bool(re.search(r"[:=]\s*[\"'`]?$", before))), candidate.count("-"), max(map(len, letters), default=0),
+        sum(c in "()[]{}<>$ " for c in candidate) / n,
     ]
 
 
 def candidates(text: str | None, reach: int = 60) -> list[tuple[int, str, str, str]]:
     """(start, candidate, text before, text after), in order; a longer match covers those inside it."""
     text = text or ""
-    spans = {m.span() for m in _CANDIDATE.finditer(text) if any(c.isdigit() for c in m.group())}
-    if "=" in text or ":" in text:
-        spans |= {m.span(1) for m in _ASSIGNED.finditer(text)}
+    spans, named = set(), []
+    if "=" in text or ":" in text or "earer" in text or "EARER" in text:
+        for m in _ASSIGNED.finditer(text):
+            k = m.lastindex
+            a, b = m.span(k)
+            if k > 3:  # not quoted: without the sentence's or the bracket's end
+                kept = text[a:b].rstrip(_TAIL if not any(c in text[a:b] for c in "([{<") else ".,;:")
+                b = a + len(kept)
+            if b > a:
+                spans.add((a, b))
+                named.append((m.start(), b))
+    at = 0
+    for m in _CANDIDATE.finditer(text):
+        a, b = m.span()
+        while at < len(named) and named[at][1] <= a:
+            at += 1
+        k = at
+        while k < len(named) and named[k][0] < b:  # what stands outside the name and its value
+            if named[k][0] - a >= 16:
+                spans.add((a, named[k][0]))
+            a = max(a, named[k][1])
+            k += 1
+        if b - a >= 16:
+            name = _NAME.match(text, a, b)
+            spans.add((name.end() if name else a, b))
     out, end = [], -1
     for a, b in sorted(spans, key=lambda s: (s[0], -s[1])):
         if b > end:
@@ -81,8 +109,8 @@ def candidates(text: str | None, reach: int = 60) -> list[tuple[int, str, str, s
 
 
 def labelled_findings(n: int = 1500, seed: int = 7) -> tuple[list[tuple[str, str, str]], np.ndarray]:
-    """``n`` findings with labels (1: a secret), drawn by rule: random strings under a secret's name, against digests, ids,
-    placeholders, identifiers, paths and prose."""
+    """``n`` findings with labels (1: a secret), drawn by rule: random strings and passwords under a secret's name, against digests, ids,
+    placeholders, identifiers, calls, paths and prose."""
     rng = np.random.default_rng(seed)
     pick = lambda xs: xs[rng.integers(len(xs))]
     draw = lambda alphabet, k: "".join(pick(alphabet) for _ in range(k))
@@ -90,12 +118,15 @@ def labelled_findings(n: int = 1500, seed: int = 7) -> tuple[list[tuple[str, str
     prose = lambda: " ".join(draw("etaoinshr", rng.integers(2, 8)) for _ in range(rng.integers(2, 6)))
     rows, labels = [], []
     for i in range(n):
-        secret, kind = i % 2, rng.integers(6)
+        secret, kind = i % 2, rng.integers(10)
         name, quote, sign = pick(NAMES), pick(["\"", "'", ""]), pick([" = ", "=", ": ", ":"])
         if secret:
             value = [lambda: draw(hexes, pick([32, 40, 40, 64])), lambda: draw(alnum, rng.integers(20, 60)),
                      lambda: "AK" + draw(upper, 18), lambda: "sk-" + draw(alnum, rng.integers(24, 48)),
-                     lambda: draw(alnum + "+/", rng.integers(30, 88)) + "==", lambda: draw(hexes, 40).upper()][kind]()
+                     lambda: draw(alnum + "+/", rng.integers(30, 88)) + "==", lambda: draw(hexes, 40).upper(),
+                     lambda: pick(PASSWORDS) + draw("0123456789", rng.integers(1, 5)) + pick(["", "!", "#", "pass", "$x"]),
+                     lambda: draw(alnum, rng.integers(8, 20)) + pick(["", "!", "@9", "%"]),
+                     lambda: draw(alnum[:52], rng.integers(16, 50)), lambda: "".join(draw(alnum, 9) + "." for _ in range(rng.integers(22, 60)))][kind]()
             before = f"{prose()} {pick(['', 'my_', 'service '])}{name}{sign}{quote}"
         elif kind < 2:
             value = draw(hexes, pick([32, 40, 64])) if kind else "-".join(draw(hexes, k) for k in (8, 4, 4, 4, 12))
@@ -106,6 +137,16 @@ def labelled_findings(n: int = 1500, seed: int = 7) -> tuple[list[tuple[str, str
             value, before = "_".join(pick(WORDS) for _ in range(rng.integers(3, 6))) + pick(["1", "2", "v2"]), f"{prose()} {pick(['', name + sign])}{quote}"
         elif kind == 4:
             value, before, quote = "/".join(draw("etaoinshr", rng.integers(3, 9)) for _ in range(4)) + str(rng.integers(1000)), f"{prose()} https://{draw('abc', 6)}.com/", ""
+        elif kind == 5:
+            value, before = pick([lambda: draw("etaoinshr", rng.integers(1, 12)), lambda: pick(WORDS), lambda: pick(["null", "none", "true", "false", "str", "string", "*****", "..."]),
+                                  lambda: str(rng.integers(1000))])(), f"{prose()} {name}{sign}{pick([quote, ''])}"
+        elif kind == 6:
+            value, before, quote = pick(["os.environ[{}]", "get_{}()", "${{{}}}", "$({})", "<your-{}>", "self.{}", "config.{}.value", "{{{{ {} }}}}"]).format(
+                pick([pick(WORDS), pick(WORDS).upper(), pick(NAMES).upper()])), f"{prose()} {name}{sign}", ""
+        elif kind == 7:
+            value, before, quote = draw("etaoinshrlducmp", rng.integers(16, 34)), f"{prose()} ", ""
+        elif kind == 8:
+            value, before = " ".join(draw("etaoinshr", rng.integers(2, 8)) for _ in range(rng.integers(2, 9))), f"{prose()} {name}{sign}{quote}"
         else:
             value, before = pick([draw("0123456789", rng.integers(16, 24)), draw("-=", 20) + "1", draw("etaoinshr", rng.integers(16, 40)) + "2"]), f"{prose()} "
             quote = ""
