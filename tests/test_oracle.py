@@ -2,7 +2,7 @@
 
 import compare
 import pytest
-from conftest import SF
+from fixtures import SF
 
 import __spark_entry__ as registry
 from tidelog.plans.oracle import ORACLE

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF
+from fixtures import SF
 from fixtures import change, device, fixed_now, frame, record
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -6,7 +6,7 @@ import glob
 import json
 
 import pytest
-from conftest import SF
+from fixtures import SF
 from fixtures import (
     BASE_MS,
     change,
