@@ -9,6 +9,7 @@ from tidelog.llm.chat import CHAT_SQL, format_conversations
 from tidelog.llm.common import table
 from tidelog.llm.decontaminate import DECONTAMINATE_SQL, contaminated
 from tidelog.llm.licenses import scan_licenses
+from tidelog.llm.manifest import MANIFEST_SQL, merkle_manifest, verified
 from tidelog.llm.mixing import MIX_SQL, by_position, curriculum_mix
 from tidelog.llm.neighbours import vector_links
 from tidelog.llm.pages import extract_main_text
@@ -16,6 +17,8 @@ from tidelog.llm.secrets import scan_secrets
 from tidelog.llm.simhash import simhash_components
 from tidelog.llm.substrings import remove_repeats
 from tidelog.llm.toxicity import fit_on, held_out, score_toxicity
+from tidelog.llm.trie import TRIE_SQL, prefix_trie
+from tidelog.llm.urls import judge_urls
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,11 +79,29 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("left", "right")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and the root that follows after tampering."""
+    return verified(merkle_manifest(table(spark, sf_dir, "documents")))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict by its url."""
+    return judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_simhash_dedup, op3_html_extraction, op4_source_mixing, op5_decontamination, op6_secret_scan, op7_chat_formatting,
-    op8_suffix_array_dedup, op9_embedding_dedup, op10_license_scan)}
+    op8_suffix_array_dedup, op9_embedding_dedup, op10_license_scan,
+    op11_conversation_trie, op12_merkle_manifest, op13_url_filter)}
 ORACLE = {
     "op4_source_mixing": MIX_SQL.format(docs="documents"),
     "op5_decontamination": DECONTAMINATE_SQL.replace("{docs}", "documents"),
     "op7_chat_formatting": CHAT_SQL,
+    "op11_conversation_trie": TRIE_SQL,
+    "op12_merkle_manifest": MANIFEST_SQL,
 }
