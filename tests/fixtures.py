@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -41,13 +42,18 @@ def record(value, pos, part=0, record_ms=None):
     return {"value": value, "part": part, "pos": pos, "record_ms": pos if record_ms is None else record_ms}
 
 
+_WRITTEN = [0]
+
+
 def write_records(folder, records, name):
-    """One JSON-lines file of records; appears at once, and later files sort after it."""
+    """One JSON-lines file of records; appears at once, and later files sort after it: a stream takes files by their time."""
     os.makedirs(folder, exist_ok=True)
     part = os.path.join(folder, f".{name}")
     with open(part, "w", encoding="utf-8") as out:
         for item in records:
             out.write(json.dumps(item, ensure_ascii=False) + "\n")
+    _WRITTEN[0] = max(_WRITTEN[0] + 1, time.time_ns() // 1_000_000)
+    os.utime(part, ns=(_WRITTEN[0] * 1_000_000,) * 2)
     os.rename(part, os.path.join(folder, f"{name}.json"))
 
 

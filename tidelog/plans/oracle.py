@@ -346,17 +346,25 @@ SELECT device_id, device_name, status FROM devices d
 WHERE NOT EXISTS (SELECT 1 FROM readings s WHERE s.device_id = d.device_id)"""),
 }
 
-# Windows are closed up to the watermark: the newest counted reading less ten seconds.
-_CLOSED = """
-SELECT * FROM ({inner}) WHERE window_end <=
-  (SELECT max(date_trunc('milliseconds', ts)) - INTERVAL 10 SECOND FROM events WHERE event_type <> 'signup')"""
-
-
 def _held(docs: str) -> str:
     """The documents left once all actions are done."""
     return f"SELECT * EXCLUDE (_index, action, version) FROM ({ORACLE[docs]}) WHERE action = 'index'"
 
 
+def _within(devices: str = "true") -> str:
+    """Pairs of created device images and readings, at most two hours apart."""
+    return query([EVENTS, DEVICE_CHANGES, READING_ROWS], f"""
+SELECT {joined('s.mongo_id', 'd._id', 's.event_timestamp')},
+       {CDC_TS.format('s.event_timestamp')} AS cdc_ts, {DAY.format('s.event_timestamp')} AS partition_date
+FROM device_changes d JOIN reading_rows s ON d.device_id = s.device_id
+WHERE d.row_kind = '+I' AND d.pos % 3 <> 0 AND d.pos % 5 <> 0 AND s.reading_id IS NOT NULL
+  AND abs(epoch_us(s.event_timestamp) // 1000 - d.ms) <= 7200000 AND {devices}""")
+
+
+_HALF = "(SELECT (min(event_id) + max(event_id)) / 2 FROM ev)"
+# The last watermark: the readings' own times, less the 30 seconds that silent devices lag, less ten; rows two hours older are due.
+_DUE = "make_timestamp((SELECT max(ts_ms) FROM ev WHERE event_id % 13 <> 12) * 1000) - INTERVAL 40 SECOND - INTERVAL 2 HOUR"
+
 STREAM_ORACLE = {
     "stream_capture_devices": query([EVENTS, DEVICE_CHANGES], f"""
 SELECT CASE WHEN row_kind IN ('-U', '-D') THEN '-D' ELSE '+I' END AS row_kind, ms, pos * 2 + ord AS pos, _id,
@@ -364,13 +372,31 @@ SELECT CASE WHEN row_kind IN ('-U', '-D') THEN '-D' ELSE '+I' END AS row_kind, m
 FROM device_changes"""),
     "stream_devices_raw": ORACLE["raw_devices_append"],
     "stream_readings_raw": ORACLE["raw_readings_append"],
-    "stream_enriched_within_ttl": query([EVENTS, DEVICE_CHANGES, READING_ROWS], f"""
-SELECT {joined('s.mongo_id', 'd._id', 's.event_timestamp')},
-       {CDC_TS.format('s.event_timestamp')} AS cdc_ts, {DAY.format('s.event_timestamp')} AS partition_date
-FROM device_changes d JOIN reading_rows s ON d.device_id = s.device_id
-WHERE d.row_kind = '+I' AND d.pos % 3 <> 0 AND d.pos % 5 <> 0 AND s.reading_id IS NOT NULL
-  AND abs(epoch_us(s.event_timestamp) // 1000 - d.ms) <= 7200000"""),
-    "stream_temperature_minute": _CLOSED.format(inner=ORACLE["temperature_minute"]).strip(),
+    "stream_enriched_within_ttl": _within(),
+    "stream_enriched_quiet_devices": _within(f"d.pos <= {_HALF}"),
+    "stream_unmatched_readings": query([EVENTS, DEVICE_CHANGES, READING_ROWS], f"""
+SELECT mongo_id, reading_id, device_id, sensor_value, unit, quality, "timestamp" AS reading_timestamp, battery_level, event_timestamp,
+       {CDC_TS.format('event_timestamp')} AS cdc_ts, {DAY.format('event_timestamp')} AS partition_date
+FROM reading_rows s
+WHERE reading_id IS NOT NULL AND event_timestamp < {_DUE} AND NOT EXISTS (
+  SELECT 1 FROM device_changes d
+  WHERE d.row_kind = '+I' AND d.pos % 3 <> 0 AND d.pos % 5 <> 0 AND d.pos <= {_HALF} AND d.device_id = s.device_id
+    AND abs(epoch_us(s.event_timestamp) // 1000 - d.ms) <= 7200000)"""),
+    "stream_temperature_minute": query([EVENTS, DEVICES, DEVICE_ROWS], f"""
+, reading_rows AS (
+  SELECT CASE WHEN event_id % 41 = 0 THEN NULL ELSE 'R' || event_id END AS reading_id, CAST(user_id AS VARCHAR) AS device_id, value AS sensor_value,
+         CASE event_type WHEN 'error' THEN 'critical' WHEN 'purchase' THEN 'warning' ELSE 'good' END AS quality, ts
+  FROM ev WHERE event_type <> 'signup' AND event_id % 29 <> 28 AND event_id % 19 <> 18),
+counted AS (SELECT * FROM reading_rows WHERE reading_id IS NOT NULL)
+SELECT date_trunc('minute', s.ts) AS window_start, date_trunc('minute', s.ts) + INTERVAL 1 MINUTE AS window_end,
+       s.device_id, d.device_name, d.location, d.building, count(*) AS reading_count,
+       round(avg(s.sensor_value), 6) AS avg_temperature, max(s.sensor_value) AS max_temperature, min(s.sensor_value) AS min_temperature,
+       count(CASE WHEN s.quality = 'warning' THEN 1 END) AS warning_count, count(CASE WHEN s.quality = 'critical' THEN 1 END) AS critical_count,
+       {CDC_TS.format("date_trunc('minute', s.ts)")} AS cdc_ts, {DAY.format("date_trunc('minute', s.ts)")} AS partition_date
+FROM counted s JOIN device_rows d ON s.device_id = d.device_id
+WHERE d.device_type = 'temperature'
+  AND date_trunc('minute', s.ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 SECOND FROM counted)
+GROUP BY ALL"""),
     "stream_upsert_devices": ORACLE["upsert_devices_by_day"],
     "stream_upsert_readings": ORACLE["upsert_readings_by_day"],
     "stream_upsert_enriched": ORACLE["upsert_enriched_by_day"],

@@ -59,23 +59,37 @@ def stream_readings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _append_lake(spark, sf_dir, "sensor_readings_raw")
 
 
+def _joined(spark: SparkSession, sf_dir: str, name: str, columns: list[str], devices: DataFrame, idle_seconds: int | None = None) -> DataFrame:
+    root = fresh_dir(spark, "joined")
+    finish(start_append_lake(
+        devices, views.reading_topic(spark, sf_dir, streaming=True), root, trigger=ONCE, now=views.fixed_now(), only=[name],
+        idle_seconds=idle_seconds))
+    return open_table(spark, f"{root}/{name}", schemas.table_schema(columns))
+
+
 def stream_enriched_within_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream-stream join of created device images and readings, two hours apart at most."""
-    root = fresh_dir(spark, "joined")
-    devices = decode_rows.device_rows(views.device_change_records(spark, sf_dir, streaming=True), views.fixed_now())
-    readings = decode_rows.reading_rows(views.reading_topic(spark, sf_dir, streaming=True), views.fixed_now())
-    writer = append_stream(tables.enriched_raw(enriched_stream(devices, readings)), f"{root}/devices_readings")
-    finish([start(writer, "devices_readings", f"{root}/_checkpoints", ONCE)])
-    return open_table(spark, f"{root}/devices_readings", schemas.table_schema(schemas.ENRICHED_RAW))
+    return _joined(spark, sf_dir, "devices_readings", schemas.ENRICHED_RAW, views.device_change_records(spark, sf_dir, streaming=True))
+
+
+def stream_enriched_quiet_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where the device stream stops half-way and only readings come."""
+    return _joined(spark, sf_dir, "devices_readings", schemas.ENRICHED_RAW, views.early_device_records(spark, sf_dir))
+
+
+def stream_unmatched_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings without a device within two hours, where the device stream stops half-way: all that are due come out."""
+    return _joined(spark, sf_dir, "unmatched_readings", schemas.UNMATCHED_READINGS, views.early_device_records(spark, sf_dir), idle_seconds=30)
 
 
 def stream_temperature_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The windows that are closed once all input is taken."""
+    """The windows that are closed once all input is taken, labelled from the job's own table of devices."""
     root = fresh_dir(spark, "temperature")
-    readings = views.flat(views.reading_documents(spark, sf_dir, streaming=True))
-    writer = temperature_writer(readings, lambda: views.devices(spark, sf_dir), f"{root}/minute")
-    finish([start(writer, "temperature_readings_minute", f"{root}/_checkpoints", ONCE)])
-    rows = read_numbered(spark, f"{root}/minute", schemas.TEMPERATURE_MINUTE)
+    for name in ("devices_raw", "temperature_readings_minute"):
+        finish(start_append_lake(
+            views.device_topic(spark, sf_dir, streaming=True), views.timed_reading_topic(spark, sf_dir), root, trigger=ONCE,
+            now=views.fixed_now(), only=[name]))
+    rows = read_numbered(spark, f"{root}/temperature_readings_minute", schemas.TEMPERATURE_MINUTE)
     return rows.withColumn("avg_temperature", F.round("avg_temperature", 6))
 
 
@@ -147,7 +161,7 @@ STREAM_QUERIES = {
     query.__name__: query
     for query in (
         stream_capture_devices, stream_capture_readings, stream_devices_raw, stream_readings_raw, stream_enriched_within_ttl,
-        stream_temperature_minute, stream_upsert_devices, stream_upsert_readings, stream_upsert_enriched,
+        stream_enriched_quiet_devices, stream_unmatched_readings, stream_temperature_minute, stream_upsert_devices, stream_upsert_readings, stream_upsert_enriched,
         stream_search_devices, stream_search_readings, stream_search_enriched,
         stream_search_direct_devices, stream_search_direct_readings, stream_search_direct_enriched,
     )

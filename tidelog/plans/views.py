@@ -167,19 +167,30 @@ def device_topic(spark: SparkSession, sf_dir: str, streaming: bool = False) -> D
     return as_records(_customers(spark, sf_dir, streaming), value, key % 4, key, F.lit(None))
 
 
-def reading_topic(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """Creates of all readings, with updates and missing images in between."""
+def reading_topic(spark: SparkSession, sf_dir: str, streaming: bool = False, timed: bool = False) -> DataFrame:
+    """Creates of all readings, with updates, missing images and (unless ``timed``) missing capture times in between."""
     image = _struct(_reading_fields(reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))",
                            timestamp="if(event_id % 43 = 42, NULL, ts)"))
     value = _envelope_text(
         f"if(false, {image}, NULL)",
         f"if(event_id % 29 = 28, NULL, {image})",
         "CASE WHEN event_id % 19 = 18 THEN 'u' ELSE 'c' END",
-        "if(event_id % 13 = 12, NULL, ts_ms)")
+        "ts_ms" if timed else "if(event_id % 13 = 12, NULL, ts_ms)")
     rows = _events(spark, sf_dir, streaming)
     return as_records(rows, value, F.col("event_id") % 4, F.col("event_id"), F.col("ts_ms"))
 
 
+def timed_reading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reading topic as a stream whose records all carry their capture time, so that the last of them closes windows."""
+    return reading_topic(spark, sf_dir, streaming=True, timed=True)
+
+
+def early_device_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The device change log as a stream that falls silent after the first half of its time."""
+    half = spark.read.parquet(f"{sf_dir}/events.parquet").agg(((F.min("event_id") + F.max("event_id")) / 2).alias("half")).first()["half"]
+    return device_change_records(spark, sf_dir, streaming=True).where(F.col("pos") <= F.lit(half or 0))
+
+
 def _device_image(threshold: str, updated: str) -> str:
     return _struct({
         "_id": "concat('d', user_id, if(event_id % 7 = 3, 'b', 'a'))",

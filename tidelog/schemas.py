@@ -102,6 +102,10 @@ TEMPERATURE_MINUTE = _columns("""window_start window_end device_id device_name l
     reading_count avg_temperature max_temperature min_temperature
     warning_count critical_count cdc_ts partition_date""")
 
+# Readings that had no device in time.
+UNMATCHED_READINGS = _columns("""mongo_id reading_id device_id sensor_value unit quality reading_timestamp battery_level
+    event_timestamp cdc_ts partition_date""")
+
 # Columns of the keyed tables.
 DEVICES_BY_DAY = _columns(f"mongo_id {_DEVICE_BODY} partition_date")
 READINGS_BY_DAY = _columns(f"""mongo_id {_READING_BODY} reading_timestamp battery_level
