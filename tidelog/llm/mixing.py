@@ -64,7 +64,7 @@ def curriculum_mix(docs: DataFrame, epochs: int = 3, weights: tuple[int, ...] =
     Running sums are taken in two levels, 16^``digits`` hash ranges per source and the rows of a range, so a
     source that owns a third of all rows is spread over all tasks.
 
-    A null or empty text has size 0 and no placement. A null source is a source of its own, the last.
+    A null or empty text has size 0 and no placement, and so have all documents of a source without words. A null source is a source of its own, the last.
     Repeated rows count each. Documents without id are ordered by their text. An empty table gives no rows. ``doc_key`` and ``row_hash``
     (see ``row_names``) tell which row of ``docs`` is meant, also without id.
     """
@@ -80,7 +80,7 @@ def curriculum_mix(docs: DataFrame, epochs: int = 3, weights: tuple[int, ...] =
                          (F.col("place") % len(schedules) + 1).cast("int"))
     plan = buckets.join(targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
         F.col("source").alias("s"), F.col("bucket").alias("b"), "offset", "source_size", "target", shape.alias("shape"))
-    within = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(
+    within = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "row_hash").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     placed = (
         slim.withColumn("inside", F.sum("size").over(within) - F.col("size"))
@@ -92,7 +92,7 @@ def curriculum_mix(docs: DataFrame, epochs: int = 3, weights: tuple[int, ...] =
         first = epoch * F.col("source_size") + F.col("start")
         taken = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - first))
         return F.struct(epoch.alias("epoch"), taken.alias("taken"),
-                        _time(first / F.col("target"), F.col("shape.a"), F.col("shape.b")).alias("position"))
+                        _time(F.try_divide(first, F.col("target")), F.col("shape.a"), F.col("shape.b")).alias("position"))
 
     every = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(epochs - 1).cast("long")), placement)
     return placed.select("doc_id", "source", "size", "source_size", "target",

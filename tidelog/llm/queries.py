@@ -33,7 +33,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the least id it can be reached from."""
     found = simhash_components(table(spark, sf_dir, "documents"))
-    return found.select(F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
 
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import doc_key, stored
+from tidelog.llm.common import stored
 from tidelog.llm.graph import connected_components
 
 BITS = 64
@@ -34,14 +34,30 @@ def fingerprint(text: str | None, words: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"key": batch["key"], "fp": [fingerprint(t) for t in batch["text"]]})
+def _fingerprints(words: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = batch.drop(columns="text")
+            out["fp"] = [fingerprint(t, words) for t in batch["text"]]
+            yield out
 
+    return run
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(key, fp) per document."""
-    return docs.select(doc_key(F.col("doc_id"), F.col("text")).alias("key"), "text").mapInPandas(_fingerprints, "key long, fp long")
+
+def row_names(docs: DataFrame) -> list[Column]:
+    """128 bits that name a row by all its columns, ``__r1`` and ``__r2``: equal for equal rows only."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    nulls = [c.isNull() for c in columns]
+    return [F.xxhash64(F.lit(1), *nulls, *columns).alias("__r1"), F.xxhash64(F.lit(2), *columns[::-1], *nulls).alias("__r2")]
+
+
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+    """(doc_id, __r1, __r2, fp) per row: its id, null where it has none, its name (see ``row_names``) and its fingerprint."""
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *row_names(docs), "text")
+    # Arrow turns null ids into floats; the flag keeps them whole.
+    slim = slim.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("unnamed"), "__r1", "__r2", "text")
+    found = slim.mapInPandas(_fingerprints(words), "doc_id long, unnamed boolean, __r1 long, __r2 long, fp long")
+    return found.select(F.when(~F.col("unnamed"), F.col("doc_id")).alias("doc_id"), "__r1", "__r2", "fp")
 
 
 def _segments(distance: int) -> list[tuple[int, int, bool]]:
@@ -109,29 +125,47 @@ def fingerprint_links(fps: DataFrame, distance: int = 2, crowd: int = 4096) -> D
     return links
 
 
-def simhash_components(docs: DataFrame, distance: int = 2) -> DataFrame:
-    """One row per document: ``key, fp, component`` (the least key reachable over links).
+def _in_components(docs: DataFrame, distance: int, words: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and each distinct fingerprint's component, named by its least fingerprint."""
+    prints = stored(fingerprints(docs, words), "fingerprints")
+    distinct = stored(prints.select("fp").distinct(), "distinct-fingerprints")
+    found = stored(connected_components(fingerprint_links(distinct, distance)), "linked-fingerprints")
+    return prints, found.select(F.col("id").alias("fp"), F.col("component").alias("group"))
+
+
+def simhash_components(docs: DataFrame, distance: int = 2, words: int = 3) -> DataFrame:
+    """One row per document: ``doc_id, fp, component``, the least id that it reaches over links.
+
+    A null text counts as empty; texts without a word have fingerprint 0 and link like any other. A document without id keeps a
+    null id; it links others and has their component, which is null where no document of the component has an id. Repeated rows
+    give a row each. An empty table gives no rows.
+    """
+    prints, linked = _in_components(docs, distance, words)
+    # Least id per fingerprint first, so that no copy enters the joins.
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("lead")).join(linked, "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+    classes = stored(classes, "fingerprint-classes")
+    least = classes.groupBy("group").agg(F.min("lead").alias("component"))
+    named = stored(classes.join(least, "group").select("fp", "component"), "named")
+    return prints.join(named, "fp").select("doc_id", "fp", "component")
+
+
+def keep_one_per_component(docs: DataFrame, distance: int = 2, words: int = 3) -> DataFrame:
+    """One document of each component, with all its columns: that with the least id (rows with an id first), of several rows under it
+    the one with the least fingerprint and name.
 
-    A null text counts as empty; texts without a word have fingerprint 0 and link like any other. A document without id
-    has a negative key made from its text. Repeated rows give a row each. An empty table gives no rows.
+    Nulls, texts without words and empty tables: see ``simhash_components``. Documents are told apart by all their columns. What goes is
+    found without the texts, and leaves them by an anti join; only rows that occur more than once meet again.
     """
-    prints = stored(fingerprints(docs), "fingerprints")
-    classes = stored(prints.groupBy("fp").agg(F.min("key").alias("lead")), "classes")
-    found = connected_components(fingerprint_links(classes.select("fp"), distance))
-    joined = classes.join(found.withColumnRenamed("id", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    joined = stored(joined, "fingerprint-components")
-    leads = joined.groupBy("component").agg(F.min("lead").alias("least"))
-    named = stored(joined.join(leads, "component").select("fp", F.col("least").alias("component")), "named")
-    return prints.join(named, "fp").select("key", "fp", "component")
-
-
-def keep_one_per_component(docs: DataFrame, distance: int = 2) -> DataFrame:
-    """The documents whose key is the least of their component, one row each, with all their columns.
-    Texts with different fingerprints under one id each stay."""
-    parts = stored(simhash_components(docs, distance).where("key = component").groupBy("key", "fp").count(), "kept")
-    prints = F.pandas_udf(lambda texts: pd.Series([fingerprint(t) for t in texts], dtype="int64"), "long")
-    mine = docs.withColumn("__key", doc_key(F.col("doc_id"), F.col("text"))).withColumn("__fp", prints("text"))
-    kept = mine.join(parts.select(F.col("key").alias("__key"), F.col("fp").alias("__fp"), F.col("count").alias("__n")), ["__key", "__fp"])
-    # Only rows that occur more than once need to be brought together.
-    again = kept.where("__n > 1").dropDuplicates(["__key", "__fp"])
-    return kept.where("__n = 1").unionByName(again).select(*[f"`{c}`" for c in docs.columns])
+    prints, linked = _in_components(docs, distance, words)
+    rows = prints.groupBy("fp", "__r1", "__r2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    rows = stored(rows.join(linked, "fp", "left").withColumn("group", F.coalesce("group", "fp")), "rows")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "fp", "__r1", "__r2")
+    first = rows.groupBy("group").agg(F.min_by(F.struct("__r1", "__r2", "copies"), order).alias("kept"))
+    first = stored(first.select("kept.*"), "kept-rows")
+    names = ["__r1", "__r2"]
+    gone = stored(rows.select(*names).join(first, names, "left_anti"), "gone-rows")
+    again = stored(first.where("copies > 1").select(*names), "repeated-rows")
+    mine = docs.select("*", *row_names(docs))
+    kept = mine.join(gone.unionByName(again), names, "left_anti")
+    once = mine.join(again, names, "left_semi").dropDuplicates(names)
+    return kept.unionByName(once).select(*[f"`{c}`" for c in docs.columns])

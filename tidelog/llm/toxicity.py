@@ -10,6 +10,8 @@ The subsequences of all landmarks are laid out as one matrix, so a word meets ev
 from __future__ import annotations
 
 import re
+import warnings
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -168,6 +170,11 @@ class ToxicityModel:
         new = list(dict.fromkeys(w for counts in documents for w in counts if w not in known))
         known.update(zip(new, self.word_scores(new).tolist()))
 
+    def set_thresholds(self, clean: list[Counter], known: dict[str, float]) -> None:
+        """Words score high if few words of clean texts do: at several shares, from common to rare."""
+        scores = [known[w] for w in {w for c in clean for w in c}] or [0.0]
+        self.over = [float(np.quantile(scores, share)) for share in (0.99, 0.998, 0.9995)]
+
     def features(self, counts: Counter, known: dict[str, float]) -> np.ndarray:
         """Of a document: its best words and how many, absolutely and relatively, score high."""
         total = max(1, sum(counts.values()))
@@ -214,15 +221,19 @@ def _spread(ranked: list[str], n: int, decay: float, apart: float = 0.75) -> lis
 
 def fit(texts: list[str], labels: list[int], landmarks: int = 128, decay: float = 0.6, power: int = 4,
         rounds: int = 3, prior: float | None = None) -> ToxicityModel | None:
-    """Fit on labelled texts; None if a class is missing. ``prior`` is the share of toxic texts where it isn't that of the sample.
+    """Fit on labelled texts. ``prior`` is the share of toxic texts where it isn't that of the sample.
 
     Only texts are labelled, so sentences are labelled in turns: those of a toxic text that score highest stand for it, those of
-    clean texts are all negative. Sentences and the final step per document are fitted on different halves of the texts.
+    clean texts are all negative. Sentences are fitted on each half of the texts (split by CRC-32), the step per document on what they make of
+    the other half; words have the mean of both scores.
+
+    None, with a warning, where labels are unusable: a class is missing or without words in the fitted half, or nothing
+    tells the classes apart.
     """
     y = np.array(labels)
-    if len(set(labels)) < 2:
-        return None
     counts = [words_of(t) for t in texts]
+    if len({k for c, k in zip(counts, labels) if any(len(w) >= 2 for w in c)}) < 2:
+        return _unusable("a class has no text with words")
     # Of rising share among toxic texts: a z-score of document frequencies, smoothed.
     seen = {k: Counter(w for c, label in zip(counts, labels) if label == k for w in c) for k in (0, 1)}
     n0, n1 = int((y == 0).sum()), int((y == 1).sum())
@@ -242,19 +253,61 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 128, decay: float
     values, vectors = np.linalg.eigh(kernel.apply(chosen).astype(np.float64))
     root = ((vectors / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T).astype(np.float32)
 
-    half = np.arange(len(texts)) % 2 == 0
+    words = sorted({w for c in counts for w in c})
+    at = {w: k for k, w in enumerate(words)}
+    values = kernel.apply(words)  # once for all that follows
+
+    # Sentences of one half of the texts are fitted, the other half tells what their scores say about a document; and the other way round.
+    half = np.array([zlib.crc32((t or "").encode("utf-8", "surrogatepass")) % 2 == 0 for t in texts])
+    marked = set(ranked[:2 * landmarks])
+    models, x, of = [], [], []
+    for mine in (half, ~half):
+        v = _sentence_machine([texts[i] for i in np.flatnonzero(mine)], y[mine], values, at, root, marked, rounds)
+        if v is None:
+            continue
+        model = ToxicityModel(kernel, root @ v, [], np.zeros(1), np.zeros(1), np.ones(1))
+        known = dict(zip(words, (values @ model.table).tolist()))
+        model.set_thresholds([counts[i] for i in np.flatnonzero(mine & (y == 0))], known)
+        other = np.flatnonzero(~mine)
+        models.append(model)
+        x += [model.features(counts[i], known) for i in other]
+        of += other.tolist()
+    if not models or len(set(y[of])) < 2:
+        return _unusable("too few labelled texts with words")
+    z, label = np.stack(x), y[of]
+    model = ToxicityModel(kernel, np.mean([m.table for m in models], axis=0), [], z.mean(0), z.std(0) + 1e-9, np.ones(1))
+    model.set_thresholds([c for c, k in zip(counts, y) if k == 0], dict(zip(words, (values @ model.table).tolist())))
+    share = label.mean()
+    prior = share if prior is None else prior
+    model.doc_weights = _logistic((z - model.centre) / model.scale, label, np.where(label == 1, prior / share, (1 - prior) / (1 - share)))
+    if not model.doc_weights[1:].any():
+        return _unusable("the words of the labelled texts don't tell the classes apart")
+    return model
+
+
+def _unusable(why: str) -> None:
+    warnings.warn(f"no toxicity model: {why}; every score is 0", stacklevel=3)
+
+
+def _sentence_machine(texts: list[str], y: np.ndarray, values: np.ndarray, at: dict[str, int], root: np.ndarray, marked: set[str],
+                      rounds: int) -> np.ndarray | None:
+    """Weights of the landmark features, from sentences that get their labels in turns; None if a class has no sentence.
+    ``values`` are the kernel values of all words, ``at`` their rows."""
     owners, sentences = [], []
-    for i in np.flatnonzero(half):
-        for s in _sentences(texts[i]):
-            owners.append(i)
-            sentences.append(s)
-    index = {w: k for k, w in enumerate(sorted({w for s in sentences for w in s}))}
-    phi = kernel.apply(list(index)) @ root
-    x = np.stack([phi[[index[w] for w in s]].sum(0) / np.sqrt(len(s)) for s in sentences])
+    for i, text in enumerate(texts):
+        for s in _sentences(text or ""):
+            s = [w for w in s if w in at]
+            if s:
+                owners.append(i)
+                sentences.append(s)
+    if len(set(y[owners])) < 2:
+        return None
+    x = np.stack([values[[at[w] for w in s]].sum(0) / np.sqrt(len(s)) for s in sentences]) @ root
     owners = np.array(owners)
     toxic = y[owners] == 1
-    marked = set(ranked[:2 * landmarks])
     positive = toxic & np.array([any(w in marked for w in s) for s in sentences])
+    if not positive.any():
+        positive = toxic
     for _ in range(rounds):
         use = positive | ~toxic
         v, b = _hinge(x[use], np.where(positive[use], 1.0, -1.0))
@@ -265,36 +318,25 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 128, decay: float
             if owners[k] not in best or scores[k] > scores[best[owners[k]]]:
                 best[owners[k]] = k
         positive[list(best.values())] = True
-    # Words score high if few words of clean texts do: at several shares, from common to rare.
-    model = ToxicityModel(kernel, (root @ v).astype(np.float32), [], np.zeros(1), np.zeros(1), np.ones(1))
-    clean = Counter(w for i in np.flatnonzero(half & (y == 0)) for w in counts[i])
-    known = dict(zip(clean, model.word_scores(list(clean)).tolist()))
-    model.over = [float(np.quantile(list(known.values()), share)) for share in (0.99, 0.998, 0.9995)]
-    other = np.flatnonzero(~half)
-    model.learn([counts[i] for i in other], known)
-    z = np.stack([model.features(counts[i], known) for i in other])
-    model.centre, model.scale = z.mean(0), z.std(0) + 1e-9
-    share = max(1e-9, y[other].mean())
-    prior = share if prior is None else prior
-    weight = np.where(y[other] == 1, prior / share, (1 - prior) / max(1e-9, 1 - share))
-    model.doc_weights = _logistic((z - model.centre) / model.scale, y[other], weight)
-    return model
+    return v
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, per_class: int = 1500, most_chars: int = 20_000, **how) -> ToxicityModel | None:
     """Fit on a bounded sample of labelled documents outside the held-out fold (crc32(doc_id) mod 5 = 0).
 
-    The sample are the ``per_class`` ids of each class with the least MD5; texts above ``most_chars`` are left out of it.
+    The sample are the ``per_class`` ids of each class with the least MD5; texts above ``most_chars`` are left out of it. Of several texts under
+    one id one is taken, the same in every run. Null texts, labels other than 0 and 1 and labels without a document are left out. Unusable labels: see ``fit``.
     """
     label = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     label = label.where(~held_out(F.col("doc_id"))).withColumn("order", F.md5(F.col("doc_id").cast("string")))
     ids = [label.where(F.col("label") == k).orderBy("order", "doc_id").limit(per_class) for k in (0, 1)]
     # At most 2 * per_class rows, by the limits above.
     sample = docs.select("doc_id", "text").where(F.length("text") <= most_chars).join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")
-    rows = sample.select("order", "text", "label").dropDuplicates(["order"]).collect()
+    # Of texts under one id the one with the least MD5.
+    rows = sample.groupBy("order").agg(F.min(F.struct(F.md5("text").alias("digest"), "text", "label")).alias("r")).select("order", "r.*").collect()
     rows.sort(key=lambda r: r["order"])
     prior = label.agg(F.avg("label").alias("p")).collect()[0]["p"]  # of all labelled rows, not of the balanced sample
-    return fit([r["text"] for r in rows], [r["label"] for r in rows], prior=prior, **how)
+    return fit([r["text"] for r in rows], [r["label"] for r in rows], prior=prior, **how) if rows else None
 
 
 def held_out(doc_id):
@@ -304,7 +346,7 @@ def held_out(doc_id):
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
     """``docs`` with a last column ``__toxicity`` in [0, 1]; no shuffle, whole texts, only the text is looked at.
 
-    A null text scores like an empty one. Without a model (no labels of one class) every score is 0. All rows stay.
+    A null text scores like an empty one. Without a model (see ``fit``) every score is 0. All rows stay.
     """
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
