@@ -6,59 +6,44 @@ import pytest
 
 from tidelog.llm import pages, secrets, toxicity
 from tidelog.llm.mixing import curriculum_mix, read_by_mix
-from tidelog.llm.shingles import keep_one_per_group
-from tidelog.llm.simhash import keep_one_per_component
+from tidelog.llm.simhash import fingerprint, keep_one_per_component, simhash_components
 
 SF = "/root/testdata/sf0.01"
 
 
-def _plain_shingles(text):
-    words = (text or "").encode().lower().split()
-    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+def _plain_components(fps, distance=2):
+    """The representative index of each fingerprint's component, by all pairs of the distinct ones."""
+    values = sorted(set(fps))
+    group = {v: v for v in values}
 
+    def top(v):
+        while group[v] != v:
+            v = group[v]
+        return v
+    for a, b in combinations(values, 2):
+        if ((a ^ b) % (1 << 64)).bit_count() <= distance:
+            group[top(b)] = top(a)
+    return [top(v) for v in fps]
 
-def _plain_kept(rows, least=0.8):
-    """(key, text) of the least of each group, by all pairs."""
-    sets = [_plain_shingles(t) for _, t in rows]
-    group = list(range(len(rows)))
 
-    def top(i):
-        while group[i] != i:
-            i = group[i]
-        return i
-    for i, j in combinations(range(len(rows)), 2):
-        a, b = sets[i], sets[j]
-        if top(i) != top(j) and (a == b or len(a & b) >= least * len(a | b) - 1e-9):
-            group[top(i)] = top(j)
-    groups = {}
-    for i in range(len(rows)):
-        groups.setdefault(top(i), []).append(rows[i])
-    return sorted(min(k for k, _ in g) for g in groups.values())
-
-
-@pytest.mark.parametrize("crowd", [64, 1])
-def test_near_duplicates_equal_all_pairs(spark, crowd):
+def test_near_duplicates_equal_all_pairs(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    kept = sorted(r["doc_id"] for r in keep_one_per_group(docs, crowd=crowd).collect())
-    assert kept == _plain_kept(rows)
-    assert {56, 255}.isdisjoint(kept) and {1, 2} <= set(kept)  # similar by 0.967 and 0.831, SimHash 5 bits apart
-
-
-def test_near_duplicates_in_a_crowd(documents):
-    """A chain around one common text: leads alone would not find all of its links."""
-    words = [f"w{i}" for i in range(120)]
-    rows = [(i, " ".join([f"x{i}"] * (i % 3) + words[i % 12:100 + i % 17] + [f"y{i}"] * (i % 5)), "a") for i in range(150)]
-    rows += [(200 + i, " ".join([f"z{i}q{j}" for j in range(30)] + words[:40]), "a") for i in range(30)]
-    got = keep_one_per_group(documents(rows), crowd=8).collect()
-    assert sorted(r["doc_id"] for r in got) == _plain_kept([r[:2] for r in rows])
-
-
-def test_near_duplicates_keep_different_texts_under_one_id(documents, odd):
-    got = keep_one_per_group(documents([(1, "a b c d e f g", "a"), (1, "h i j k l m n", "a"), (1, "h i j k l m n", "a"), (2, "h I j k l m n", "a")]))
-    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == [(1, "a b c d e f g"), (1, "h i j k l m n")]
-    assert len(keep_one_per_group(odd).collect()) == 3  # wordless, six words, long
-    assert keep_one_per_group(odd.limit(0)).count() == 0
+    rows = docs.collect()
+    least, groups = {}, _plain_components([fingerprint(r["text"]) for r in rows])
+    for r, g in zip(rows, groups):
+        least[g] = min(least.get(g, r["doc_id"]), r["doc_id"])
+    assert sorted(r["doc_id"] for r in keep_one_per_component(docs).collect()) == sorted(least.values())
+    assert {(r["doc_id"], r["component"]) for r in simhash_components(docs).collect()} == {(r["doc_id"], least[g]) for r, g in zip(rows, groups)}
+
+
+def test_one_row_of_each_component_stays(documents):
+    """Rows that differ in another column only, repeated rows, rows without id, and ids on both sides of zero."""
+    same = "one two three four five six"
+    rows = [(None, same, "a"), (5, same, "b"), (5, same, "a"), (5, same, "a"), (None, "other words here", "a"), (None, "other words here", "b"), (-4, None, "a"), (7, "", "a")]
+    got = sorted(((r["doc_id"], r["text"]) for r in keep_one_per_component(documents(rows)).collect()), key=str)
+    assert got == [(-4, None), (5, same), (None, "other words here")]
+    found = simhash_components(documents(rows)).collect()
+    assert {(r["doc_id"], r["component"]) for r in found} == {(None, 5), (5, 5), (None, None), (-4, -4), (7, -4)}
 
 
 def test_mixing_keeps_documents_without_id(documents):
