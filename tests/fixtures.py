@@ -38,6 +38,11 @@ def change(op, before=None, after=None, ts_ms=None):
     return json.dumps({"before": before, "after": after, "op": op, "ts_ms": ts_ms}, ensure_ascii=False)
 
 
+def cluster_time(n):
+    """The n-th change of one second of a database's time."""
+    return {"$timestamp": {"t": 1, "i": n}}
+
+
 def record(value, pos, part=0, record_ms=None):
     return {"value": value, "part": part, "pos": pos, "record_ms": pos if record_ms is None else record_ms}
 

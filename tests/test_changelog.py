@@ -7,15 +7,15 @@ import random
 from datetime import datetime
 
 import pytest
-from fixtures import change, device, fixed_now, frame, reading, record
+from fixtures import change, cluster_time, device, fixed_now, frame, reading, record
 from pyspark.sql import functions as F
 
 from tidelog.functions import document_id, partition_date, payload_time, severity
 from tidelog.operators import decode_rows, enrich, tables
+from tidelog.operators.change_events import decode_change_events
 from tidelog.operators.changelog import (
     current_state,
     decode,
-    decode_change_events,
     encode,
     snapshot_then_changes,
 )
@@ -135,10 +135,10 @@ def test_initial_snapshot_precedes_changes(spark):
     typed = decode(frame(spark, [record(change("c", None, V1), 1), record(change("c", None, device("d2")), 2)]), DEVICES)
     events = frame(spark, [
         record(json.dumps({"operationType": "update", "documentKey": {"_id": "d1"}, "fullDocument": V2,
-                           "fullDocumentBeforeChange": V1, "wallTimeMs": 10}), 1),
-        record(json.dumps({"operationType": "delete", "documentKey": {"_id": "d2"}, "wallTimeMs": 11}), 2),
+                           "fullDocumentBeforeChange": V1, "clusterTime": cluster_time(10)}), 1),
+        record(json.dumps({"operationType": "delete", "documentKey": {"_id": "d2"}, "clusterTime": cluster_time(11)}), 2),
         record(json.dumps({"operationType": "insert", "documentKey": {"_id": "d3"},
-                           "fullDocument": device("d3", threshold=1.0), "wallTimeMs": 12}), 3),
+                           "fullDocument": device("d3", threshold=1.0), "clusterTime": cluster_time(12)}), 3),
         record(json.dumps({"operationType": "drop"}), 4),
     ])
     log = snapshot_then_changes(typed.drop("row_kind", "seq"), decode_change_events(events, DEVICES), DEVICES)

@@ -10,6 +10,7 @@ from fixtures import SF
 from fixtures import (
     BASE_MS,
     change,
+    cluster_time,
     device,
     fixed_now,
     frame,
@@ -146,13 +147,13 @@ def test_old_device_images_count_in_the_append_variant(spark, tmp_path):
 
 def test_capture_writes_what_the_next_job_reads(spark, tmp_path):
     events = [
-        {"operationType": "insert", "documentKey": {"_id": "d1"}, "fullDocument": device(), "wallTimeMs": 1},
+        {"operationType": "insert", "documentKey": {"_id": "d1"}, "fullDocument": device(), "clusterTime": cluster_time(1)},
         {"operationType": "update", "documentKey": {"_id": "d1"}, "fullDocument": device(threshold=40.0),
-         "fullDocumentBeforeChange": device(), "wallTimeMs": 2},
+         "fullDocumentBeforeChange": device(), "clusterTime": cluster_time(2)},
     ]
     write_records(tmp_path / "dev", [record(json.dumps(e), i) for i, e in enumerate(events)], "0")
     write_records(tmp_path / "read", [record(json.dumps(
-        {"operationType": "insert", "documentKey": {"_id": "r1"}, "fullDocument": reading(), "wallTimeMs": 3}), 0)], "0")
+        {"operationType": "insert", "documentKey": {"_id": "r1"}, "fullDocument": reading(), "clusterTime": cluster_time(3)}), 0)], "0")
     sources = [read_change_events(spark, streaming=True, path=str(tmp_path / n)) for n in ("dev", "read")]
     finish(start_capture(*sources, {"path": str(tmp_path / "log" / "dev")}, {"path": str(tmp_path / "log" / "read")},
                          str(tmp_path / "cp"), ONCE, fixed_now()))
@@ -239,7 +240,7 @@ def test_search(spark, tmp_path, direct):
             return record(change(op, before, after, pos), pos)
         kind = {"c": "insert", "u": "update", "d": "delete"}[op]
         return record(json.dumps({"operationType": kind, "documentKey": {"_id": (after or before)["_id"]},
-                                  "fullDocument": after, "fullDocumentBeforeChange": before, "wallTimeMs": pos}), pos)
+                                  "fullDocument": after, "fullDocumentBeforeChange": before, "clusterTime": cluster_time(pos)}), pos)
 
     root = str(tmp_path / "search")
 

@@ -17,17 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.timeparts import TIME_FORMAT, parse_time
-from tidelog.schemas import change_event, envelope
+from tidelog.schemas import envelope
 
 INSERT, BEFORE_UPDATE, AFTER_UPDATE, DELETE = "+I", "-U", "+U", "-D"
 CHANGE_COLUMNS = ["row_kind", "seq"]
 
 # Snapshot rows precede every change.
-_BEFORE_ALL = -(2**63)
+BEFORE_ALL = -(2**63)
 
 
-def sequence(ms: Column, deletes: Column, part: Column, pos: Column, ord_: Column, keyed: bool = True) -> Column:
-    """Order of a change: its time, then its position.
+def sequence(ms: Column, deletes: Column, part: Column, pos: Column, ord_: Column, keyed: bool = True,
+             token: Column | None = None) -> Column:
+    """Order of a change: its time, then its position, then its ``token`` where the source has one.
 
     A keyed log holds all changes of a document in one partition, so at equal time the
     position decides. In a log that is not ``keyed`` positions of different partitions
@@ -39,6 +40,7 @@ def sequence(ms: Column, deletes: Column, part: Column, pos: Column, ord_: Colum
         (F.lit(1) if keyed else F.when(deletes, 0).otherwise(1)).alias("rank"),
         part.cast("int").alias("part"),
         pos.cast("bigint").alias("pos"),
+        (F.lit(None) if token is None else token).cast("string").alias("token"),
         ord_.cast("int").alias("ord"),
     )
 
@@ -51,8 +53,8 @@ def typed_fields(image: Column, payload: T.StructType) -> list[Column]:
     ]
 
 
-def _image_rows(parsed: DataFrame, payload: T.StructType, keyed: bool) -> DataFrame:
-    """From (op, ms, part, pos, before, after) to one row per image that counts.
+def images(parsed: DataFrame, keyed: bool, also: tuple[str, ...] = ()) -> DataFrame:
+    """From (op, ms, part, pos, before, after) and maybe ``token`` to one row (row_kind, seq, image) per image that counts.
 
     The images are unfolded by a generator and filtered after it. The filter refers to
     generated columns, so it stays above the parsing: each record is parsed once, inside
@@ -69,10 +71,16 @@ def _image_rows(parsed: DataFrame, payload: T.StructType, keyed: bool) -> DataFr
         F.lit(1).alias("ord"),
         F.col("after").alias("image"),
     )
-    rows = parsed.select("op", "ms", "part", "pos", F.inline(F.array(removed, added))).where(
+    token = [c for c in ("token",) if c in parsed.columns]
+    rows = parsed.select(*also, "op", "ms", "part", "pos", *token, F.inline(F.array(removed, added))).where(
         F.col("row_kind").isNotNull() & F.col("image").isNotNull())
-    place = sequence(F.col("ms"), F.col("op") == "d", F.col("part"), F.col("pos"), F.col("ord"), keyed)
-    return rows.select("row_kind", place.alias("seq"), *typed_fields(F.col("image"), payload))
+    place = sequence(F.col("ms"), F.col("op") == "d", F.col("part"), F.col("pos"), F.col("ord"), keyed, *map(F.col, token))
+    return rows.select(*also, "row_kind", place.alias("seq"), "image")
+
+
+def image_rows(parsed: DataFrame, payload: T.StructType, keyed: bool) -> DataFrame:
+    """:func:`images`, each spread out into the payload's typed fields."""
+    return images(parsed, keyed).select("row_kind", "seq", *typed_fields(F.col("image"), payload))
 
 
 def decode(records: DataFrame, payload: T.StructType, keyed: bool = True) -> DataFrame:
@@ -87,9 +95,9 @@ def decode(records: DataFrame, payload: T.StructType, keyed: bool = True) -> Dat
         F.from_json("value", envelope(payload)).alias("change"), "part", "pos", "record_ms",
     ).select(
         "change.op", "change.before", "change.after", "part", "pos",
-        F.coalesce("change.ts_ms", "record_ms", F.lit(_BEFORE_ALL)).alias("ms"),
+        F.coalesce("change.ts_ms", "record_ms", F.lit(BEFORE_ALL)).alias("ms"),
     )
-    return _image_rows(parsed, payload, keyed)
+    return image_rows(parsed, payload, keyed)
 
 
 def undecodable(records: DataFrame, payload: T.StructType) -> DataFrame:
@@ -106,42 +114,12 @@ def undecodable(records: DataFrame, payload: T.StructType) -> DataFrame:
     return rows.select("part", "pos", "value", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
-def decode_change_events(records: DataFrame, payload: T.StructType) -> DataFrame:
-    """Document-database change events to changelog rows.
-
-    A delete event without a before-image still names its key: the row then holds
-    the key and nothing else.
-    """
-    event = F.col("event")
-    kind = event["operationType"]
-    key_only = F.struct(*[
-        (event["documentKey"]["_id"] if f.name == "_id" else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in envelope(payload)["before"].dataType
-    ])
-    before = F.coalesce(
-        event["fullDocumentBeforeChange"],
-        F.when((kind == "delete") & event["documentKey"]["_id"].isNotNull(), key_only),
-    )
-    parsed = records.select(
-        F.from_json("value", change_event(payload)).alias("event"), "part", "pos", "record_ms",
-    ).select(
-        F.when(kind == "insert", "c")
-        .when(kind.isin("update", "replace"), "u")
-        .when(kind == "delete", "d").alias("op"),
-        before.alias("before"),
-        event["fullDocument"].alias("after"),
-        "part", "pos",
-        F.coalesce(event["wallTimeMs"], F.col("record_ms"), F.lit(_BEFORE_ALL)).alias("ms"),
-    )
-    return _image_rows(parsed, payload, keyed=True)
-
-
 def snapshot(documents: DataFrame, payload: T.StructType) -> DataFrame:
     """Existing documents as inserts that precede every change."""
     zero = F.lit(0)
     return documents.select(
         F.lit(INSERT).alias("row_kind"),
-        sequence(F.lit(_BEFORE_ALL), F.lit(False), zero, zero, zero).alias("seq"),
+        sequence(F.lit(BEFORE_ALL), F.lit(False), zero, zero, zero).alias("seq"),
         *payload.fieldNames(),
     )
 

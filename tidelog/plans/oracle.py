@@ -366,10 +366,17 @@ _HALF = "(SELECT (min(event_id) + max(event_id)) / 2 FROM ev)"
 _DUE = "make_timestamp((SELECT max(ts_ms) FROM ev WHERE event_id % 13 <> 12) * 1000) - INTERVAL 40 SECOND - INTERVAL 2 HOUR"
 
 STREAM_ORACLE = {
+    # Every change leaves with the image that its document had before; a delete of a document not seen before names its key only.
     "stream_capture_devices": query([EVENTS, DEVICE_CHANGES], f"""
-SELECT CASE WHEN row_kind IN ('-U', '-D') THEN '-D' ELSE '+I' END AS row_kind, ms, pos * 2 + ord AS pos, _id,
-       {", ".join(f"CASE WHEN row_kind <> '-D' THEN {c} END AS {c}" for c in _split(DEVICE_COLUMNS))}
-FROM device_changes"""),
+, images AS (SELECT event_id AS n, ts_ms, op, {_AFTER} FROM dev_ops),
+pairs AS (
+  SELECT i.n, ts_ms, op, _id, i AS a, lag(CASE WHEN op <> 'd' THEN i END) OVER (PARTITION BY _id ORDER BY ts_ms, i.n) AS b FROM images i),
+place AS (SELECT *, (ts_ms // 1000) * 1000 AS ms, ((ts_ms % 1000) * 4 + 1) * 2 AS pos FROM pairs)
+SELECT '+I' AS row_kind, ms, pos + 1 AS pos, _id, {", ".join(f"a.{c} AS {c}" for c in _split(DEVICE_COLUMNS))} FROM place WHERE op <> 'd'
+UNION ALL
+SELECT '-D', ms, pos, _id, {", ".join(f"b.{c}" for c in _split(DEVICE_COLUMNS))} FROM place WHERE op = 'd' OR b IS NOT NULL"""),
+    "stream_capture_initial": ORACLE["cdc_snapshot_union_changes"],
+    "stream_capture_to_readings_by_day": ORACLE["upsert_readings_by_day"],
     "stream_devices_raw": ORACLE["raw_devices_append"],
     "stream_readings_raw": ORACLE["raw_readings_append"],
     "stream_enriched_within_ttl": _within(),
@@ -401,9 +408,8 @@ GROUP BY ALL"""),
     "stream_upsert_readings": ORACLE["upsert_readings_by_day"],
     "stream_upsert_enriched": ORACLE["upsert_enriched_by_day"],
     "stream_capture_readings": query([EVENTS, READING_CHANGES], f"""
-SELECT CASE WHEN row_kind IN ('-U', '-D') THEN '-D' ELSE '+I' END AS row_kind, ms, pos * 2 + ord AS pos, _id,
-       {", ".join(f"CASE WHEN row_kind <> '-D' THEN {c} END AS {c}" for c in _split(READING_COLUMNS))}
-FROM reading_changes"""),
+SELECT CASE WHEN row_kind IN ('-U', '-D') THEN '-D' ELSE '+I' END AS row_kind, (ms // 1000) * 1000 AS ms,
+       ((ms % 1000) * 4 + pos % 3 + 1) * 2 + ord AS pos, _id, {READING_COLUMNS} FROM reading_changes"""),
     "stream_search_devices": _held("search_docs_devices"),
     "stream_search_readings": _held("search_docs_readings"),
     "stream_search_enriched": _held("search_docs_enriched"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidelog import functions as fn
 from tidelog import schemas
-from tidelog.operators import changelog, decode_rows, enrich, search, tables, windows
+from tidelog.operators import change_events, changelog, decode_rows, enrich, search, tables, windows
 from tidelog.plans import views
 
 _DEVICE_KEYS = ["device_id", "partition_date"]
@@ -92,7 +92,7 @@ def changelog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_snapshot_union_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The device collection, then its change events; current documents come out."""
-    changes = changelog.decode_change_events(views.device_change_events(spark, sf_dir), schemas.DEVICES)
+    changes = change_events.decode_change_events(views.device_change_events(spark, sf_dir), schemas.DEVICES)
     log = changelog.snapshot_then_changes(views.device_documents(spark, sf_dir), changes, schemas.DEVICES)
     return _payload_only(changelog.current_state(log, ["_id"]))
 

@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog import schemas
-from tidelog.operators import changelog, decode_rows, tables
+from tidelog.operators import changelog
 from tidelog.plans import views
 from tidelog.session import fresh_dir
-from tidelog.sinks.append import append_stream, read_numbered
+from tidelog.sinks.append import read_numbered
 from tidelog.sources.lake import open_table
 from tidelog.sources.records import read_records
 from tidelog.streaming import Trigger, start_append_lake, start_capture, start_search, start_upsert_lake
-from tidelog.streaming.append_lake import enriched_stream, temperature_writer
-from tidelog.streaming.queries import finish, start
+from tidelog.streaming.capture import start_position
+from tidelog.streaming.queries import finish
 from tidelog.streaming.upsert_lake import keyed_table
 
 ONCE = Trigger(available_now=True)
@@ -27,10 +27,7 @@ ONCE = Trigger(available_now=True)
 def _capture(spark: SparkSession, sf_dir: str, name: str, payload: T.StructType) -> DataFrame:
     """Change events in, envelope records out; the records are decoded again."""
     root = fresh_dir(spark, "capture")
-    finish(start_capture(
-        views.device_change_events(spark, sf_dir, streaming=True), views.reading_change_events(spark, sf_dir, streaming=True),
-        {"path": f"{root}/capture_devices"}, {"path": f"{root}/capture_readings"}, f"{root}/_checkpoints", ONCE,
-        views.fixed_now(), only=[name]))
+    _captured(spark, sf_dir, root, name)
     rows = changelog.decode(read_records(spark, path=f"{root}/{name}"), payload)
     return rows.withColumns({"ms": F.col("seq.ms"), "pos": F.col("seq.pos")}).drop("seq")
 
@@ -43,6 +40,31 @@ def stream_capture_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _capture(spark, sf_dir, "capture_readings", schemas.READINGS)
 
 
+def _captured(spark: SparkSession, sf_dir: str, root: str, only: str, **how) -> None:
+    finish(start_capture(
+        views.device_change_events(spark, sf_dir, streaming=True), views.reading_change_events(spark, sf_dir, streaming=True),
+        {"path": f"{root}/capture_devices"}, {"path": f"{root}/capture_readings"}, f"{root}/_checkpoints", ONCE,
+        views.fixed_now(), only=[only], **how))
+
+
+def stream_capture_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collection and then its changes, captured in one job; the documents that stand at the end."""
+    root = fresh_dir(spark, "initial")
+    _captured(spark, sf_dir, root, "capture_devices", since=start_position(spark, f"{root}/_checkpoints", lambda: 0),
+              collections={"capture_devices": lambda: views.device_documents(spark, sf_dir)})
+    log = changelog.decode(read_records(spark, path=f"{root}/capture_devices"), schemas.DEVICES)
+    return changelog.current_state(log, ["_id"]).drop("row_kind", "seq")
+
+
+def stream_capture_to_readings_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Database events without images, captured into a log, into the table keyed by day: deletes and moves find their rows."""
+    root = fresh_dir(spark, "captured")
+    _captured(spark, sf_dir, root, "capture_readings")
+    log = read_records(spark, streaming=True, path=f"{root}/capture_readings")
+    finish(start_upsert_lake(spark, log, log, f"{root}/lake", ONCE, views.fixed_now(), only=["iceberg_sensor_readings"]))
+    return keyed_table(spark, f"{root}/lake", "iceberg_sensor_readings").current()
+
+
 def _append_lake(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     root = fresh_dir(spark, "append")
     finish(start_append_lake(
@@ -160,7 +182,7 @@ def stream_search_direct_enriched(spark: SparkSession, sf_dir: str) -> DataFrame
 STREAM_QUERIES = {
     query.__name__: query
     for query in (
-        stream_capture_devices, stream_capture_readings, stream_devices_raw, stream_readings_raw, stream_enriched_within_ttl,
+        stream_capture_devices, stream_capture_readings, stream_capture_initial, stream_capture_to_readings_by_day, stream_devices_raw, stream_readings_raw, stream_enriched_within_ttl,
         stream_enriched_quiet_devices, stream_unmatched_readings, stream_temperature_minute, stream_upsert_devices, stream_upsert_readings, stream_upsert_enriched,
         stream_search_devices, stream_search_readings, stream_search_enriched,
         stream_search_direct_devices, stream_search_direct_readings, stream_search_direct_enriched,

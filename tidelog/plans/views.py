@@ -12,12 +12,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.functions.timeparts import TIME_FORMAT, zoneless
 from tidelog.operators.changelog import decode
 from tidelog.schemas import DEVICES, READINGS
 from tidelog.session import fresh_dir
-from tidelog.sources.records import as_records
+from tidelog.sources.records import as_records, connector_records
 
 _JSON = {"ignoreNullFields": "false", "timestampNTZFormat": TIME_FORMAT}
 _BASE = "timestamp_ntz'2024-02-01 00:00:00'"
@@ -257,15 +258,45 @@ def reading_change_records(spark: SparkSession, sf_dir: str, streaming: bool = F
     return _as_reading_records(rows, _envelope_text("before", "after", "op", at))
 
 
+def _extended(image: Column, fields: list[T.StructField]) -> Column:
+    """Fields of a document as extended JSON has them."""
+    def value(f: T.StructField) -> Column:
+        if not isinstance(f.dataType, T.TimestampNTZType):
+            return image[f.name]
+        text = F.date_format(image[f.name], "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        return F.when(text.isNotNull(), F.struct(text.alias("$date")))
+    return F.struct(*[value(f).alias(f.name) for f in fields])
+
+
+def _as_event_records(changes: DataFrame, payload: T.StructType, patched: Column, sets: tuple[str, ...] = ()) -> DataFrame:
+    """Changes (``op``, ``key``, ``after``, ``ms``, ``step``, ``event_id``) as rows of a document database's connector.
+
+    Many changes share a second: the increment tells them apart. No event carries an image before, a delete names its document only,
+    and an update that is ``patched`` has the fields it sets instead of the document after it.
+    """
+    whole = {"ignoreNullFields": "false"}
+    second, increment = F.floor(F.col("ms") / 1000), F.pmod(F.col("ms"), F.lit(1000)) * 4 + F.col("step") + 1
+    patched = (F.col("op") == "u") & patched
+    token = F.concat(*[F.lpad(F.hex(part), 16, "0") for part in (second, increment, F.col("event_id"))])
+    stamp = F.struct(F.struct(second.alias("t"), increment.alias("i")).alias("$timestamp"))
+    update = F.struct(_extended(F.col("after"), [f for f in payload if f.name in sets] or payload.fields).alias("updatedFields"),
+                      F.array().cast("array<string>").alias("removedFields"))
+    return connector_records(changes.select(
+        F.to_json(F.struct(token.alias("_data"))).alias("_id"),
+        F.expr("CASE op WHEN 'd' THEN 'delete' WHEN 'u' THEN 'update' WHEN 'r' THEN 'replace' ELSE 'insert' END").alias("operationType"),
+        F.to_json(F.struct(F.col("key").alias("_id"))).alias("documentKey"),
+        F.when(~patched & (F.col("op") != "d"), F.to_json(_extended(F.col("after"), payload.fields), whole)).alias("fullDocument"),
+        F.lit(None).cast("string").alias("fullDocumentBeforeChange"),
+        F.when(patched, F.to_json(update, whole)).alias("updateDescription"),
+        F.to_json(stamp).alias("clusterTime")))
+
+
 def reading_change_events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """The reading changes as a document database publishes them; deletes name their document only."""
-    value = F.to_json(F.expr("""named_struct(
-        'operationType', CASE op WHEN 'd' THEN 'delete' WHEN 'u' THEN 'update' ELSE 'insert' END,
-        'documentKey', named_struct('_id', concat('r', event_id)),
-        'fullDocument', after,
-        'fullDocumentBeforeChange', if(op = 'u', before, NULL),
-        'wallTimeMs', ts_ms + step)"""), _JSON)
-    return _as_reading_records(_reading_changes(spark, sf_dir, streaming), value)
+    """The reading changes as a document database publishes them; every other update says only what it sets."""
+    rows = _reading_changes(spark, sf_dir, streaming).select(
+        "op", "after", "step", "event_id", F.expr("concat('r', event_id)").alias("key"), (F.col("ts_ms") + F.col("step")).alias("ms"))
+    sets = ("reading_id", "device_id", "sensor_value", "timestamp", "updated_at")
+    return _as_event_records(rows, READINGS, F.col("event_id") % 10 == 0, sets)
 
 
 def device_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,15 +309,8 @@ def reading_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def device_change_events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """The device changes as a document database publishes them."""
-    updated = "if(event_id % 31 = 30, NULL, ts)"
-    before = _device_image("value + 1", f"{updated} - make_dt_interval(cast(event_id % 3 AS int))")
-    after = _device_image("value", updated)
-    rows = _events(spark, sf_dir, streaming).withColumn("op", F.expr(DEVICE_OP))
-    value = F.to_json(F.expr(f"""named_struct(
-        'operationType', CASE op WHEN 'd' THEN 'delete' WHEN 'u' THEN 'update'
-                                 WHEN 'r' THEN 'replace' ELSE 'insert' END,
-        'documentKey', named_struct('_id', concat('d', user_id, if(event_id % 7 = 3, 'b', 'a'))),
-        'fullDocument', if(op = 'd', NULL, {after}),
-        'fullDocumentBeforeChange', if(op = 'u', {before}, NULL),
-        'wallTimeMs', ts_ms)"""), _JSON)
-    return as_records(rows, value, F.col("event_id") % 4, F.col("event_id"), F.col("ts_ms"))
+    after = _device_image("value", "if(event_id % 31 = 30, NULL, ts)")
+    rows = _events(spark, sf_dir, streaming).select(
+        F.expr(DEVICE_OP).alias("op"), F.expr(after).alias("after"), F.lit(0).alias("step"), "event_id", F.col("ts_ms").alias("ms"),
+        F.expr("concat('d', user_id, if(event_id % 7 = 3, 'b', 'a'))").alias("key"))
+    return _as_event_records(rows, DEVICES, F.lit(False))

@@ -69,16 +69,9 @@ def envelope(payload: T.StructType) -> T.StructType:
     ])
 
 
-def change_event(payload: T.StructType) -> T.StructType:
-    """A document-database change event, as the change stream publishes it."""
-    image = as_text_times(payload)
-    return T.StructType([
-        T.StructField("operationType", T.StringType()),
-        T.StructField("documentKey", T.StructType([T.StructField("_id", T.StringType())])),
-        T.StructField("fullDocument", image),
-        T.StructField("fullDocumentBeforeChange", image),
-        T.StructField("wallTimeMs", T.LongType()),
-    ])
+# A document database's change event, as its connector hands it out: everything but the operation is a JSON document.
+CHANGE_EVENT = T.StructType([T.StructField(name, T.StringType()) for name in (
+    "_id", "operationType", "documentKey", "fullDocument", "fullDocumentBeforeChange", "updateDescription", "clusterTime")])
 
 
 def _columns(text: str) -> list[str]:

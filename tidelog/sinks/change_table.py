@@ -34,6 +34,7 @@ SEQ = T.StructType([
     T.StructField("rank", T.IntegerType()),
     T.StructField("part", T.IntegerType()),
     T.StructField("pos", T.LongType()),
+    T.StructField("token", T.StringType()),
     T.StructField("ord", T.IntegerType()),
 ])
 

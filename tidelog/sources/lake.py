@@ -15,6 +15,12 @@ def open_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.load(path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a batch write to ``path`` has ended."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def open_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table directory that another job may not have begun yet: absent means no rows."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.schemas import CHANGE_EVENT
+
 # A record in a file: the log position travels with it. ``value`` may be any JSON text.
 FILE_RECORD = T.StructType([
     T.StructField("value", T.StringType()),
@@ -63,26 +65,27 @@ def kafka_records(rows: DataFrame) -> DataFrame:
 
 
 def read_change_events(spark: SparkSession, fmt: str = "json", streaming: bool = False,
-                       path: str | None = None, **options: str) -> DataFrame:
+                       path: str | None = None, since: int | None = None, **options: str) -> DataFrame:
     """Read a document collection's change events as records.
 
-    With the document-database connector on the classpath (``mongodb``), whole
-    change events are asked for, not only the current document, so that the image
-    before the change is kept. Event rows become JSON text; the decoder types them.
+    With the document-database connector on the classpath (``mongodb``), whole change events are asked for, with the current
+    document of an update and, where the collection keeps them, the image before a change; ``since`` starts the stream at that second. Event
+    rows become JSON text; :func:`tidelog.operators.change_events.change_records` types them.
     """
     if fmt != "mongodb":
         return read_records(spark, fmt, streaming, path, **options)
-    # Without the lookup an update event carries no image.
-    options = {"change.stream.publish.full.document.only": "false",
-               "change.stream.lookup.full.document": "updateLookup", **options}
+    asked = {"change.stream.publish.full.document.only": "false",
+             "change.stream.lookup.full.document": "updateLookup",
+             "change.stream.lookup.full.document.before.change": "whenAvailable"}
+    if since is not None:
+        asked |= {"change.stream.startup.mode": "timestamp", "change.stream.startup.mode.timestamp.start.at.operation.time": str(since)}
     reader = spark.readStream if streaming else spark.read
-    rows = reader.format(fmt).options(**options).load()
-    return rows.select(
-        F.to_json(F.struct("*")).alias("value"),
-        F.lit(0).alias("part"),
-        F.lit(0).cast("bigint").alias("pos"),
-        F.lit(None).cast("bigint").alias("record_ms"),
-    )
+    return connector_records(reader.format(fmt).schema(CHANGE_EVENT).options(**{**asked, **options}).load())
+
+
+def connector_records(rows: DataFrame) -> DataFrame:
+    """Rows of the document-database connector (``CHANGE_EVENT``) in record form. Their place is in the event itself."""
+    return as_records(rows, F.to_json(F.struct(*CHANGE_EVENT.fieldNames())), F.lit(0), F.lit(0), F.lit(None))
 
 
 def as_records(df: DataFrame, value: Column, part: Column, pos: Column, record_ms: Column) -> DataFrame:
