@@ -81,7 +81,7 @@ def test_feed_equals_definition(spark, tmp_path, seed, by_day, with_before):
             output.write_batch(feed.apply(both_sides(*sides(dev_records, read_records)), batch_id), batch_id)
         if batch_id == 2:
             for table in (feed.devices, feed.readings, output):
-                table.compact(full=True)
+                table.compact()
         device_changes, reading_changes = sides(all_devices, all_readings)
         expected = enrich.current_enriched(device_changes, reading_changes, keys, enrich.LOG_TIMES, fixed_now())
         columns = [c for c in expected.columns if c not in ("row_kind", "seq")]

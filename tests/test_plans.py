@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 from fixtures import SF
@@ -19,7 +20,7 @@ from tidelog.sinks.append import write_append
 from tidelog.sinks.bulk import bulk_lines, by_operation
 from tidelog.sinks.change_log import broker_rows
 from tidelog.sinks.change_table import ChangeTable, change_schema
-from tidelog.sources.lake import open_table
+from tidelog.sources.lake import open_table, register_lake
 from tidelog.sources.records import kafka_records
 
 
@@ -183,8 +184,7 @@ def test_keyed_table_reads_only_the_buckets_it_needs(spark, tmp_path):
     changes = views.device_changes(spark, SF)
     table.write_batch(changes.where("seq.pos < 500"), 0)
     table.write_batch(changes.where("seq.pos >= 500"), 1)
-    assert table.compact() is None
-    assert table.compact(full=True) == (0, 1) and table.compact(full=True) is None
+    assert table.compact() == 1 and table.compact() is None
     wanted = table.buckets_of(spark.createDataFrame([("d1a",)], "_id string"))
     scan = next(line for line in physical(table.changes(wanted)).splitlines() if "FileScan" in line)
     assert re.search(r"PartitionFilters: \[[^\]]*bucket#", scan)
@@ -199,7 +199,7 @@ def test_day_filter_reaches_the_files_of_a_keyed_table(spark, tmp_path):
     changes = tables.readings_by_day(views.reading_changes(spark, SF), fixed_now())
     for batch_id in range(3):
         table.write_batch(changes.where(F.col("seq.pos") % 3 == batch_id), batch_id)
-    table.compact(before=2, full=True)
+    assert table.compact(before=2) == 1
     day = table.current().where("partition_date = '2024-01-05'")
     scans = [line for line in physical(day).splitlines() if "FileScan" in line]
     assert len(scans) == 2
@@ -208,39 +208,84 @@ def test_day_filter_reaches_the_files_of_a_keyed_table(spark, tmp_path):
     assert day.count() == full.count() > 0
 
 
-def test_merging_is_tiered(spark, tmp_path):
-    """Twelve batches, fan-out 3: small folders are merged with their likes only."""
-    table = keyed(spark, tmp_path / "t", buckets=1)
-    changes = views.device_changes(spark, SF).where("seq.pos < 60").persist()
-    spans = []
-    for batch_id in range(12):
-        table.write_batch(changes.where(F.col("seq.pos") % 12 == batch_id), batch_id)
-        spans.append(table.compact(fanout=3))
-        if batch_id == 7:
-            table.expire()
-    assert [s for s in spans if s] == [(0, 2), (3, 5), (6, 8), (0, 8), (9, 11)]
-    assert table.current().count() == changelog.current_state(changes, ["_id"]).count()
-    table.compact(full=True)
+def test_a_merge_rewrites_what_batches_touch(spark, tmp_path):
+    """Only the days of new batches get a new folder; what a merge replaced goes with the next one."""
+    columns, keys = schemas.KEYED_TABLES["iceberg_sensor_readings"]
+    table = ChangeTable(spark, str(tmp_path / "t"), change_schema(schemas.table_schema(columns)), keys, by_day=True)
+    changes = tables.readings_by_day(views.reading_changes(spark, SF), fixed_now()).persist()
+    halves = [changes.where(f"seq.pos % 2 = {i}") for i in range(2)]
+    late = changes.where("partition_date = '2024-01-05'")
+    folders = lambda: {str(p.relative_to(tmp_path / "t")) for p in (tmp_path / "t").glob("merged/*/upto=*")}
+    table.write_batch(halves[0], 0)
+    assert table.compact() == 0
+    first = folders()
+    table.write_batch(halves[1].where("partition_date <> '2024-01-05'"), 1)
+    table.write_batch(late, 2)
+    assert table.compact(before=2) == 1
+    assert first <= folders() and not (tmp_path / "t/merged/partition_date=2024-01-05/upto=1").exists()
+    assert table.compact() == 2
+    # What the first merge made was replaced by the second and went with the third, the untouched day too.
+    assert sorted({f.rsplit("=", 1)[1] for f in folders()}) == ["0", "1", "2"]
     table.expire()
-    assert table._complete() == [(0, 11)]
-    assert table.current().count() == changelog.current_state(changes, ["_id"]).count()
+    assert len(folders()) == len({f.split("/")[1] for f in folders()}) and not list((tmp_path / "t").glob("batches/batch_id=*"))
+    expected = changelog.current_state(changes, keys).drop("row_kind", "seq")
+    assert table.current().exceptAll(expected).count() == 0 and table.current().count() == expected.count()
     changes.unpersist()
 
 
-def test_incomplete_folders_do_not_count(spark, tmp_path):
+def test_unfinished_work_does_not_count(spark, tmp_path):
     table = keyed(spark, tmp_path / "t", buckets=2)
     assert table.current().count() == 0
     changes = views.device_changes(spark, SF)
     table.write_batch(changes.where("seq.pos < 500"), 0)
     table.write_batch(changes.where("seq.pos >= 500"), 1)
     expected = table.current().count()
-    table.compact(full=True)
-    table.write_batch(changes, 2)
-    for marker in ("changes/batch_id=2/_SUCCESS", "merged/span=0-1/_SUCCESS"):
-        (tmp_path / "t" / marker).unlink()
+    table.write_batch(changes, 2)  # no end marker: it is still being written
+    (tmp_path / "t/batches/batch_id=2/_SUCCESS").unlink()
+    assert table.current().count() == expected and table._batches(-1, None) == [0, 1]
+    assert table.compact() == 1
+    (tmp_path / "t/_merged/1").unlink()  # as if the merge had ended before it was published: batches still count
+    assert table.current().count() == expected and table.compact() == 1
     assert table.current().count() == expected
 
 
+def test_ten_thousand_batch_names_are_one_listing(spark, tmp_path):
+    table = keyed(spark, tmp_path / "t")
+    for i in range(10_000):
+        (tmp_path / f"t/batches/batch_id={i}").mkdir(parents=True)
+    (tmp_path / "t/batches/batch_id=9999/_SUCCESS").touch()
+    table._batches(-1, None)
+    started = time.perf_counter()
+    assert len(table._batches(-1, None)) == 10_000
+    assert time.perf_counter() - started < 2
+
+
+@pytest.mark.parametrize("by_day", [True, False])
+def test_views_show_what_is_there_when_asked(spark, tmp_path, by_day):
+    """Registered before the first batch; batches, merges and expiry in between."""
+    columns, keys = schemas.KEYED_TABLES["iceberg_sensor_readings"]
+    schema = change_schema(schemas.table_schema(columns))
+    table = ChangeTable(spark, str(tmp_path / "t"), schema, keys, by_day=by_day, buckets=3)
+    register_lake(spark, str(tmp_path / "lake"), {"sensor_readings_raw": schemas.table_schema(schemas.READINGS_RAW)}, keyed={"keyed_readings": table})
+    assert spark.table("keyed_readings").count() == spark.table("sensor_readings_raw").count() == 0
+    assert spark.table("keyed_readings").columns == columns
+    changes = tables.readings_by_day(views.reading_changes(spark, SF), fixed_now())
+    for batch_id in range(4):
+        table.write_batch(changes.where(f"seq.pos % 4 = {batch_id}"), batch_id)
+        if batch_id in (1, 2):
+            table.compact()
+        if batch_id == 2:
+            table.expire()
+        expected = changelog.current_state(changes.where(f"seq.pos % 4 <= {batch_id}"), keys).drop("row_kind", "seq")
+        shown = spark.sql("SELECT * FROM keyed_readings")
+        assert shown.exceptAll(expected).count() == expected.exceptAll(shown).count() == 0
+    write_append(tables.readings_raw(views.readings(spark, SF)), str(tmp_path / "lake/sensor_readings_raw"))
+    assert spark.sql("SELECT count(*) FROM sensor_readings_raw").first()[0] == views.readings(spark, SF).count()
+    day = spark.sql("SELECT * FROM keyed_readings WHERE partition_date = '2024-01-05'")
+    scans = [line for line in physical(day).splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and (not by_day or all(re.search(r"PartitionFilters: \[[^\]]*partition_date#", scan) for scan in scans))
+
+
 def test_broker_rows_and_back(spark):
     """The broker's own columns, without a broker."""
     log = changelog.decode(frame(spark, [record(change("u", device(), device(threshold=9.0)), 5)]), schemas.DEVICES)

@@ -210,7 +210,7 @@ def test_upsert_lake_over_several_batches(spark, tmp_path):
     for name in states:
         table = keyed_table(spark, root, name)
         before = table.current().count()
-        table.compact(full=True)
+        table.compact()
         table.expire()
         assert table.current().count() == before
 

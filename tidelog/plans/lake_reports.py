@@ -82,7 +82,7 @@ def lake_silent_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A keyed table written in three batches, two of them merged, then read as a view.
+    """A keyed table in three batches, two of them merged; its view is made before the last two come, and shows them.
 
     The batches interleave, so some changes arrive after newer ones.
     """
@@ -94,10 +94,10 @@ def lake_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = spark.read.schema(table.schema).parquet(arrived)
     part = F.col("seq.pos") % 3
     table.write_batch(changes.where(part == 2), 0)
+    register_lake(spark, table.path, {}, keyed={"iceberg_sensor_readings": table})
     table.write_batch(changes.where(part == 0), 1)
-    table.compact(full=True)
+    table.compact()
     table.write_batch(changes.where(part == 1), 2)
-    register_lake(spark, table.path, {}, keyed={"iceberg_sensor_readings": table.current()})
     return spark.sql("SELECT * FROM iceberg_sensor_readings")
 
 

@@ -27,9 +27,14 @@ def keyed_table(spark: SparkSession, root: str, name: str) -> ChangeTable:
     return ChangeTable(spark, f"{root.rstrip('/')}/{name}", schema, keys, by_day=True)
 
 
+def keyed_tables(spark: SparkSession, root: str) -> dict[str, ChangeTable]:
+    """All keyed tables, by name."""
+    return {name: keyed_table(spark, root, name) for name in KEYED_TABLES}
+
+
 def keyed_states(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The current rows of all keyed tables, by name."""
-    return {name: keyed_table(spark, root, name).current() for name in KEYED_TABLES}
+    return {name: table.current() for name, table in keyed_tables(spark, root).items()}
 
 
 def create_keyed_tables(spark: SparkSession, database: str, fmt: str = "iceberg") -> list[str]:
