@@ -108,4 +108,4 @@ def seed_reading_records():
 def frame(spark, records):
     from tidelog.sources.records import FILE_RECORD
 
-    return spark.createDataFrame([tuple(r[f] for f in FILE_RECORD.fieldNames()) for r in records], FILE_RECORD)
+    return spark.createDataFrame([tuple(r.get(f) for f in FILE_RECORD.fieldNames()) for r in records], FILE_RECORD)

@@ -78,38 +78,56 @@ def images(parsed: DataFrame, keyed: bool, also: tuple[str, ...] = ()) -> DataFr
     return rows.select(*also, "row_kind", place.alias("seq"), "image")
 
 
-def image_rows(parsed: DataFrame, payload: T.StructType, keyed: bool) -> DataFrame:
+def image_rows(parsed: DataFrame, payload: T.StructType, keyed: bool, also: tuple[str, ...] = ()) -> DataFrame:
     """:func:`images`, each spread out into the payload's typed fields."""
-    return images(parsed, keyed).select("row_kind", "seq", *typed_fields(F.col("image"), payload))
+    return images(parsed, keyed, also).select("row_kind", "seq", *also, *typed_fields(F.col("image"), payload))
 
 
-def decode(records: DataFrame, payload: T.StructType, keyed: bool = True) -> DataFrame:
+def _fault(op: Column, before: Column, after: Column) -> Column:
+    """Why a record gives no row, null where it gives one."""
+    return (
+        F.when(op.isNull(), "no operation")
+        .when(~op.isin("c", "r", "u", "d"), "unknown operation")
+        .when(op.isin("c", "r") & after.isNull(), "no image")
+        .when((op == "u") & before.isNull() & after.isNull(), "no image")
+        .when((op == "d") & before.isNull(), "no image"))
+
+
+#: What may be wrong with a record, with the name that counts have it under.
+FAULTS = {"no operation": "no_operation", "unknown operation": "unknown_operation", "no image": "no_image"}
+
+
+def counted(parsed: DataFrame, name: str, fault: Column) -> DataFrame:
+    """``parsed`` as it is; a running query reports, as metrics ``name`` of every batch, its records and those of each fault."""
+    return parsed.observe(name, F.count(F.lit(1)).alias("records"), *[
+        F.count_if(fault.eqNullSafe(reason)).alias(column) for reason, column in FAULTS.items()])
+
+
+def decode(records: DataFrame, payload: T.StructType, keyed: bool = True, count_as: str | None = None,
+           captured: bool = False) -> DataFrame:
     """Envelope records to changelog rows.
 
     ``c`` and ``r`` give ``+I``; ``u`` gives ``-U`` and ``+U`` (only ``+U`` when the
     source keeps no before-image); ``d`` gives ``-D``. Text that is no envelope, or
-    an operation without its image, gives no row. ``keyed``: see :func:`sequence`;
-    :func:`encode` keys its records by document id.
+    an operation without its image, gives no row; with ``count_as`` such records are counted, see :func:`counted`. ``keyed``: see
+    :func:`sequence`; :func:`encode` keys its records by document id. With ``captured`` rows also say when their record was written
+    (``captured_ms``).
     """
-    parsed = records.select(
-        F.from_json("value", envelope(payload)).alias("change"), "part", "pos", "record_ms",
-    ).select(
+    more = ["captured_ms"] if captured else []
+    parsed = records.select(F.from_json("value", envelope(payload)).alias("change"), "part", "pos", "record_ms", *more)
+    if count_as:
+        parsed = counted(parsed, count_as, _fault(F.col("change.op"), F.col("change.before"), F.col("change.after")))
+    parsed = parsed.select(
         "change.op", "change.before", "change.after", "part", "pos",
-        F.coalesce("change.ts_ms", "record_ms", F.lit(BEFORE_ALL)).alias("ms"),
+        F.coalesce("change.ts_ms", "record_ms", F.lit(BEFORE_ALL)).alias("ms"), *more,
     )
-    return image_rows(parsed, payload, keyed)
+    return image_rows(parsed, payload, keyed, tuple(more))
 
 
 def undecodable(records: DataFrame, payload: T.StructType) -> DataFrame:
     """The records that :func:`decode` gives no row for (``part, pos, value, reason``), to be counted or kept aside."""
     change = F.struct(F.from_json("value", envelope(payload)).alias("change"))
-    op, before, after = (F.col(f"change.{name}") for name in ("op", "before", "after"))
-    reason = (
-        F.when(op.isNull(), "no operation")
-        .when(~op.isin("c", "r", "u", "d"), "unknown operation")
-        .when(op.isin("c", "r") & after.isNull(), "no image")
-        .when((op == "u") & before.isNull() & after.isNull(), "no image")
-        .when((op == "d") & before.isNull(), "no image"))
+    reason = _fault(*(F.col(f"change.{name}") for name in ("op", "before", "after")))
     rows = records.select("part", "pos", "value", F.inline(F.array(change)))
     return rows.select("part", "pos", "value", reason.alias("reason")).where(F.col("reason").isNotNull())
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions.timeparts import event_time, payload_time
-from tidelog.operators.changelog import insert_only
+from tidelog.operators.changelog import counted, insert_only
 from tidelog.schemas import DEVICES, READINGS, as_text_times
 
 
@@ -31,11 +31,22 @@ def _flatten(creates: DataFrame, payload: T.StructType, now: Column | None) -> D
     return creates.select(*columns, event_time(F.col("ts_ms"), now).alias("event_timestamp"))
 
 
-def device_rows(records: DataFrame, now: Column | None = None) -> DataFrame:
-    """Created devices, flat, with ``event_timestamp`` (a TIMESTAMP, fit for a watermark)."""
-    return _flatten(insert_only(parse_envelope(records, DEVICES)), DEVICES, now)
+def _creates(records: DataFrame, payload: T.StructType, count_as: str | None) -> DataFrame:
+    parsed = parse_envelope(records, payload)
+    if count_as:
+        op, after = F.col("change.op"), F.col("change.after")
+        # Updates and deletes are none of the append tables' business, so their images are not asked for.
+        fault = (F.when(op.isNull(), "no operation").when(~op.isin("c", "r", "u", "d"), "unknown operation")
+                 .when((op == "c") & after.isNull(), "no image"))
+        parsed = counted(parsed, count_as, fault)
+    return insert_only(parsed)
 
 
-def reading_rows(records: DataFrame, now: Column | None = None) -> DataFrame:
+def device_rows(records: DataFrame, now: Column | None = None, count_as: str | None = None) -> DataFrame:
+    """Created devices, flat, with ``event_timestamp`` (a TIMESTAMP, fit for a watermark). ``count_as``: see ``changelog.counted``."""
+    return _flatten(_creates(records, DEVICES, count_as), DEVICES, now)
+
+
+def reading_rows(records: DataFrame, now: Column | None = None, count_as: str | None = None) -> DataFrame:
     """Created readings, flat, with ``event_timestamp``."""
-    return _flatten(insert_only(parse_envelope(records, READINGS)), READINGS, now)
+    return _flatten(_creates(records, READINGS, count_as), READINGS, now)

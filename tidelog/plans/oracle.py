@@ -321,6 +321,31 @@ FROM newest s JOIN winners d ON s.device_id = d.device_id WHERE s.row_kind <> '-
 SELECT _id AS mongo_id, reading_id || '$' || partition_date AS doc_id FROM newest WHERE row_kind <> '-D'"""),
 }
 
+ORACLE |= {
+    # The bytes of an action: its line, its document's line unless it is a delete, and a line end after each.
+    "search_bulk_requests": f"""
+WITH a AS (
+  SELECT doc_id, action, (CASE action WHEN 'delete' THEN strlen(head) ELSE strlen(head) + 1 + strlen(body) END) + 1 AS n_bytes,
+         CAST('0x' || left(md5(doc_id), 4) AS INTEGER) % 4 AS lane
+  FROM (
+    SELECT *, '{{"' || action || '":{{"_index":"iot_sensor_readings","_id":"' || doc_id || '","version":' || version
+              || ',"version_type":"external_gte"}}}}' AS head,
+           '{{"mongo_id":"' || mongo_id || '","reading_id":' || coalesce('"' || reading_id || '"', 'null') || ',"device_id":"' || device_id
+           || '","sensor_value":' || CAST(sensor_value AS VARCHAR) || ',"unit":"' || unit || '","quality":"' || quality
+           || '","timestamp":"' || strftime("timestamp", '%Y-%m-%d %H:%M:%S.%g') || '","battery_level":' || battery_level
+           || ',"created_at":"' || strftime(created_at, '%Y-%m-%d %H:%M:%S.%g') || '","updated_at":"'
+           || strftime(updated_at, '%Y-%m-%d %H:%M:%S.%g') || '"}}' AS body
+    FROM ({ORACLE["search_docs_readings"]}))),
+r AS (
+  SELECT *, (row_number() OVER o - 1) // 100 AS by_count, CAST(sum(n_bytes) OVER o - n_bytes AS BIGINT) // 16384 AS by_bytes
+  FROM a WINDOW o AS (PARTITION BY lane ORDER BY doc_id))
+SELECT CAST(lane AS INTEGER) AS lane, CAST(dense_rank() OVER (PARTITION BY lane ORDER BY by_count, by_bytes) AS INTEGER) AS request,
+       doc_id, action, CAST(n_bytes AS INTEGER) AS n_bytes FROM r""",
+    "changelog_capture_time": query([EVENTS, READING_CHANGES], f"""
+SELECT CASE WHEN row_kind IN ('-U', '-D') THEN '-D' ELSE '+I' END AS row_kind, _id, sensor_value,
+       epoch_ms({NOW}) AS captured_ms FROM reading_changes"""),
+}
+
 _RAW_READINGS = f"""
 raw_readings AS (
   SELECT _id AS mongo_id, reading_id, device_id, sensor_value, "timestamp" AS reading_timestamp,
@@ -365,6 +390,30 @@ _HALF = "(SELECT (min(event_id) + max(event_id)) / 2 FROM ev)"
 # The last watermark: the readings' own times, less the 30 seconds that silent devices lag, less ten; rows two hours older are due.
 _DUE = "make_timestamp((SELECT max(ts_ms) FROM ev WHERE event_id % 13 <> 12) * 1000) - INTERVAL 40 SECOND - INTERVAL 2 HOUR"
 
+# The batch that a row of a streamed table comes with, and the readings of the first that come with the last.
+_BATCH = "({k} - (SELECT min({k}) FROM {t})) // ((SELECT max({k}) - min({k}) FROM {t}) // 3 + 1)"
+_LATE = f"(event_id % 50 = 7 AND {_BATCH.format(k='event_id', t='events')} = 0)"
+_COUNTED = "event_type <> 'signup' AND event_id % 29 <> 28 AND event_id % 19 <> 18 AND event_id % 41 <> 0"
+
+
+def _minutes(where: str) -> str:
+    """Closed windows of the readings that hold ``where``, with the created devices."""
+    return query([EVENTS, DEVICES, DEVICE_ROWS], f"""
+, counted AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, value AS sensor_value,
+         CASE event_type WHEN 'error' THEN 'critical' WHEN 'purchase' THEN 'warning' ELSE 'good' END AS quality, ts
+  FROM ev WHERE {_COUNTED} AND {where})
+SELECT date_trunc('minute', s.ts) AS window_start, date_trunc('minute', s.ts) + INTERVAL 1 MINUTE AS window_end,
+       s.device_id, d.device_name, d.location, d.building, count(*) AS reading_count,
+       round(avg(s.sensor_value), 6) AS avg_temperature, max(s.sensor_value) AS max_temperature, min(s.sensor_value) AS min_temperature,
+       count(CASE WHEN s.quality = 'warning' THEN 1 END) AS warning_count, count(CASE WHEN s.quality = 'critical' THEN 1 END) AS critical_count,
+       {CDC_TS.format("date_trunc('minute', s.ts)")} AS cdc_ts, {DAY.format("date_trunc('minute', s.ts)")} AS partition_date
+FROM counted s JOIN device_rows d ON s.device_id = d.device_id
+WHERE d.device_type = 'temperature'
+  AND date_trunc('minute', s.ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 SECOND FROM counted)
+GROUP BY ALL""")
+
+
 STREAM_ORACLE = {
     # Every change leaves with the image that its document had before; a delete of a document not seen before names its key only.
     "stream_capture_devices": query([EVENTS, DEVICE_CHANGES], f"""
@@ -389,21 +438,20 @@ WHERE reading_id IS NOT NULL AND event_timestamp < {_DUE} AND NOT EXISTS (
   SELECT 1 FROM device_changes d
   WHERE d.row_kind = '+I' AND d.pos % 3 <> 0 AND d.pos % 5 <> 0 AND d.pos <= {_HALF} AND d.device_id = s.device_id
     AND abs(epoch_us(s.event_timestamp) // 1000 - d.ms) <= 7200000)"""),
-    "stream_temperature_minute": query([EVENTS, DEVICES, DEVICE_ROWS], f"""
-, reading_rows AS (
-  SELECT CASE WHEN event_id % 41 = 0 THEN NULL ELSE 'R' || event_id END AS reading_id, CAST(user_id AS VARCHAR) AS device_id, value AS sensor_value,
-         CASE event_type WHEN 'error' THEN 'critical' WHEN 'purchase' THEN 'warning' ELSE 'good' END AS quality, ts
-  FROM ev WHERE event_type <> 'signup' AND event_id % 29 <> 28 AND event_id % 19 <> 18),
-counted AS (SELECT * FROM reading_rows WHERE reading_id IS NOT NULL)
-SELECT date_trunc('minute', s.ts) AS window_start, date_trunc('minute', s.ts) + INTERVAL 1 MINUTE AS window_end,
-       s.device_id, d.device_name, d.location, d.building, count(*) AS reading_count,
-       round(avg(s.sensor_value), 6) AS avg_temperature, max(s.sensor_value) AS max_temperature, min(s.sensor_value) AS min_temperature,
-       count(CASE WHEN s.quality = 'warning' THEN 1 END) AS warning_count, count(CASE WHEN s.quality = 'critical' THEN 1 END) AS critical_count,
-       {CDC_TS.format("date_trunc('minute', s.ts)")} AS cdc_ts, {DAY.format("date_trunc('minute', s.ts)")} AS partition_date
-FROM counted s JOIN device_rows d ON s.device_id = d.device_id
-WHERE d.device_type = 'temperature'
-  AND date_trunc('minute', s.ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) - INTERVAL 10 SECOND FROM counted)
-GROUP BY ALL"""),
+    "stream_temperature_minute": _minutes("true"),
+    "stream_late_readings": _minutes(f"NOT ({_LATE})"),
+    "stream_late_counts": query([EVENTS, f"""
+batches AS (
+  SELECT *, CASE WHEN {_LATE} THEN 2 ELSE {_BATCH.format(k='event_id', t='events')} END AS batch_id, {_LATE} AS late FROM ev)"""], f"""
+SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS records, 0::BIGINT AS no_operation, 0::BIGINT AS unknown_operation,
+       count(*) FILTER (WHERE event_id % 29 = 28 AND event_id % 19 <> 18) AS no_image,
+       count(DISTINCT CASE WHEN late AND {_COUNTED} THEN (date_trunc('minute', ts), user_id) END) AS late
+FROM batches GROUP BY batch_id"""),
+    "stream_decode_counts": f"""
+SELECT CAST({_BATCH.format(k='c_custkey', t='customer')} AS BIGINT) AS batch_id, count(*) AS records,
+       count(*) FILTER (WHERE c_custkey % 37 = 36) AS no_operation, 0::BIGINT AS unknown_operation,
+       count(*) FILTER (WHERE c_custkey % 37 <> 36 AND c_custkey % 29 = 28 AND c_custkey % 19 <> 18) AS no_image
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""",
     "stream_upsert_devices": ORACLE["upsert_devices_by_day"],
     "stream_upsert_readings": ORACLE["upsert_readings_by_day"],
     "stream_upsert_enriched": ORACLE["upsert_enriched_by_day"],

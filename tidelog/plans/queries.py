@@ -13,6 +13,9 @@ from tidelog import functions as fn
 from tidelog import schemas
 from tidelog.operators import change_events, changelog, decode_rows, enrich, search, tables, windows
 from tidelog.plans import views
+from tidelog.sinks import bulk
+from tidelog.sinks.change_log import broker_rows
+from tidelog.sources.records import kafka_records
 
 _DEVICE_KEYS = ["device_id", "partition_date"]
 _READING_KEYS = ["reading_id", "partition_date"]
@@ -239,6 +242,23 @@ def search_doc_id_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.select("mongo_id", fn.document_id(*[F.col(k) for k in _READING_KEYS]).alias("doc_id"))
 
 
+def search_bulk_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which request each action goes with, at 100 actions or 16 KB a request."""
+    actions = search.documents(views.reading_changes(spark, sf_dir), "iot_sensor_readings", schemas.READING_DOC)
+    return bulk.flushes(actions, max_actions=100, max_bytes=16_384, lanes=4).select(
+        "lane", "request", F.col("_id").alias("doc_id"), "action", "n_bytes")
+
+
+def changelog_capture_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time at which a record was written, through the broker's headers and back into the decoded rows."""
+    sent = broker_rows(views.reading_changes(spark, sf_dir), schemas.READINGS, views.fixed_now())
+    returned = sent.select(
+        F.encode("value", "utf-8").alias("value"), "headers", F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"))
+    rows = changelog.decode(kafka_records(returned), schemas.READINGS, captured=True)
+    return rows.select("row_kind", "_id", "sensor_value", "captured_ms")
+
+
 BATCH_QUERIES = {
     query.__name__: query
     for query in (
@@ -250,6 +270,6 @@ BATCH_QUERIES = {
         enriched_within_ttl, temperature_minute, temperature_day,
         upsert_devices_by_day, upsert_readings_by_day, upsert_enriched_by_day,
         search_docs_devices, search_docs_readings, search_docs_enriched, search_docs_enriched_direct,
-        search_doc_id_composite,
+        search_doc_id_composite, search_bulk_requests, changelog_capture_time,
     )
 }

@@ -8,9 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidelog import schemas
-from tidelog.operators import changelog
+from tidelog.operators import changelog, decode_rows
 from tidelog.plans import views
 from tidelog.session import fresh_dir
 from tidelog.sinks.append import read_numbered
@@ -18,6 +19,7 @@ from tidelog.sources.lake import open_table
 from tidelog.sources.records import read_records
 from tidelog.streaming import Trigger, start_append_lake, start_capture, start_search, start_upsert_lake
 from tidelog.streaming.capture import start_position
+from tidelog.streaming.counts import batch_counts
 from tidelog.streaming.queries import finish
 from tidelog.streaming.upsert_lake import keyed_table
 
@@ -115,6 +117,41 @@ def stream_temperature_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("avg_temperature", F.round("avg_temperature", 6))
 
 
+def _late(spark: SparkSession, sf_dir: str) -> tuple[str, StreamingQuery]:
+    root = fresh_dir(spark, "late")
+    queries = start_append_lake(
+        views.device_topic(spark, sf_dir, streaming=True), views.late_reading_topic(spark, sf_dir), root,
+        lambda: decode_rows.device_rows(views.device_topic(spark, sf_dir), views.fixed_now()), ONCE, views.fixed_now(),
+        only=["temperature_readings_minute"])
+    finish(queries)
+    return root, queries[0]
+
+
+def stream_late_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows where some readings come after their window has closed: those are left out."""
+    root, _ = _late(spark, sf_dir)
+    rows = read_numbered(spark, f"{root}/temperature_readings_minute", schemas.TEMPERATURE_MINUTE)
+    return rows.withColumn("avg_temperature", F.round("avg_temperature", 6))
+
+
+def stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the same run, per batch: records, those that decode to nothing, and window totals that came too late."""
+    _, query = _late(spark, sf_dir)
+    rows = [(r["batch_id"], r["records"], r["no_operation"], r["unknown_operation"], r["no_image"], r["late"]) for r in batch_counts(query)]
+    return spark.createDataFrame(rows, "batch_id long, records long, no_operation long, unknown_operation long, no_image long, late long").where(
+        "records > 0")
+
+
+def stream_decode_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per batch of the device log: records, and those that decode to nothing, by reason."""
+    root = fresh_dir(spark, "counted")
+    topic = views.device_topic(spark, sf_dir, streaming=True)
+    queries = start_append_lake(topic, topic, root, trigger=ONCE, now=views.fixed_now(), only=["devices_raw"])
+    finish(queries)
+    rows = [(r["batch_id"], r["records"], r["no_operation"], r["unknown_operation"], r["no_image"]) for r in batch_counts(queries[0])]
+    return spark.createDataFrame(rows, "batch_id long, records long, no_operation long, unknown_operation long, no_image long").where("records > 0")
+
+
 def _upsert_lake(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     root = fresh_dir(spark, "upsert")
     finish(start_upsert_lake(
@@ -183,7 +220,8 @@ STREAM_QUERIES = {
     query.__name__: query
     for query in (
         stream_capture_devices, stream_capture_readings, stream_capture_initial, stream_capture_to_readings_by_day, stream_devices_raw, stream_readings_raw, stream_enriched_within_ttl,
-        stream_enriched_quiet_devices, stream_unmatched_readings, stream_temperature_minute, stream_upsert_devices, stream_upsert_readings, stream_upsert_enriched,
+        stream_enriched_quiet_devices, stream_unmatched_readings, stream_temperature_minute,
+        stream_late_readings, stream_late_counts, stream_decode_counts, stream_upsert_devices, stream_upsert_readings, stream_upsert_enriched,
         stream_search_devices, stream_search_readings, stream_search_enriched,
         stream_search_direct_devices, stream_search_direct_readings, stream_search_direct_enriched,
     )

@@ -41,22 +41,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = False)
     return _as_log(table, _NUMBER[name]) if streaming else table
 
 
-def _as_log(table: DataFrame, number: str) -> DataFrame:
+def _slice(table: DataFrame, number: str) -> tuple[Column, int]:
+    """The batch a row comes with, and the batches' width: rows are dealt out by number, oldest first."""
+    low, high = table.agg(F.coalesce(F.min(number), F.lit(0)), F.coalesce(F.max(number), F.lit(0))).first()
+    width = (high - low) // SLICES + 1
+    return F.coalesce(F.floor((F.col(number) - low) / width), F.lit(0)).cast("int"), width
+
+
+def _as_log(table: DataFrame, number: str, late: Column | None = None) -> DataFrame:
     """A table as a stream of several batches, oldest rows first.
 
     It is written to the shared folder slice after slice, each as the same number of files, and a
-    batch takes that many. So a batch is a slice at every size, and no row comes later than its slice.
+    batch takes that many. So a batch is a slice at every size, and no row comes later than its slice, but those of the first slice for which
+    ``late`` holds: they come with the last.
     """
     spark = table.sparkSession
     folder = fresh_dir(spark, f"log-{number}")
-    low, high = table.agg(F.coalesce(F.min(number), F.lit(0)), F.coalesce(F.max(number), F.lit(0))).first()
-    width = (high - low) // SLICES + 1
+    batch, _ = _slice(table, number)
+    if late is not None:
+        batch = F.when((batch == 0) & late, SLICES - 1).otherwise(batch)
     files = -(-table.rdd.getNumPartitions() // SLICES)
     for i in range(SLICES):
-        start = low + i * width
-        mine = F.col(number).between(start, start + width - 1)
-        rows = table.where(mine | F.col(number).isNull() if i == 0 else mine)
-        rows.repartition(files).write.mode("append").parquet(folder)
+        table.where(batch == i).repartition(files).write.mode("append").parquet(folder)
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
@@ -91,8 +97,11 @@ def device_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Events with their time in whole milliseconds."""
-    rows = _table(spark, sf_dir, "events", streaming).select("event_id", "ts", "user_id", "event_type", "value")
-    return rows.withColumn("ts", zoneless(F.date_trunc("millisecond", "ts"))).withColumn(
+    return _with_times(_table(spark, sf_dir, "events", streaming))
+
+
+def _with_times(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "ts", "user_id", "event_type", "value").withColumn("ts", zoneless(F.date_trunc("millisecond", "ts"))).withColumn(
         "ts_ms", F.unix_millis(F.col("ts").cast("timestamp")))
 
 
@@ -170,6 +179,10 @@ def device_topic(spark: SparkSession, sf_dir: str, streaming: bool = False) -> D
 
 def reading_topic(spark: SparkSession, sf_dir: str, streaming: bool = False, timed: bool = False) -> DataFrame:
     """Creates of all readings, with updates, missing images and (unless ``timed``) missing capture times in between."""
+    return _reading_topic_of(_events(spark, sf_dir, streaming), timed)
+
+
+def _reading_topic_of(events: DataFrame, timed: bool) -> DataFrame:
     image = _struct(_reading_fields(reading_id="if(event_id % 41 = 0, NULL, concat('R', event_id))",
                            timestamp="if(event_id % 43 = 42, NULL, ts)"))
     value = _envelope_text(
@@ -177,8 +190,7 @@ def reading_topic(spark: SparkSession, sf_dir: str, streaming: bool = False, tim
         f"if(event_id % 29 = 28, NULL, {image})",
         "CASE WHEN event_id % 19 = 18 THEN 'u' ELSE 'c' END",
         "ts_ms" if timed else "if(event_id % 13 = 12, NULL, ts_ms)")
-    rows = _events(spark, sf_dir, streaming)
-    return as_records(rows, value, F.col("event_id") % 4, F.col("event_id"), F.col("ts_ms"))
+    return as_records(events, value, F.col("event_id") % 4, F.col("event_id"), F.col("ts_ms"))
 
 
 def timed_reading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +198,12 @@ def timed_reading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading_topic(spark, sf_dir, streaming=True, timed=True)
 
 
+def late_reading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The timed reading topic, with every 50th record of the first batch arriving in the last."""
+    rows = _as_log(_table(spark, sf_dir, "events"), "event_id", F.col("event_id") % 50 == 7)
+    return _reading_topic_of(_with_times(rows), timed=True)
+
+
 def early_device_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The device change log as a stream that falls silent after the first half of its time."""
     half = spark.read.parquet(f"{sf_dir}/events.parquet").agg(((F.min("event_id") + F.max("event_id")) / 2).alias("half")).first()["half"]

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import SparkSession
 
+from tidelog.sinks.catalog import LakeCatalog, merged_conf
+
 # Runtime settings: they may be set on a session somebody else has built.
 RUNTIME_CONF = {
     # TIMESTAMP_LTZ and zone-less timestamps convert into each other in UTC.
@@ -35,12 +38,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app_name: str = "tidelog", master: str | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
-    """Start (or get) a session. Cluster sizing stays with ``spark-submit``."""
+                  conf: dict[str, str] | None = None, catalogs: Collection[LakeCatalog] = ()) -> SparkSession:
+    """Start (or get) a session, with the lake's catalogs. Cluster sizing stays with ``spark-submit``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for name, value in (conf or {}).items():
+    for name, value in {**merged_conf(catalogs), **(conf or {})}.items():
         builder = builder.config(name, value)
     return configure(builder.getOrCreate())
 

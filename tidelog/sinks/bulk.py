@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.schemas import table_schema
@@ -14,10 +14,53 @@ def bulk_lines(actions: DataFrame) -> DataFrame:
     The version is sent as an external one. The service then keeps the newest document,
     in whatever order requests arrive, and accepts an equal version.
     """
+    return _lines(actions).select("value")
+
+
+def _lines(actions: DataFrame) -> DataFrame:
     meta = F.struct("_index", "_id", "version", F.lit("external_gte").alias("version_type"))
     head = F.when(F.col("action") == "delete", F.to_json(F.struct(meta.alias("delete")))).otherwise(
         F.to_json(F.struct(meta.alias("index"))))
-    return actions.where(F.col("_id").isNotNull()).select(F.concat_ws("\n", head, F.col("doc")).alias("value"))
+    return actions.where(F.col("_id").isNotNull()).select(
+        "_index", "_id", "action", F.concat_ws("\n", head, F.col("doc")).alias("value"))
+
+
+# A request is sent once it holds so many actions or bytes; what is left goes when the micro-batch ends.
+FLUSH_ACTIONS, FLUSH_BYTES = 1, 1 << 20
+
+
+def flushes(actions: DataFrame, max_actions: int = FLUSH_ACTIONS, max_bytes: int = FLUSH_BYTES, lanes: int = 64) -> DataFrame:
+    """Which request each action goes with: ``_index, lane, request, _id, action, n_bytes, value``.
+
+    A request ends with the action that fills it, so it has at most ``max_actions`` actions and at most ``max_bytes`` bytes
+    before its last one. Actions are dealt to ``lanes`` by their id, and each lane is cut by running sums; lanes are
+    sent side by side, so choose their number by the batch. An action counts with its line ends.
+    """
+    lane = F.conv(F.substring(F.md5("_id"), 1, 4), 16, 10).cast("int") % lanes
+    rows = _lines(actions).withColumns({"lane": lane, "n_bytes": F.octet_length("value") + 1})
+    order = Window.partitionBy("_index", "lane").orderBy("_id")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    full = rows.withColumns({
+        "by_count": F.floor((F.row_number().over(order) - 1) / max_actions),
+        "by_bytes": F.floor(F.coalesce(F.sum("n_bytes").over(before), F.lit(0)) / max_bytes)})
+    # Both grow along a lane: a request is a pair of them.
+    request = F.dense_rank().over(Window.partitionBy("_index", "lane").orderBy("by_count", "by_bytes"))
+    return full.withColumn("request", request).select("_index", "lane", "request", "_id", "action", "n_bytes", "value")
+
+
+def requests(actions: DataFrame, max_actions: int = FLUSH_ACTIONS, max_bytes: int = FLUSH_BYTES, lanes: int = 64) -> DataFrame:
+    """The bodies to send: ``_index, lane, request, n_actions, n_bytes, body``, one row each. See :func:`flushes`."""
+    parts = flushes(actions, max_actions, max_bytes, lanes).groupBy("_index", "lane", "request").agg(
+        F.count("*").alias("n_actions"), F.sum("n_bytes").alias("n_bytes"),
+        F.array_sort(F.collect_list(F.struct("_id", "value"))).alias("lines"))
+    return parts.select("_index", "lane", "request", "n_actions", "n_bytes",
+                        F.concat(F.array_join("lines.value", "\n"), F.lit("\n")).alias("body"))
+
+
+def write_requests(actions: DataFrame, path: str, batch_id: int, max_actions: int = FLUSH_ACTIONS, max_bytes: int = FLUSH_BYTES,
+                   lanes: int = 64) -> None:
+    """Write a batch as request bodies, ready to be sent one by one; a replay replaces the batch's own folder."""
+    requests(actions, max_actions, max_bytes, lanes).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def write_bulk(actions: DataFrame, path: str, batch_id: int, actions_per_file: int = 100_000) -> None:

@@ -2,12 +2,65 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from dataclasses import dataclass, field
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tidelog.schemas import APPEND_TABLES, table_schema
 
 
+# Plug-in classes of the table formats, and the SQL extensions they come with.
+_PLUGINS = {
+    "iceberg": ("org.apache.iceberg.spark.SparkCatalog", "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions"),
+    "delta": ("org.apache.spark.sql.delta.catalog.DeltaCatalog", "io.delta.sql.DeltaSparkSessionExtension"),
+}
+#: The catalog every session has.
+SESSION_CATALOG = "spark_catalog"
+
+
+@dataclass(frozen=True)
+class LakeCatalog:
+    """Where the lake's tables have their names: a format's catalog plug-in (its jar must be present), or the session's own.
+
+    ``settings`` are the plug-in's, such as ``type="hive"``, ``uri`` and ``warehouse``. Give the catalogs to ``build_session``; then
+    :meth:`use` makes one current, and table names without a catalog are looked up there.
+    """
+
+    name: str = SESSION_CATALOG
+    fmt: str | None = None
+    settings: dict[str, str] = field(default_factory=dict)
+
+    def conf(self) -> dict[str, str]:
+        """Settings of a session that has this catalog."""
+        if self.fmt is None:
+            if self.name != SESSION_CATALOG or self.settings:
+                raise ValueError("only the session's own catalog needs no format, and it takes no settings")
+            return {}
+        plugin, extension = _PLUGINS[self.fmt]
+        own = {f"spark.sql.catalog.{self.name}.{key}": value for key, value in self.settings.items()}
+        return {f"spark.sql.catalog.{self.name}": plugin, "spark.sql.extensions": extension, **own}
+
+    def use(self, spark: SparkSession, database: str = "iot_db") -> str:
+        """Create the database if it is not there and make it current; returns its full name."""
+        full = f"{self.name}.{database}"
+        create_database(spark, full)
+        spark.catalog.setCurrentCatalog(self.name)
+        spark.catalog.setCurrentDatabase(database)
+        return full
+
+
+def merged_conf(catalogs: Collection[LakeCatalog]) -> dict[str, str]:
+    """The settings of several catalogs in one session; SQL extensions add up."""
+    conf: dict[str, str] = {}
+    for catalog in catalogs:
+        for key, value in catalog.conf().items():
+            known = conf.get(key, "").split(",") if key == "spark.sql.extensions" else []
+            conf[key] = ",".join(dict.fromkeys([*filter(None, known), value]))
+    return conf
+
+
 def create_database(spark: SparkSession, name: str = "iot_db") -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 

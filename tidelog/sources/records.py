@@ -1,6 +1,6 @@
 """Change logs as record streams.
 
-Every source yields the same four columns, so that the decoders do not care where
+Every source yields the same five columns, so that the decoders do not care where
 a record comes from:
 
 ==============  =========================================================
@@ -8,6 +8,7 @@ a record comes from:
 ``part``        partition of the log (0 for files)
 ``pos``         position in that partition
 ``record_ms``   record time, used when the change itself carries none
+``captured_ms`` when the capture wrote the record, where it says so
 ==============  =========================================================
 """
 
@@ -25,6 +26,7 @@ FILE_RECORD = T.StructType([
     T.StructField("part", T.IntegerType()),
     T.StructField("pos", T.LongType()),
     T.StructField("record_ms", T.LongType()),
+    T.StructField("captured_ms", T.LongType()),
 ])
 
 
@@ -41,7 +43,8 @@ def read_records(spark: SparkSession, fmt: str = "json", streaming: bool = False
     if fmt == "kafka":
         # A first run starts at the earliest offset; later runs resume from the
         # checkpoint, which plays the part of the consumer group's offsets.
-        options = {"startingOffsets": "earliest", **options}
+        # The capture time travels as a header.
+        options = {"startingOffsets": "earliest", "includeHeaders": "true", **options}
         return kafka_records(reader.options(**options).load())
     if fmt == "text":
         rows = reader.options(**options).load(path)
@@ -50,17 +53,24 @@ def read_records(spark: SparkSession, fmt: str = "json", streaming: bool = False
             F.lit(0).alias("part"),
             F.lit(0).cast("bigint").alias("pos"),
             F.lit(None).cast("bigint").alias("record_ms"),
+            F.lit(None).cast("bigint").alias("captured_ms"),
         )
     return reader.schema(FILE_RECORD).options(**options).load(path)
 
 
 def kafka_records(rows: DataFrame) -> DataFrame:
     """Rows of the broker source in record form; tombstones (no value) are dropped."""
+    if "headers" in rows.columns:
+        sent = F.get(F.filter("headers", lambda h: h["key"] == "event_timestamp"), F.lit(0))["value"]
+        captured = sent.cast("string").try_cast("bigint")
+    else:
+        captured = F.lit(None).cast("bigint")
     return rows.where(F.col("value").isNotNull()).select(
         F.col("value").cast("string").alias("value"),
         F.col("partition").cast("int").alias("part"),
         F.col("offset").cast("bigint").alias("pos"),
         F.unix_millis(F.col("timestamp")).alias("record_ms"),
+        captured.alias("captured_ms"),
     )
 
 
@@ -93,4 +103,5 @@ def as_records(df: DataFrame, value: Column, part: Column, pos: Column, record_m
     return df.select(
         value.alias("value"), part.cast("int").alias("part"),
         pos.cast("bigint").alias("pos"), record_ms.cast("bigint").alias("record_ms"),
+        F.lit(None).cast("bigint").alias("captured_ms"),
     )

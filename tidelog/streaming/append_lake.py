@@ -13,6 +13,7 @@ from tidelog.operators import decode_rows, enrich, tables, windows
 from tidelog.schemas import DEVICES_RAW, table_schema
 from tidelog.sinks.append import append_stream, numbered_batch_writer
 from tidelog.sources.lake import open_or_empty
+from tidelog.streaming.counts import DEVICE_COUNTS, READING_COUNTS
 from tidelog.streaming.idle import beats, with_beats
 from tidelog.streaming.queries import WATERMARK_DELAY, Trigger, chosen, start
 
@@ -84,8 +85,8 @@ def start_append_lake(device_records: DataFrame, reading_records: DataFrame, roo
     root = root.rstrip("/")
     spark = reading_records.sparkSession
     devices = devices or (lambda: open_or_empty(spark, f"{root}/devices_raw", table_schema(DEVICES_RAW)))
-    device_rows = decode_rows.device_rows(device_records, now)
-    reading_rows = decode_rows.reading_rows(reading_records, now)
+    device_rows = decode_rows.device_rows(device_records, now, DEVICE_COUNTS)
+    reading_rows = decode_rows.reading_rows(reading_records, now, READING_COUNTS)
 
     def joined(how: str) -> DataFrame:
         lag = ttl_seconds if idle_seconds is None else idle_seconds

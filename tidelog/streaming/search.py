@@ -14,7 +14,8 @@ from tidelog.operators import enrich
 from tidelog.operators.change_events import change_records, typed_changes, typed_sides
 from tidelog.operators.changelog import decode
 from tidelog.operators.search import database_version, document_version, documents, search_actions
-from tidelog.sinks.bulk import write_bulk
+from tidelog.sinks.bulk import FLUSH_ACTIONS, FLUSH_BYTES, write_bulk, write_requests
+from tidelog.streaming.counts import DEVICE_COUNTS, READING_COUNTS
 from tidelog.streaming.enriched_feed import EnrichedFeed, both_sides
 from tidelog.streaming.images import with_images
 from tidelog.streaming.queries import Trigger, chosen, start
@@ -32,6 +33,12 @@ def file_writer(root: str) -> Writer:
     return lambda actions, index, batch_id: write_bulk(actions, f"{root.rstrip('/')}/{index}", batch_id)
 
 
+def request_writer(root: str, max_actions: int = FLUSH_ACTIONS, max_bytes: int = FLUSH_BYTES, lanes: int = 64) -> Writer:
+    """Request bodies cut by actions and bytes, one folder per index and batch."""
+    return lambda actions, index, batch_id: write_requests(
+        actions, f"{root.rstrip('/')}/{index}", batch_id, max_actions, max_bytes, lanes)
+
+
 def _database_changes(records: DataFrame, payload: T.StructType) -> DataFrame:
     return typed_changes(with_images(change_records(records, payload)), payload)
 
@@ -54,7 +61,10 @@ def start_search(spark: SparkSession, device_records: DataFrame, reading_records
     A batch sends at most one action per document.
     """
     root = root.rstrip("/")
-    read = _database_changes if direct else decode
+    def logged(records: DataFrame, payload: T.StructType) -> DataFrame:
+        return decode(records, payload, count_as=DEVICE_COUNTS if payload is schemas.DEVICES else READING_COUNTS)
+
+    read = _database_changes if direct else logged
     version = database_version if direct else document_version
     device_index, reading_index, joined_index = DIRECT_INDICES if direct else LOG_INDICES
     fields = schemas.ENRICHED_DIRECT_DOC if direct else schemas.ENRICHED_DOC

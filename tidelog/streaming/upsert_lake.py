@@ -13,6 +13,7 @@ from tidelog.schemas import DEVICES, KEYED_TABLES, READINGS, table_schema
 from tidelog.sinks.catalog import create_database, create_keyed_table_sql
 from tidelog.sinks.change_table import SEQ, ChangeTable, change_schema
 from tidelog.sinks.merge import merge_batch
+from tidelog.streaming.counts import DEVICE_COUNTS, READING_COUNTS
 from tidelog.streaming.enriched_feed import OUTPUT_SEQ, EnrichedFeed, both_sides
 from tidelog.streaming.queries import Trigger, chosen, start
 
@@ -75,7 +76,8 @@ def start_upsert_lake(spark: SparkSession, device_records: DataFrame, reading_re
     of the join stays below ``root``.
     """
     root = root.rstrip("/")
-    device_changes, reading_changes = decode(device_records, DEVICES), decode(reading_records, READINGS)
+    device_changes = decode(device_records, DEVICES, count_as=DEVICE_COUNTS)
+    reading_changes = decode(reading_records, READINGS, count_as=READING_COUNTS)
 
     def merged(name: str, rows: Callable[[DataFrame, int], DataFrame], compact: Callable[[int], object] | None = None):
         columns, keys = KEYED_TABLES[name]
