@@ -16,12 +16,16 @@ def _turn_hash(seed: int) -> Column:
 
 def ranked_turns(turns: DataFrame, piece_turns: int = 256) -> DataFrame:
     """Turns with their ``rank`` in the conversation (by turn, role, text; nulls first) and the rolling hashes ``p1, p2``
-    of the prefix that ends there. Conversations are worked on in pieces of ``piece_turns`` turn numbers,
-    so one that owns a third of all rows is spread over many tasks."""
-    base = turns.select("conv_id", "turn", "role", "text").withColumn(
-        "piece", F.coalesce(F.floor(F.col("turn") / piece_turns), F.lit(-(1 << 62))))
-    inside = Window.partitionBy("conv_id", "piece").orderBy(
-        F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
+    of the prefix that ends there.
+
+    All turns are range-sorted, equal ones told apart by a number, so a conversation that owns a third of all rows fills a third of
+    the partitions, whatever its turn numbers. What it has in one partition is a piece; ranks add up over pieces, and rolling hashes over
+    pieces of ``piece_turns`` ranks."""
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text", "tie")]
+    base = turns.select("conv_id", "turn", "role", "text", F.monotonically_increasing_id().alias("tie"))
+    base = stored(base.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "conv_id", "role", "text", F.spark_partition_id().alias("piece"), F.monotonically_increasing_id().alias("row")), "sorted-turns")
+    inside = Window.partitionBy("conv_id", "piece").orderBy("row")
     earlier = Window.partitionBy("conv_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     pieces = base.groupBy("conv_id", "piece").count().select(
         F.col("conv_id").alias("c"), F.col("piece").alias("q"),

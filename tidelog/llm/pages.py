@@ -134,14 +134,19 @@ def leaf_blocks(page: str | None) -> list[Block]:
 TAGS = "article main section nav header footer aside form li ul ol td table p h1 h2 h3 h4 blockquote pre figure figcaption dl label address".split()
 NAMED = [*(f"tag {t}" for t in TAGS), *(f"leaf {t}" for t in (*TAGS, "div", "body")), *(f"kind {k}" for k in (*BOILER_NAMES, "hidden")),
          "content name", "content or article", "no content around", "words 1", "words 2-4", "words 5-9", "words 10-24", "words 25+", "linked none",
-         "linked some", "linked most", "ends a sentence", "copyright", "separators", "first", "last"]
+         "linked some", "linked most", "ends a sentence", "copyright", "separators", "first", "last", "bare page"]
 SLOT = {name: i for i, name in enumerate(NAMED)}
 MAIN = 1
 
 
+_PLAIN = frozenset("html body p div h1 h2 h3 h4 h5 h6 blockquote pre center".split())
+
+
 def block_features(blocks: list[Block]) -> list[list[int]]:
     rows = []
     any_content = any(b.content or b.tags & {"article", "main"} for b in blocks)
+    # Nothing tells an article from its surroundings: no element or name of either, no list, form or table.
+    bare = not any_content and not any(b.kinds or b.tags - _PLAIN for b in blocks)
     for i, b in enumerate(blocks):
         n = b.text.count(" ") + 1
         row = [f"tag {t}" for t in b.tags if t in TAGS] + [f"kind {k}" for k in b.kinds]
@@ -155,6 +160,7 @@ def block_features(blocks: list[Block]) -> list[list[int]]:
         row += ["separators"] if b.text.count("|") + b.text.count("·") > n / 4 else []
         row += ["first"] if i == 0 else []
         row += ["last"] if i == len(blocks) - 1 else []
+        row += ["bare page"] if bare else []
         rows.append([SLOT[f] for f in row])
     return rows
 
@@ -214,6 +220,17 @@ def labelled_pages(n: int = 240, seed: int = 17) -> list[tuple[list[Block], list
         blocks = leaf_blocks(text)
         main = set(inside)
         pages.append((blocks, [int(b.text in main) for b in blocks]))
+    bare = np.random.default_rng(seed + 2000)  # pages that are nothing but their text
+
+    def bare_words(a, b):
+        return " ".join("".join(syllables[i] for i in bare.integers(len(syllables), size=bare.integers(1, 4))) for _ in range(bare.integers(a, b)))
+
+    for _ in range(n // 6):
+        lines = [bare_words(*((2, 9), (5, 25), (20, 90))[bare.integers(3)]).capitalize() + (".", "", "!")[bare.integers(3)] for _ in range(bare.integers(1, 4))]
+        form = ("{}", "<p>{}", "<p>{}</p>", "<div>{}", "<div>{}</div>", "<html><body><p>{}</p></body></html>", "<h1>{}</h1>")[bare.integers(7)]
+        joined = "<p>".join(lines) if form in ("{}", "<div>{}") else "".join(form.format(x) for x in lines)
+        blocks = leaf_blocks(form.format(joined) if form in ("{}", "<div>{}") else joined)
+        pages.append((blocks, [1] * len(blocks)))
     return [p for p in pages if p[0]]
 
 

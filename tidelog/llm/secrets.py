@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A candidate: a run of key characters of 16 or more, or the value given to a secret's name, quoted or not and of any length.
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=\-]{16,}")
+_CANDIDATE = re.compile(r"[A-Za-z0-9_\-]{10,}(?:\.[A-Za-z0-9_\-]{10,}){2}|[A-Za-z0-9+/_=\-]{16,}")
 _ASSIGNED = re.compile(
     r"""(?i)(?:passw(?:or)?d|passwd|passphrase|pwd|secret|token|api[_-]?key|apikey|[a-z]{2,20}[_-]key|\bkey|auth(?:orization)?|credentials?)"""
     r"""[a-z0-9_.\-]{0,40}["'`]?\s{0,3}(?::=|=>|[:=])\s{0,3}(?:(?:bearer|basic|token)\s+)?"""
-    r"""(?:"([^"\n]+)"|'([^'\n]+)'|`([^`\n]+)`|["'`]?([^\s"'`]+))|\bbearer\s+([^\s"'`]{8,})""")
+    r"""(?:"([^"\n]+)"|'([^'\n]+)'|`([^`\n]+)`|["'`]?([^\s"'`]+))|\bbearer\s+([^\s"'`]{8,})|://[^\s/:@"'`]{1,64}:([^\s/@"'`]+)(?=@)""")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_\-]*=+(?=[^=])")
 _TAIL = ".,;:)]}>"
 
@@ -40,11 +40,11 @@ WORDS = ("access", "account", "action", "address", "admin", "application", "arra
          "stream", "string", "style", "system", "table", "target", "task", "template", "test", "text", "thread", "time", "title", "token",
          "tree", "type", "unit", "update", "upload", "url", "user", "util", "value", "version", "view", "web", "width", "window", "work",
          "write", "xml", "your")
-PASSWORDS = ("summer", "Summer", "winter", "hunter", "dragon", "Monkey", "letmein", "Welcome", "qwerty", "Admin", "P@ssw0rd", "s3cret", "Passw", "football")
 _WORDS = re.compile("|".join(sorted(WORDS, key=len, reverse=True)))
 
 FEATURES = ("length", "entropy", "digits", "uppers", "symbols", "class_changes", "vowel_changes", "distinct", "hex_only", "dictionary",
-            "placeholder", "in_path", "name_before", "harmless_before", "quoted", "assigned", "dashes", "longest_letters", "code")
+            "placeholder", "in_path", "name_before", "harmless_before", "quoted", "assigned", "dashes", "longest_letters", "code",
+            "prefixed", "three_parts", "in_address")
 
 
 def features(candidate: str, before: str, after: str) -> list[float]:
@@ -69,6 +69,10 @@ def features(candidate: str, before: str, after: str) -> list[float]:
         float(before[-1:] in "\"'`" and before != "" and after[:1] in "\"'`" and after != ""),
         float(bool(re.search(r"[:=]\s*[\"'`]?$", before))), candidate.count("-"), max(map(len, letters), default=0),
         sum(c in "()[]{}<>$ " for c in candidate) / n,
+        # A key that names its issuer: a short word, a separator, and one long run of letters and digits.
+        float(bool(re.fullmatch(r"[A-Za-z]{2,10}(?:[_\-][a-z]{2,8})?[_\-][A-Za-z0-9]{16,}", candidate))),
+        float(candidate.count(".") == 2 and all(len(part) > 9 for part in candidate.split("."))),
+        float(bool(re.search(r"://[^\s/:@]+:$", before)) and after[:1] == "@"),
     ]
 
 
@@ -109,25 +113,39 @@ def candidates(text: str | None, reach: int = 60) -> list[tuple[int, str, str, s
 
 
 def labelled_findings(n: int = 1500, seed: int = 7) -> tuple[list[tuple[str, str, str]], np.ndarray]:
-    """``n`` findings with labels (1: a secret), drawn by rule: random strings and passwords under a secret's name, against digests, ids,
-    placeholders, identifiers, calls, paths and prose."""
+    """``n`` findings with labels (1: a secret), drawn by rule: random strings and passwords under a secret's name or in an address, keys that name
+    their issuer and web tokens anywhere, against digests, ids, placeholders, identifiers, calls, paths and prose. Passwords are syllables
+    with digits and signs; no word list is behind them."""
     rng = np.random.default_rng(seed)
     pick = lambda xs: xs[rng.integers(len(xs))]
     draw = lambda alphabet, k: "".join(pick(alphabet) for _ in range(k))
     hexes, alnum, upper = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
     prose = lambda: " ".join(draw("etaoinshr", rng.integers(2, 8)) for _ in range(rng.integers(2, 6)))
+
+    def password():
+        word = "".join(draw("bcdfghklmnprstvw", 1) + draw("aeiou", 1) + draw("lmnrst", rng.integers(2)) for _ in range(rng.integers(2, 4)))
+        word = word.capitalize() if rng.integers(2) else word
+        more = "".join(draw("bcdfglmprst", 1) + draw("aeiou", 1) for _ in range(2)) if rng.integers(4) == 0 else ""
+        return word + draw("0123456789", rng.integers(1, 5)) + pick([more, "", draw("!#$%&*?@", 1), draw("!#$%&*?@", 1)])
+
     rows, labels = [], []
     for i in range(n):
-        secret, kind = i % 2, rng.integers(10)
+        secret, kind = i % 2, rng.integers(13 if i % 2 else 10)
         name, quote, sign = pick(NAMES), pick(["\"", "'", ""]), pick([" = ", "=", ": ", ":"])
         if secret:
             value = [lambda: draw(hexes, pick([32, 40, 40, 64])), lambda: draw(alnum, rng.integers(20, 60)),
                      lambda: "AK" + draw(upper, 18), lambda: "sk-" + draw(alnum, rng.integers(24, 48)),
                      lambda: draw(alnum + "+/", rng.integers(30, 88)) + "==", lambda: draw(hexes, 40).upper(),
-                     lambda: pick(PASSWORDS) + draw("0123456789", rng.integers(1, 5)) + pick(["", "!", "#", "pass", "$x"]),
+                     password,
                      lambda: draw(alnum, rng.integers(8, 20)) + pick(["", "!", "@9", "%"]),
-                     lambda: draw(alnum[:52], rng.integers(16, 50)), lambda: "".join(draw(alnum, 9) + "." for _ in range(rng.integers(22, 60)))][kind]()
+                     lambda: draw(alnum[:52], rng.integers(16, 50)), lambda: "".join(draw(alnum, 9) + "." for _ in range(rng.integers(22, 60))),
+                     lambda: draw(alnum[:52], rng.integers(2, 6)) + pick(["_", "-", "_" + draw(alnum[26:52], 4) + "_"]) + draw(alnum, rng.integers(20, 48)),
+                     lambda: ".".join(draw(alnum + "_-", rng.integers(14, 60)) for _ in range(3)), password][kind]()
             before = f"{prose()} {pick(['', 'my_', 'service '])}{name}{sign}{quote}"
+            if kind in (10, 11) and rng.integers(3):  # such keys speak for themselves
+                before = f"{prose()} {pick(['', '', quote, '('])}"
+            elif kind == 12:
+                before, quote = f"{prose()} {draw('abcdefgh', 5)}://{draw('etaoinshr', rng.integers(3, 9))}:", "@"
         elif kind < 2:
             value = draw(hexes, pick([32, 40, 64])) if kind else "-".join(draw(hexes, k) for k in (8, 4, 4, 4, 12))
             before = f"{prose()} {pick(HARMLESS)}{pick([' ', ': ', ' = '])}{quote}"
@@ -196,7 +214,7 @@ class Forest:
         return total / len(self.trees)
 
 
-def fit_forest(findings: int = 1500) -> Forest:
+def fit_forest(findings: int = 2400) -> Forest:
     rows, labels = labelled_findings(findings)
     return Forest(np.array([features(*r) for r in rows]), labels)
 

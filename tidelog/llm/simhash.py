@@ -76,7 +76,7 @@ def _cut(value: Column, shift: int, width: int) -> Column:
 
 
 def _variants(distance: int) -> Column:
-    """Index keys of ``fp``: per segment its value with one bit wiped out, for each bit."""
+    """Index entries of ``fp``: per segment its value with one bit wiped out, for each bit."""
     keys = []
     for s, (shift, width, wildcard) in enumerate(_segments(distance)):
         value = _cut(F.col("fp"), shift, width)
