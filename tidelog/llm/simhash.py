@@ -110,7 +110,8 @@ def fingerprint_links(fps: DataFrame, distance: int = 2, crowd: int = 4096) -> D
     near = (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance) & _is_first(
         F.col("a").bitwiseXOR(F.col("b")), F.col("slot"), distance)
     two = counts.where("n = 2").select("slot", F.col("lo").alias("a"), F.col("hi").alias("b")).where(near).select("a", "b")
-    some = stored(index.join(counts.where(f"n > 2 AND n <= {crowd}").select("slot", "value"), ["slot", "value"], "left_semi"), "entries")
+    several = counts.where(f"n > 2 AND n <= {crowd}").select("slot", "value").hint("shuffle_hash")
+    some = stored(index.join(several, ["slot", "value"], "left_semi"), "entries")
     left, right = some.withColumnRenamed("fp", "a"), some.withColumnRenamed("fp", "b")
     paired = left.join(right, ["slot", "value"]).where(F.col("a") < F.col("b")).where(near).select("a", "b")
     links = two.unionByName(paired)
@@ -166,6 +167,7 @@ def keep_one_per_component(docs: DataFrame, distance: int = 2, words: int = 3) -
     gone = stored(rows.select(*names).join(first, names, "left_anti"), "gone-rows")
     again = stored(first.where("copies > 1").select(*names), "repeated-rows")
     mine = docs.select("*", *row_names(docs))
-    kept = mine.join(gone.unionByName(again), names, "left_anti")
+    # Both sides grow with the documents, so the plan is one that holds at every size: names are hashed, texts not sorted.
+    kept = mine.join(gone.unionByName(again).hint("shuffle_hash"), names, "left_anti")
     once = mine.join(again, names, "left_semi").dropDuplicates(names)
     return kept.unionByName(once).select(*[f"`{c}`" for c in docs.columns])
