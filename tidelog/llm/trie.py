@@ -52,15 +52,46 @@ def rebuilt_turns(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return shared.select(*columns).unionByName(rest.select(*columns)), lengths
 
 
+def _alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted prefixes with whether a neighbour in the partition is the same."""
+    part, row, held, as_before = TaskContext.get().partitionId(), 0, None, False
+
+    def flagged(rows: pd.DataFrame, shared: np.ndarray) -> pd.DataFrame:
+        return rows.assign(shared=shared, __part=part, __row=row + np.arange(len(rows)))
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        same = np.logical_and.reduce([rows[c].to_numpy()[1:] == rows[c].to_numpy()[:-1] for c in ("p", "q", "pos")])
+        before = np.r_[as_before, same]
+        if len(rows) > 1:
+            yield flagged(rows.iloc[:-1], before[:-1] | same)
+        held, as_before, row = rows.iloc[-1:], bool(before[-1]), row + len(rows) - 1
+    if held is not None:
+        yield flagged(held, np.array([as_before]))
+
+
 def named_prefixes(turns: DataFrame) -> DataFrame:
     """``turns`` with ``p`` and ``q``, 128 bits that name the prefix ending here, and whether it is ``shared``.
 
-    The names are running XORs of the turns' hashes mixed with their position.
+    The names are running XORs of the turns' hashes mixed with their position. Equal prefixes are neighbours once sorted; those of a
+    very common one are told apart by their conversation, so they may fill many partitions, whose ends are compared at last.
     """
     p, q = F.xxhash64("pos", "a", "b"), F.xxhash64(F.lit(3), "b", "pos", "a")
     named = stored(placed(turns.select("*", p.alias("p"), q.alias("q")), "conv_id", [F.col("pos")], "prefixes", xors=("p", "q")).drop("place"), "named")
-    again = named.groupBy("pos", "p", "q").agg(F.count("*").alias("n")).where("n > 1")
-    return stored(named.join(again, ["pos", "p", "q"], "left").withColumn("shared", F.col("n").isNotNull()).drop("n"), "flagged")
+    order = ["p", "q", "pos", "conv_id"]
+    ordered = named.repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema) + ", shared boolean, __part long, __row long"
+    found = stored(ordered.mapInPandas(_alike, schema), "alike")
+    ends = partition_ends(found, "p", "q", "pos")
+    by_part = Window.orderBy("__part")  # one row per partition
+    ends = ends.select("__part", "rows", (F.lag("tail").over(by_part) == F.col("head")).alias("goes_on"),
+                       (F.lead("head").over(by_part) == F.col("tail")).alias("goes_further"))
+    ends = stored(ends, "prefix-parts")
+    first, last = F.col("__row") == 0, F.col("__row") == F.col("rows") - 1
+    shared = F.col("shared") | (first & F.coalesce("goes_on", F.lit(False))) | (last & F.coalesce("goes_further", F.lit(False)))
+    return stored(found.join(ends, "__part").select(*named.columns, shared.alias("shared")), "flagged")
 
 
 def _common(path: np.ndarray, other: np.ndarray) -> int:
