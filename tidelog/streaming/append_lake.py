@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidelog.functions.timeparts import cdc_ts, partition_date, zoneless
 from tidelog.operators import decode_rows, enrich, tables, windows
-from tidelog.schemas import DEVICES_RAW, table_schema
+from tidelog.schemas import DEVICES_RAW, TEMPERATURE_MINUTE, table_schema
 from tidelog.sinks.append import append_stream, numbered_batch_writer
 from tidelog.sources.lake import open_or_empty
 from tidelog.streaming.counts import DEVICE_COUNTS, READING_COUNTS
@@ -60,11 +60,22 @@ def temperature_writer(readings: DataFrame, devices: Callable[[], DataFrame], pa
     """Temperature per device and window, each window written once it is closed.
 
     The only state is the window totals of the readings. Devices are opened *inside* each
-    batch: a device that arrives before a window closes is part of it, and a quiet device
-    stream holds nothing back.
+    batch that closes windows: a device that arrives before a window closes is part of it, and a quiet device
+    stream holds nothing back. Of the devices those are grouped that have a closed window.
     """
     totals = windows.window_totals(readings.withWatermark("event_timestamp", WATERMARK_DELAY), size)
-    write = numbered_batch_writer(path, lambda batch: windows.label_windows(batch, devices()))
+
+    def labelled(batch: DataFrame) -> DataFrame:
+        # Written first, so that state is asked once however often the rows are looked at; the folder holds one batch.
+        spark, closed = batch.sparkSession, f"{path}/_closed"
+        batch.write.mode("overwrite").parquet(closed)
+        rows = spark.read.schema(batch.schema).parquet(closed)
+        if rows.isEmpty():
+            return spark.createDataFrame([], table_schema(TEMPERATURE_MINUTE))
+        asked = devices().join(rows.select("device_id").distinct(), "device_id", "left_semi")
+        return windows.label_windows(rows, asked)
+
+    write = numbered_batch_writer(path, labelled)
     return totals.writeStream.outputMode("append").foreachBatch(write)
 
 

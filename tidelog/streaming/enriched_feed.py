@@ -49,6 +49,10 @@ class EnrichedFeed:
         self.devices = ChangeTable(
             spark, f"{path}/devices", change_schema(DEVICES), ["device_id", "_id"],
             bucket_by=["device_id"], buckets=buckets)
+        # Which device ids a document has had: the same rows without their payload, to be found by document.
+        places = T.StructType([DEVICES["device_id"], DEVICES["_id"]])
+        self.places = ChangeTable(
+            spark, f"{path}/places", change_schema(places), ["device_id", "_id"], bucket_by=["_id"], buckets=buckets)
         self.readings = ChangeTable(
             spark, f"{path}/readings", change_schema(reading), reading_keys,
             bucket_by=["device_id"], buckets=buckets)
@@ -67,6 +71,7 @@ class EnrichedFeed:
         arrived = self._side("device", DEVICES)
         self.readings.write_batch(self._side("reading", self.reading_schema), batch_id)
         self.devices.write_batch(self._settle_devices(arrived, batch_id), batch_id)
+        self.places.write_batch(self.devices.batch(batch_id), batch_id)
         fresh = self.readings.batch(batch_id)
         moved = self.devices.batch(batch_id).select("device_id").distinct()
 
@@ -81,8 +86,8 @@ class EnrichedFeed:
         return enrich.mark_unmatched(joined).select("row_kind", seq, *self.output_columns)
 
     def compact(self, before: int | None = None) -> None:
-        self.devices.compact(before)
-        self.readings.compact(before)
+        for table in (self.devices, self.places, self.readings):
+            table.compact(before)
 
     def _rows_of(self, table: ChangeTable, ids: DataFrame, before: int | None = None) -> DataFrame:
         """Rows of a table that belong to some device ids, from the buckets of these ids."""
@@ -109,8 +114,8 @@ class EnrichedFeed:
             return arrived
         kind = F.when(F.col("row_kind") == BEFORE_UPDATE, DELETE).otherwise(F.col("row_kind"))
         fresh = arrived.withColumns({"row_kind": kind, "stored": F.lit(False)})
-        # The lookup by document reads four columns of the device table, in batches with device changes only.
-        stored = self.devices.changes(before=batch_id).select("row_kind", "seq", "device_id", "_id")
+        # The lookup by document reads the buckets of the documents that have changed.
+        stored = self.places.changes(self.places.buckets_of(arrived), before=batch_id)
         stored = stored.join(arrived.select("_id").distinct(), "_id", "left_semi").withColumn("stored", F.lit(True))
         per_place = latest_changes(fresh.unionByName(stored, allowMissingColumns=True), ["device_id", "_id"])
         newest = per_place.groupBy("_id").agg(F.max("seq").alias("newest"))
