@@ -43,9 +43,10 @@ def stream_capture_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _captured(spark: SparkSession, sf_dir: str, root: str, only: str, **how) -> None:
+    # The other collection's job is not started, so its events need not be laid out.
+    events = (views.device_change_events if only == "capture_devices" else views.reading_change_events)(spark, sf_dir, streaming=True)
     finish(start_capture(
-        views.device_change_events(spark, sf_dir, streaming=True), views.reading_change_events(spark, sf_dir, streaming=True),
-        {"path": f"{root}/capture_devices"}, {"path": f"{root}/capture_readings"}, f"{root}/_checkpoints", ONCE,
+        events, events, {"path": f"{root}/capture_devices"}, {"path": f"{root}/capture_readings"}, f"{root}/_checkpoints", ONCE,
         views.fixed_now(), only=[only], **how))
 
 
@@ -109,10 +110,9 @@ def stream_unmatched_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_temperature_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The windows that are closed once all input is taken, labelled from the job's own table of devices."""
     root = fresh_dir(spark, "temperature")
+    devices, readings = views.device_topic(spark, sf_dir, streaming=True), views.timed_reading_topic(spark, sf_dir)
     for name in ("devices_raw", "temperature_readings_minute"):
-        finish(start_append_lake(
-            views.device_topic(spark, sf_dir, streaming=True), views.timed_reading_topic(spark, sf_dir), root, trigger=ONCE,
-            now=views.fixed_now(), only=[name]))
+        finish(start_append_lake(devices, readings, root, trigger=ONCE, now=views.fixed_now(), only=[name]))
     rows = read_numbered(spark, f"{root}/temperature_readings_minute", schemas.TEMPERATURE_MINUTE)
     return rows.withColumn("avg_temperature", F.round("avg_temperature", 6))
 
