@@ -14,6 +14,7 @@ from tidelog.operators import enrich, tables
 from tidelog.plans import views
 from tidelog.session import fresh_dir
 from tidelog.sinks.append import write_append
+from tidelog.sinks.catalog import LakeCatalog, create_append_tables, register_partitions
 from tidelog.sinks.change_table import ChangeTable, change_schema
 from tidelog.sources.lake import register_lake
 
@@ -101,7 +102,21 @@ def lake_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT * FROM iceberg_sensor_readings")
 
 
+def lake_catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Database and tables made in the catalog in use, filled by path, and asked by their names alone."""
+    root, before = fresh_dir(spark, "named"), spark.catalog.currentDatabase()
+    name = f"iot_db_{root.rsplit('-', 1)[1]}"
+    full = LakeCatalog().use(spark, name, f"{root}/database")
+    try:
+        create_append_tables(spark, root, full)
+        write_append(_BUILDERS["sensor_readings_raw"](spark, sf_dir), f"{root}/sensor_readings_raw")
+        register_partitions(spark, "sensor_readings_raw")
+        return spark.sql(PRUNE_SQL.replace("sensor_readings_raw", f"{full}.sensor_readings_raw"))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 LAKE_QUERIES = {
     query.__name__: query
-    for query in (lake_partition_prune, lake_current_state, lake_top_devices, lake_latest_reading, lake_silent_devices)
+    for query in (lake_partition_prune, lake_catalog_tables, lake_current_state, lake_top_devices, lake_latest_reading, lake_silent_devices)
 }

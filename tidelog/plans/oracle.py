@@ -357,6 +357,10 @@ SELECT partition_date, device_id, count(*) AS readings, max(sensor_value) AS hig
 FROM raw_readings WHERE partition_date BETWEEN '2024-01-05' AND '2024-01-07'
 GROUP BY partition_date, device_id"""),
     "lake_current_state": ORACLE["upsert_readings_by_day"],
+    "lake_catalog_tables": query([EVENTS, READINGS, _RAW_READINGS], """
+SELECT partition_date, device_id, count(*) AS readings, max(sensor_value) AS highest
+FROM raw_readings WHERE partition_date BETWEEN '2024-01-05' AND '2024-01-07'
+GROUP BY partition_date, device_id"""),
     "lake_top_devices": query([EVENTS, READINGS, DEVICES], f"""
 SELECT d.device_id, d.device_name, count(*) AS readings,
        count(CASE WHEN {SEVERITY} = 'CRITICAL' THEN 1 END) AS critical_readings
@@ -428,6 +432,7 @@ SELECT '-D', ms, pos, _id, {", ".join(f"b.{c}" for c in _split(DEVICE_COLUMNS))}
     "stream_capture_to_readings_by_day": ORACLE["upsert_readings_by_day"],
     "stream_devices_raw": ORACLE["raw_devices_append"],
     "stream_readings_raw": ORACLE["raw_readings_append"],
+    "stream_restart_readings": ORACLE["raw_readings_append"],
     "stream_enriched_within_ttl": _within(),
     "stream_enriched_quiet_devices": _within(f"d.pos <= {_HALF}"),
     "stream_unmatched_readings": query([EVENTS, DEVICE_CHANGES, READING_ROWS], f"""

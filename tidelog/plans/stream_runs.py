@@ -84,6 +84,14 @@ def stream_readings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _append_lake(spark, sf_dir, "sensor_readings_raw")
 
 
+def stream_restart_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw readings' job stopped and started again after every part of the log: each record is there once."""
+    root = fresh_dir(spark, "restart")
+    for records in views.growing_reading_topic(spark, sf_dir):
+        finish(start_append_lake(records, records, root, trigger=ONCE, now=views.fixed_now(), only=["sensor_readings_raw"]))
+    return open_table(spark, f"{root}/sensor_readings_raw", schemas.table_schema(schemas.READINGS_RAW))
+
+
 def _joined(spark: SparkSession, sf_dir: str, name: str, columns: list[str], devices: DataFrame, idle_seconds: int | None = None) -> DataFrame:
     root = fresh_dir(spark, "joined")
     finish(start_append_lake(
@@ -219,7 +227,7 @@ def stream_search_direct_enriched(spark: SparkSession, sf_dir: str) -> DataFrame
 STREAM_QUERIES = {
     query.__name__: query
     for query in (
-        stream_capture_devices, stream_capture_readings, stream_capture_initial, stream_capture_to_readings_by_day, stream_devices_raw, stream_readings_raw, stream_enriched_within_ttl,
+        stream_capture_devices, stream_capture_readings, stream_capture_initial, stream_capture_to_readings_by_day, stream_devices_raw, stream_readings_raw, stream_restart_readings, stream_enriched_within_ttl,
         stream_enriched_quiet_devices, stream_unmatched_readings, stream_temperature_minute,
         stream_late_readings, stream_late_counts, stream_decode_counts, stream_upsert_devices, stream_upsert_readings, stream_upsert_enriched,
         stream_search_devices, stream_search_readings, stream_search_enriched,

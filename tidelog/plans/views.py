@@ -10,6 +10,8 @@ at every scale; Spark sees its size and broadcasts it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -198,6 +200,15 @@ def timed_reading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading_topic(spark, sf_dir, streaming=True, timed=True)
 
 
+def growing_reading_topic(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """The reading topic as a folder that grows: each step adds a slice and gives the stream over all there is so far."""
+    events, folder = _table(spark, sf_dir, "events"), fresh_dir(spark, "growing")
+    batch, _ = _slice(events, "event_id")
+    for i in range(SLICES):
+        events.where(batch == i).write.mode("append").parquet(folder)
+        yield _reading_topic_of(_with_times(spark.readStream.schema(events.schema).parquet(folder)), timed=False)
+
+
 def late_reading_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The timed reading topic, with every 50th record of the first batch arriving in the last."""
     rows = _as_log(_table(spark, sf_dir, "events"), "event_id", F.col("event_id") % 50 == 7)

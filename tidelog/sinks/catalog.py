@@ -42,10 +42,10 @@ class LakeCatalog:
         own = {f"spark.sql.catalog.{self.name}.{key}": value for key, value in self.settings.items()}
         return {f"spark.sql.catalog.{self.name}": plugin, "spark.sql.extensions": extension, **own}
 
-    def use(self, spark: SparkSession, database: str = "iot_db") -> str:
+    def use(self, spark: SparkSession, database: str = "iot_db", location: str | None = None) -> str:
         """Create the database if it is not there and make it current; returns its full name."""
         full = f"{self.name}.{database}"
-        create_database(spark, full)
+        create_database(spark, full, location)
         spark.catalog.setCurrentCatalog(self.name)
         spark.catalog.setCurrentDatabase(database)
         return full
@@ -61,8 +61,10 @@ def merged_conf(catalogs: Collection[LakeCatalog]) -> dict[str, str]:
     return conf
 
 
-def create_database(spark: SparkSession, name: str = "iot_db") -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str = "iot_db", location: str | None = None) -> None:
+    """Without a location its tables lie in the catalog's warehouse."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def create_table_sql(table: str, columns: list[str], path: str, fmt: str = "parquet") -> str:
