@@ -118,6 +118,9 @@ def test_decontamination(spark, odd, documents):
                       (14, item.replace("x19", "y"), "a")]).unionByName(odd)
     got = {(r["key"], r["item_id"]): r["similarity"] for r in contaminated(docs, bench).collect() if r["key"] >= 0}
     assert got == {(10, 1): 1.0, (13, 2): 1.0, (14, 1): 15 / 17, (3, 2): 1.0}
+    again = spark.createDataFrame([(1, "a b c d e " * 6)], "item_id long, text string")  # shingles that repeat on both sides
+    rows = contaminated(documents([(1, "x y " + "a b c d e " * 6 + "z", "a"), (2, "a b c d e " * 3, "a"), (3, "a b c d e " * 7, "a")]), again).collect()
+    assert {r["key"]: r["similarity"] for r in rows} == {1: 1.0, 3: 1.0}
     kept = drop_contaminated(docs, bench)
     assert kept.columns == docs.columns and {11, 12, 4} <= {r["doc_id"] for r in kept.collect()}
     assert contaminated(docs, bench.limit(0)).count() == contaminated(docs.limit(0), bench).count() == 0

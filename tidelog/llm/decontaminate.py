@@ -42,7 +42,10 @@ def _shared(a: Column, b: Column) -> Column:
     """The sum over shingles of the lesser of both multiplicities."""
     def times(values: Column, x: Column) -> Column:
         return F.size(F.filter(values, lambda y: y == x))
-    return F.aggregate(F.array_distinct(a), F.lit(0), lambda n, x: n + F.least(times(a, x), times(b, x)))
+    common = F.array_intersect(a, b)
+    # Where one side has no shingle twice, as is usual, each common one counts once.
+    once = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    return F.when(once, F.size(common)).otherwise(F.aggregate(common, F.lit(0), lambda n, x: n + F.least(times(a, x), times(b, x))))
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
@@ -55,7 +58,7 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
 
 
 def item_windows(docs: DataFrame, items: DataFrame, sent: int = 200_000) -> DataFrame:
-    """(key, item_id, window): item-sized windows of the documents, as shingle hashes, at every place where one lines up with an item.
+    """(key, item_id, n_words, window): item-sized windows of the documents, as shingle hashes, at every place where one lines up with an item.
 
     A window that shares no shingle with an item has similarity 0, so windows are laid where a shingle of the text is one of an
     item's, with the same offset; of hits in a row with one offset the first lays the window. The items' shingles are sent
@@ -76,9 +79,9 @@ def item_windows(docs: DataFrame, items: DataFrame, sent: int = 200_000) -> Data
             hits = hits.where(F.col("previous").isNull() | (F.col("place") == 0) | (F.get("hashes", F.col("place") - 1) != F.col("previous")))
             first = F.greatest(F.lit(0), F.col("place") - F.col("at"))
             end = F.least(F.size("hashes"), F.col("place") - F.col("at") + F.col("n_words") - n + 1)
-            parts.append(hits.select("key", "item_id", F.slice("hashes", first + 1, end - first).alias("window")))
+            parts.append(hits.select("key", "item_id", "n_words", F.slice("hashes", first + 1, end - first).alias("window")))
     if not parts:
-        return docs.select("key", F.lit(None).cast("long").alias("item_id"), F.array().cast("array<bigint>").alias("window")).where("false")
+        return docs.select("key", F.lit(None).cast("long").alias("item_id"), F.lit(0).alias("n_words"), F.array().cast("array<bigint>").alias("window")).where("false")
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -86,9 +89,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radi
     """Pairs ``key, item_id, similarity``: a window of the document is at least ``least`` similar to the benchmark item.
 
     Similarity is that of the multisets of 5-word shingles: the sum of lesser by the sum of greater multiplicities. Words are
-    runs of letters and digits in lower case, so punctuation and layout don't matter. Windows are looked up by SimHash: each shares one of ``radius + 1`` blocks with
-    its item if they differ in up to ``radius`` bits, and at a similarity of 0.8 they differ in 10 on average, in over 23 less than once in
-    100,000 times. Equal windows are compared once, however many documents hold them.
+    runs of letters and digits in lower case, so punctuation and layout don't matter. Windows find items of their size by SimHash blocks alone: two fingerprints share
+    one of ``radius + 1`` blocks if they differ in up to ``radius`` bits, and at a similarity of 0.8 they differ in 10 on average, in over 23 less than once in
+    100,000 times. What is found is verified exactly, and counts where the window lines up with the item. Equal windows are looked up once, however many documents
+    hold them.
 
     Null and empty texts and items match nothing. Documents without id have a negative key made from their text; repeated rows
     give one pair. Empty tables give no rows.
@@ -97,17 +101,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.8, radi
     items = stored(benchmark_items(benchmark.where("item_id IS NOT NULL")), "items")
     windows = item_windows(mine, items).withColumn("digest", F.xxhash64("window", F.size("window")))
     windows = stored(windows, "windows")
-    each = windows.groupBy("item_id", "digest").agg(F.first("window").alias("window"))
+    each = windows.groupBy("n_words", "digest").agg(F.first("window").alias("window"))
     each = stored(each.withColumn("fp", _simhash(F.col("window"))), "distinct-windows")
-    by_block = each.select("item_id", "digest", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select(
-        "item_id", "digest", "fp", "b.block", "b.value")
-    of_items = items.select("item_id", F.col("fp").alias("item_fp"), F.explode(_blocks(F.col("fp"), radius)).alias("b")).select(
-        "item_id", "item_fp", "b.block", "b.value")
-    near = by_block.join(of_items, ["item_id", "block", "value"]).where(
-        F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select("item_id", "digest").distinct()
+    by_block = each.select("n_words", "digest", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select(
+        "n_words", "digest", "fp", "b.block", "b.value")
+    of_items = items.select("n_words", "item_id", F.col("fp").alias("item_fp"), F.explode(_blocks(F.col("fp"), radius)).alias("b")).select(
+        "n_words", "item_id", "item_fp", "b.block", "b.value")
+    near = by_block.join(of_items, ["n_words", "block", "value"]).where(
+        F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select("n_words", "item_id", "digest").distinct()
     shared = _shared(F.col("window"), F.col("hashes"))
     alike = (
-        near.join(each, ["item_id", "digest"]).join(items.select("item_id", "hashes"), "item_id")
+        near.join(each, ["n_words", "digest"]).join(items.select("item_id", "hashes"), "item_id")
         .select("item_id", "digest", shared.alias("shared"), (F.size("window") + F.size("hashes")).alias("both"))
         .select("item_id", "digest", (F.col("shared") / (F.col("both") - F.col("shared"))).alias("similarity"))
         .where(F.col("similarity") >= least))
