@@ -143,7 +143,8 @@ class ChangeTable:
     def create_view(self, name: str) -> None:
         """A view whose text names the table's folders: whoever asks it sees the batches that are there at that moment.
 
-        It reads what is merged and what is not, replaced folders too until they are removed; the newest change per key decides.
+        It reads what is merged and what is not, replaced folders too until they are removed; the newest change per key decides. A
+        batch that is being committed may show in part; :meth:`current` waits for its end.
         """
         for folder in ("batches", "merged"):
             if not self._exists(f"{self.path}/{folder}"):  # an empty file tells the schema
