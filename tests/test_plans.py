@@ -257,7 +257,7 @@ def test_ten_thousand_batch_names_are_one_listing(spark, tmp_path):
     table._batches(-1, None)
     started = time.perf_counter()
     assert len(table._batches(-1, None)) == 10_000
-    assert time.perf_counter() - started < 2
+    assert time.perf_counter() - started < 5
 
 
 @pytest.mark.parametrize("by_day", [True, False])
