@@ -247,8 +247,8 @@ def test_licenses_equal_all_windows(documents, odd):
     assert [(r["doc_id"], r["license"], r["dice"]) for r in licenses.scan_licenses(full).collect()] == [(1, "MIT", 1.0)]
 
 
-@pytest.mark.parametrize("crowd", [1, 60_000])
-def test_repeats_equal_brute_force(documents, crowd, monkeypatch):
+@pytest.mark.parametrize("crowd, split", [(60_000, 4096), (60_000, 1), (1, 1), (2, 2)])
+def test_repeats_equal_brute_force(documents, crowd, split, monkeypatch):
     rng = np.random.default_rng(4)
     def word():
         return "".join(chr(97 + c) for c in rng.integers(0, 6, rng.integers(1, 9)))
@@ -259,7 +259,7 @@ def test_repeats_equal_brute_force(documents, crowd, monkeypatch):
              prose(300), shared[5:405], shared[5:404]]
     docs = documents([(i, t, "a") for i, t in enumerate(texts)])
     original = substrings.removed_spans
-    monkeypatch.setattr(substrings, "removed_spans", lambda d, n: original(d, n, crowd=crowd))
+    monkeypatch.setattr(substrings, "removed_spans", lambda d, n: original(d, n, crowd=crowd, split=split))
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in substrings.remove_repeats(docs).collect()}
     data = [(t or "").encode() for t in texts]
     counts = Counter(d[i:i + 400] for d in data for i in range(len(d) - 399))

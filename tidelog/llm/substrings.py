@@ -15,6 +15,8 @@ from tidelog.llm.common import stored
 
 LENGTH = 400
 GRAM = 32
+#: Parts that the starts around an anchor are dealt into where a group is large.
+PARTS = 8
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -129,6 +131,18 @@ def repeated_starts(contexts: list[tuple[int, int, bytes]], length: int = LENGTH
     return found
 
 
+def part_keys(data: bytes, lo: int, length: int = LENGTH) -> list[int]:
+    """Names of the bytes that all strings of ``length`` have in common whose starts lie in one of ``PARTS`` ranges left of the anchor.
+
+    Two contexts that share such a string agree on all of these bytes, so they have the name of its range in common."""
+    names, starts = [], length - GRAM + 1
+    for i in range(PARTS):
+        first, last = starts * i // PARTS, starts * (i + 1) // PARTS - 1  # bytes left of the anchor
+        if lo >= first and len(data) - lo >= length - last:
+            names.append(xxhash.xxh3_64_intdigest(data[lo - first:lo + length - last], i) - (1 << 63))
+    return names
+
+
 def _ranges(starts: list[int]) -> list[dict]:
     out: list[dict] = []
     for s in sorted(set(starts)):
@@ -146,13 +160,15 @@ def _bytes_of(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, crowd: int = 60_000) -> DataFrame:
+def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, crowd: int = 60_000, split: int = 4096) -> DataFrame:
     """``digest, spans``: per text with any, the byte spans covered by a string of ``length`` bytes that also starts elsewhere.
 
     Anchors are bytes picked by content (one in about 170), so two equal strings have the same ones. Every anchor is keyed by its 32 bytes and by its
     context, all that strings holding it can reach: in a context that occurs twice every string is repeated, and
     one whose 32 bytes occur once has no repeated string. What is left, different contexts around equal bytes, goes to suffix sorting, a batch of whole
-    groups at a time. Groups of more than ``crowd`` contexts, which might not fit a task, count the hashes of their strings instead.
+    groups at a time. A group of more than ``split`` contexts is dealt out first by what the strings of a range of starts have in common
+    (``part_keys``), so contexts of a common line part where they part. Groups that still have more than ``crowd`` contexts, which might not
+    fit a task, count the hashes of their strings instead.
     """
     mine = docs.select(F.coalesce("doc_id", F.lit(-1)).cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
 
@@ -215,7 +231,7 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, c
         size = 0
 
         def done() -> pd.DataFrame:
-            once = list({(r[1], r[2]): r for r in rows}.values())  # repeated rows of the table bring a context again
+            once = list({r[:3]: r for r in rows}.values())  # repeated rows of the table bring a context again
             starts = repeated_starts([(r[0], r[3], r[4]) for r in once], length)
             kept = [(r[1], r[2], _ranges(s)) for r, s in zip(once, starts) if s and r[5] == 1]
             return pd.DataFrame(kept, columns=[*context, "ranges"])
@@ -238,11 +254,24 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, batch: int = 1 << 23, c
                 yield pd.DataFrame({"c1": c1, "c2": c2, "start": np.array(starts, np.int32), "h1": [(h >> 64) - (1 << 63) for h in hashes],
                                     "h2": [(h & ((1 << 64) - 1)) - (1 << 63) for h in hashes]})
 
-    small = cuts(open_ones.where(F.col("members") <= crowd)).repartition("gram").sortWithinPartitions("gram")
-    arrays = stored(small.mapInPandas(sort, f"c1 long, c2 long, ranges {_RANGES}"), "sorted")
-    large = open_ones.where(F.col("members") > crowd)
-    if not large.isEmpty():
-        every = stored(cuts(large).dropDuplicates(context).mapInPandas(strings, "c1 long, c2 long, start int, h1 long, h2 long"), "strings")
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            yield pd.DataFrame([(name, c1, c2) for c1, c2, lo, data in zip(frame["c1"], frame["c2"], frame["lo"], frame["data"])
+                                for name in part_keys(data, lo, length)], columns=["gram", "c1", "c2"])
+
+    def sorted_groups(rows: DataFrame) -> DataFrame:
+        return rows.repartition("gram").sortWithinPartitions("gram").mapInPandas(sort, f"c1 long, c2 long, ranges {_RANGES}")
+
+    arrays = stored(sorted_groups(cuts(open_ones.where(F.col("members") <= split))), "sorted")
+    hot = stored(cuts(open_ones.where(F.col("members") > split)).drop("gram", "members").dropDuplicates(context), "hot-contexts")
+    if not hot.isEmpty():
+        named = stored(hot.mapInPandas(parts, "gram long, c1 long, c2 long"), "parts")
+        met = named.join(named.groupBy("gram").agg(F.count("*").alias("members")).where("members > 1"), "gram")
+        met = stored(met, "parts-that-meet")
+        dealt = met.where(F.col("members") <= crowd).join(hot, context).select("gram", *context, "n", "members", "lo", "data")
+        arrays = arrays.unionByName(stored(sorted_groups(dealt), "sorted-parts"))
+        large = hot.join(met.where(F.col("members") > crowd).select(*context).distinct(), context)
+        every = stored(large.mapInPandas(strings, "c1 long, c2 long, start int, h1 long, h2 long"), "strings")
         again = every.groupBy("h1", "h2").count().where("count > 1").drop("count")
         hits = every.join(again, ["h1", "h2"]).groupBy(*context).agg(F.collect_list("start").alias("starts"))
         hits = hits.join(contexts.where("n = 1").select(*context), context).select(
