@@ -132,8 +132,8 @@ def _sentences(text: str) -> list[list[str]]:
     return [list(w) for w in (words_of(s) for s in _SENTENCE.split(text)) if w]
 
 
-def _hinge(x: np.ndarray, y: np.ndarray, rounds: int = 24, reg: float = 1e-6, seed: int = 5) -> tuple[np.ndarray, float]:
-    """A linear machine by averaged stochastic subgradients; both classes weigh the same."""
+def _hinge(x: np.ndarray, y: np.ndarray, use: np.ndarray, rounds: int = 24, reg: float = 1e-6, seed: int = 5) -> tuple[np.ndarray, float]:
+    """A linear machine for the rows ``use`` of ``x``, labelled ``y``, by averaged stochastic subgradients; both classes weigh the same."""
     rng = np.random.default_rng(seed)
     v, b, mean, mean_b, t = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(x.shape[1], np.float32), 0.0, 0
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * len(y)
@@ -143,9 +143,10 @@ def _hinge(x: np.ndarray, y: np.ndarray, rounds: int = 24, reg: float = 1e-6, se
             i = order[at:at + 64]
             t += 1
             step = 8 / (1 + 0.002 * t)
-            bad = y[i] * (x[i] @ v + b) < 1
+            rows = x[use[i]]
+            bad = y[i] * (rows @ v + b) < 1
             g = weight[i] * y[i] * bad
-            v = (1 - step * reg) * v + step * (g @ x[i]) / len(i)
+            v = (1 - step * reg) * v + step * (g @ rows) / len(i)
             b += step * float(g.mean())
             if r >= rounds // 2:
                 mean, mean_b = mean + v, mean_b + b
@@ -293,24 +294,30 @@ def _sentence_machine(texts: list[str], y: np.ndarray, values: np.ndarray, at: d
                       rounds: int) -> np.ndarray | None:
     """Weights of the landmark features, from sentences that get their labels in turns; None if a class has no sentence.
     ``values`` are the kernel values of all words, ``at`` their rows."""
-    owners, sentences = [], []
+    owners, sentences = [], []  # words as rows of ``values``
     for i, text in enumerate(texts):
         for s in _sentences(text or ""):
-            s = [w for w in s if w in at]
-            if s:
+            known = np.array([at[w] for w in s if w in at], np.int32)
+            if len(known):
                 owners.append(i)
-                sentences.append(s)
+                sentences.append(known)
     if len(set(y[owners])) < 2:
         return None
-    x = np.stack([values[[at[w] for w in s]].sum(0) / np.sqrt(len(s)) for s in sentences]) @ root
+    x = np.empty((len(sentences), values.shape[1]), np.float32)
+    for k, s in enumerate(sentences):
+        x[k] = values[s].sum(0) / np.sqrt(len(s))
+    for k in range(0, len(x), 4096):
+        x[k:k + 4096] = x[k:k + 4096] @ root
     owners = np.array(owners)
     toxic = y[owners] == 1
-    positive = toxic & np.array([any(w in marked for w in s) for s in sentences])
+    telling = np.zeros(len(values), bool)
+    telling[[at[w] for w in marked if w in at]] = True
+    positive = toxic & np.array([telling[s].any() for s in sentences])
     if not positive.any():
         positive = toxic
     for _ in range(rounds):
-        use = positive | ~toxic
-        v, b = _hinge(x[use], np.where(positive[use], 1.0, -1.0))
+        use = np.flatnonzero(positive | ~toxic)
+        v, b = _hinge(x, np.where(positive[use], 1.0, -1.0), use)
         scores = x @ v + b
         positive = toxic & (scores > 0)
         best: dict[int, int] = {}
