@@ -41,9 +41,8 @@ def _plain_time(text: Column) -> Column:
     return F.when(text.startswith("{"), F.date_format(instant, TIME_FORMAT)).otherwise(text)
 
 
-def plain_image(document: Column, payload: T.StructType) -> Column:
-    """A document of extended JSON as the JSON text of the payload's fields, null where there is no document."""
-    fields = F.from_json(document, as_text_times(payload))
+def plain_image(document: Column, fields: Column, payload: T.StructType) -> Column:
+    """A document of extended JSON as the JSON text of the payload's fields, null where there is no document. ``fields`` is what it parses to."""
     values = [
         (_plain_time(fields[f.name]) if isinstance(f.dataType, T.TimestampNTZType)
          else _plain(fields[f.name], "$oid") if f.name == "_id" else fields[f.name]).alias(f.name)
@@ -60,15 +59,18 @@ def change_records(records: DataFrame, payload: T.StructType, since: int | None
     event = F.from_json("value", CHANGE_EVENT)
     rows = records.select(F.inline(F.array(event)), "part", "pos", "record_ms")
     time = F.from_json("clusterTime", "`$timestamp` struct<t: bigint, i: bigint>")["$timestamp"]
-    rows = rows.withColumn("time", time)
+    # Each document is parsed by the generator, once: what is asked of its fields under a condition would parse it once per field.
+    rows = rows.select("*", F.inline(F.array(F.struct(
+        time.alias("time"), *[F.from_json(text, as_text_times(payload)).alias(name)
+                              for name, text in (("was", "fullDocumentBeforeChange"), ("is", "fullDocument"))]))))
     kind = F.col("operationType")
     op = (F.when(kind == "insert", "c").when(kind.isin("update", "replace"), "u").when(kind == "delete", "d"))
     timed = F.col("time.t").isNotNull()
     framed = rows.where(kind.isin("insert", "update", "replace", "delete")).select(
         _plain(F.get_json_object("documentKey", "$._id"), "$oid").alias("_id"),
         op.alias("op"),
-        plain_image(F.col("fullDocumentBeforeChange"), payload).alias("before"),
-        plain_image(F.col("fullDocument"), payload).alias("after"),
+        plain_image(F.col("fullDocumentBeforeChange"), F.col("was"), payload).alias("before"),
+        plain_image(F.col("fullDocument"), F.col("is"), payload).alias("after"),
         F.when(kind == "update", F.get_json_object("updateDescription", "$.updatedFields")).alias("patch"),
         F.when(kind == "update", F.from_json(F.get_json_object("updateDescription", "$.removedFields"), "array<string>")).alias("removed"),
         F.when(timed, F.col("time.t") * 1000).otherwise(F.coalesce("record_ms", F.lit(BEFORE_ALL))).alias("ms"),
@@ -102,8 +104,10 @@ def typed_sides(changes: DataFrame, payloads: dict[str, T.StructType]) -> DataFr
     """Framed changes of several collections (``side``) to changelog rows with one struct per side; the other sides' are null."""
     before = F.coalesce("before", F.when(F.col("op") == "d", F.to_json(F.struct("_id"))))
     rows = images(changes.withColumn("before", before), keyed=True, also=("side",))
-    return rows.select("side", "row_kind", "seq", *[
-        F.when(F.col("side") == side, F.struct(*typed_fields(F.from_json("image", as_text_times(payload)), payload))).alias(side)
+    parsed = F.struct(*[F.when(F.col("side") == side, F.from_json("image", as_text_times(payload))).alias(f"{side}_image")
+                        for side, payload in payloads.items()])
+    return rows.select("side", "row_kind", "seq", F.inline(F.array(parsed))).select("side", "row_kind", "seq", *[
+        F.when(F.col("side") == side, F.struct(*typed_fields(F.col(f"{side}_image"), payload))).alias(side)
         for side, payload in payloads.items()])
 
 
