@@ -57,3 +57,11 @@ def test_a_document_is_parsed_once(spark):
     changes = change_records(frame(spark, [record(body, 1)]), schemas.READINGS)
     plan = changes._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"from_json\([^#]*fullDocument#", plan)) == 1
+
+
+def test_database_events_are_derived_on_all_cores(spark, tmp_path):
+    rows = spark.range(0, 100, numPartitions=1).selectExpr(
+        "id AS event_id", "timestamp'2024-01-01' AS ts", "id % 7 AS user_id", "'view' AS event_type", "1.0D AS value")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    events = views.device_change_events(spark, str(tmp_path))
+    assert events.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and events.count() == 100
