@@ -65,3 +65,32 @@ def test_database_events_are_derived_on_all_cores(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "events.parquet"))
     events = views.device_change_events(spark, str(tmp_path))
     assert events.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and events.count() == 100
+
+
+def test_join_state_holds_a_device_row_once_or_twice(spark, tmp_path):
+    """A hundred readings of one device, six hours apart, and its hundred images: state has at most two rows an image, and each pair is there once."""
+    from datetime import datetime, timedelta
+
+    from tidelog.operators import enrich
+    from tidelog.streaming.append_lake import enriched_stream
+
+    times = [datetime(2024, 1, 1) + timedelta(hours=6 * i) for i in range(100)]
+
+    def rows(schema, ids, name):
+        columns = [*schema.fieldNames()[1:]]
+        some = spark.createDataFrame([(f"{name}{i}", t) for i, t in zip(ids, times)], "mongo_id string, event_timestamp timestamp")
+        filled = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name in columns}
+        filled |= {"device_id": F.lit("hot")} | ({"reading_id": F.col("mongo_id")} if "reading_id" in columns else {})
+        some = some.withColumns(filled)
+        some.write.parquet(str(tmp_path / name))
+        return some, spark.readStream.schema(some.schema).parquet(str(tmp_path / name))
+
+    devices, device_stream = rows(schemas.DEVICES, range(100), "d")
+    readings, reading_stream = rows(schemas.READINGS, range(100), "r")
+    query = (enriched_stream(device_stream, reading_stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    ids = ["device_mongo_id", "reading_mongo_id"]
+    out = spark.read.parquet(str(tmp_path / "out")).select(*ids).collect()
+    assert sorted(out) == sorted(enrich.enrich_within(devices, readings).select(*ids).collect()) and len(out) == 100
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 300
