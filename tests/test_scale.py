@@ -94,3 +94,13 @@ def test_join_state_holds_a_device_row_once_or_twice(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out")).select(*ids).collect()
     assert sorted(out) == sorted(enrich.enrich_within(devices, readings).select(*ids).collect()) and len(out) == 100
     assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 300
+
+
+def test_late_run_decodes_its_devices_once(spark, monkeypatch):
+    from fixtures import SF
+    from tidelog.plans import stream_runs
+
+    calls, topic = [], views.device_topic
+    monkeypatch.setattr(views, "device_topic", lambda *a, **k: calls.append(k) or topic(*a, **k))
+    assert stream_runs.stream_late_readings(spark, SF).count() > 0
+    assert calls == [{"spread": True}]
