@@ -96,6 +96,19 @@ def test_join_state_holds_a_device_row_once_or_twice(spark, tmp_path):
     assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 300
 
 
+def test_an_empty_part_of_a_keyed_table_leaves_the_plan(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tidelog.sinks.change_table import ChangeTable, change_schema
+
+    table = ChangeTable(spark, str(tmp_path / "t"), change_schema(T.StructType([T.StructField("k", T.StringType())])), ["k"])
+    assert table.current().collect() == []
+    table.write_batch(spark.createDataFrame([("+I", None, "a")], table.schema), 0)
+    plan = table.changes()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "RDD" not in plan
+    assert [r.k for r in table.current().collect()] == ["a"]
+
+
 def test_late_run_decodes_its_devices_once(spark, monkeypatch):
     from fixtures import SF
     from tidelog.plans import stream_runs

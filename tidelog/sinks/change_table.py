@@ -160,17 +160,21 @@ class ChangeTable:
 
     def _read_batches(self, batches: list[int]) -> DataFrame:
         if not batches:
-            return self.spark.createDataFrame([], self.schema)
+            return self._nothing()
         reader = self.spark.read.schema(self.schema).option("basePath", f"{self.path}/batches")
         return reader.parquet(*map(self._batch_folder, batches)).select(*self.schema.fieldNames())
 
     def _read_merged(self, folders: list[str], buckets: list[int] | None) -> DataFrame:
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
+            return self._nothing()
         schema = self.schema if self.by_day else T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())])
         rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/merged").parquet(*folders)
         return (rows if buckets is None else rows.where(F.col("bucket").isin(buckets))).select(*self.schema.fieldNames())
 
+    def _nothing(self) -> DataFrame:
+        """No rows, in a form that the optimizer drops from a union; a list's rows would be asked of Python, task by task."""
+        return self.spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema])
+
     def _batch_folder(self, batch_id: int) -> str:
         return f"{self.path}/batches/batch_id={batch_id}"
 
