@@ -207,3 +207,23 @@ def test_url_model_on_labelled_addresses_it_has_not_seen(monkeypatch):
                 host, _, path = u.partition("/")
                 right.append((label, (urls.unwanted(host.removesuffix(".test") + ".com", f"/{path}", weights) >= 0.5) == label))
     assert np.mean([ok for label, ok in right if not label]) > 0.9 and np.mean([ok for label, ok in right if label]) > 0.6
+
+
+def test_vectors_up_to_a_bound_are_compared_block_by_block(spark, monkeypatch):
+    """1,600 vectors in several blocks: links and components are those of brute force, without a round of NN-descent; above the bound that runs."""
+    import numpy as np
+
+    from tidelog.llm import neighbours
+
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((400, 12))
+    m = np.repeat(centres, 4, axis=0) + 0.22 * rng.standard_normal((1600, 12))
+    data = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)] + [(1600, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    unit = m / np.linalg.norm(m, axis=1)[:, None]
+    expected = {i: int(n) - 1 for i, n in enumerate((unit @ unit.T >= 0.9).sum(1))} | {1600: 0}
+    assert sum(expected.values()) > 1000
+    rounds, join = [], neighbours._join_neighbours
+    monkeypatch.setattr(neighbours, "_join_neighbours", lambda *a, **k: rounds.append(1) or join(*a, **k))
+    assert {r.vec_id: r.n_links for r in neighbours.vector_links(data).collect()} == expected and not rounds
+    got = {r.vec_id: r.n_links for r in neighbours.vector_links(data, brute=0).collect()}
+    assert rounds and all(got[i] <= n for i, n in expected.items()) and sum(got.values()) >= 0.9 * sum(expected.values())
