@@ -14,9 +14,10 @@ import warnings
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from functools import lru_cache
+from dataclasses import dataclass
+from functools import lru_cache, reduce
 from itertools import combinations
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -38,20 +39,27 @@ def words_of(text: str | None) -> Counter:
 
     Letters spaced out are one word. Words of more than 24 characters count as overlapping pieces of 24."""
     text = (text or "").lower()
-    words: Counter = Counter()
+    words: dict[str, int] = {}
 
     def add(word: str, n: int) -> None:
         if len(word) > _LONGEST:
             for at in range(0, len(word) - _LONGEST // 2, _LONGEST // 2):
-                words[word[at:at + _LONGEST]] += n
+                piece = word[at:at + _LONGEST]
+                words[piece] = words.get(piece, 0) + n
         elif word:
-            words[word] += n
+            words[word] = words.get(word, 0) + n
 
     for raw, n in Counter(text.split()).items():
-        add(raw if raw.isalpha() else _INSIDE.sub("", _EDGES.sub("", raw)), n)
+        word = raw if raw.isalpha() else raw.strip(punctuation)
+        if not word.isalpha():
+            add(_INSIDE.sub("", _EDGES.sub("", word)), n)
+        elif len(word) > _LONGEST:
+            add(word, n)
+        else:  # most words
+            words[word] = words.get(word, 0) + n
     for found in _SPACED.findall(text):
         add(re.sub(r"[ .\-_*]", "", found), 1)
-    return words
+    return Counter(words)
 
 
 @lru_cache(maxsize=64)
@@ -61,14 +69,24 @@ def _places(length: int, decay: float) -> tuple[np.ndarray, np.ndarray]:
     return places, (decay ** (places[:, -1] - places[:, 0] + 1)).astype(np.float32)
 
 
+def _chars(words: list[str]) -> np.ndarray:
+    """Code points of words of one length, between their marks; one row per word."""
+    marked = "".join(f"^{w}$" for w in words)
+    return np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
+
+
 def _own_kernel(chars: np.ndarray, decay: float) -> np.ndarray:
     """The kernel of each word with itself; one row of characters per word, all of one length."""
     places, weight = _places(chars.shape[1], decay)
+    letters, ids = np.unique(chars, return_inverse=True)
+    ids = ids.reshape(chars.shape)
     code = np.zeros((len(chars), len(places)), np.int64)
     for k in range(ORDER):
-        code = (code << 21) + chars[:, places[:, k]]
-    order = np.argsort(code, axis=1, kind="stable")
-    code, flat = np.take_along_axis(code, order, 1), weight[order].ravel()
+        code = code * len(letters) + ids[:, places[:, k]]
+    # The place goes along in the lowest bits, so numbers are sorted, not their order.
+    bits = len(places).bit_length()
+    code = np.sort((code << bits) + np.arange(len(places)), axis=1)
+    code, flat = code >> bits, weight[code & ((1 << bits) - 1)].ravel()
     first = np.ones(code.shape, bool)
     first[:, 1:] = code[:, 1:] != code[:, :-1]
     starts = np.flatnonzero(first.ravel())
@@ -83,13 +101,11 @@ class WordKernel:
     landmarks: list[str]
     decay: float = 0.6
     power: int = 4
-    letters: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        for c in sorted({c for w in self.landmarks for c in f"^{w}$"}):
-            self.letters[c] = len(self.letters) + 1
+        self.letters = np.unique(np.concatenate([_chars([w]).ravel() for w in self.landmarks]))
         self.base = len(self.letters) + 1
-        codes = [self._codes(np.array([[self.letters[c] for c in f"^{w}$"]])) for w in self.landmarks]
+        codes = [self._codes(self._ids(_chars([w]))) for w in self.landmarks]
         known = np.unique(np.concatenate([c[0][0] for c in codes]))
         self.slot = np.zeros(self.base ** ORDER, np.int32)
         self.slot[known] = np.arange(1, len(known) + 1)
@@ -99,6 +115,11 @@ class WordKernel:
         self.matrix /= np.sqrt((self.matrix ** 2).sum(0))
         self.matrix[0] = 0
 
+    def _ids(self, chars: np.ndarray) -> np.ndarray:
+        """Characters as numbers from 1; 0 for those that no landmark has."""
+        at = np.searchsorted(self.letters, chars)
+        return np.where(self.letters[np.minimum(at, len(self.letters) - 1)] == chars, at + 1, 0)
+
     def _codes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         places, weight = _places(ids.shape[1], self.decay)
         code = np.zeros((len(ids), len(places)), np.int64)
@@ -113,18 +134,17 @@ class WordKernel:
         out = np.zeros((len(words), self.matrix.shape[1]), np.float32)
         by_length: dict[int, list[int]] = {}
         for i, w in enumerate(words):
-            by_length.setdefault(len(w) + 2, []).append(i)
-        for length, members in by_length.items():
+            by_length.setdefault(len(w), []).append(i)
+        for members in by_length.values():
             for at in range(0, len(members), 256):
                 part = members[at:at + 256]
-                marked = [f"^{words[i]}$" for i in part]
-                code, weight = self._codes(np.array([[self.letters.get(c, 0) for c in w] for w in marked]))
+                chars = _chars([words[i] for i in part])
+                code, weight = self._codes(self._ids(chars))
                 slots = self.slot[code]
-                cells = slots + np.arange(len(part))[:, None] * len(self.matrix)
-                bag = np.bincount(cells.ravel(), np.tile(weight, len(part)), len(part) * len(self.matrix))
-                total = bag.reshape(len(part), -1).astype(np.float32) @ self.matrix
-                own = np.sqrt(_own_kernel(np.array([[ord(c) for c in w] for w in marked]), self.decay))
-                out[part] = (total / own[:, None]) ** self.power
+                # A word has some seventy subsequences of the landmarks' thousands: only their rows are read.
+                total = np.concatenate([weight @ self.matrix.take(slots[k:k + 32], 0, mode="clip") for k in range(0, len(part), 32)])
+                cosine = total / np.sqrt(_own_kernel(chars, self.decay))[:, None]
+                out[part] = reduce(np.multiply, [cosine] * self.power)
         return out
 
 
@@ -178,12 +198,12 @@ class ToxicityModel:
 
     def features(self, counts: Counter, known: dict[str, float]) -> np.ndarray:
         """Of a document: its best words and how many, absolutely and relatively, score high."""
-        total = max(1, sum(counts.values()))
-        pairs = [(known[w], n) for w, n in counts.items()]
-        top = sorted((p for p in pairs if p[0] > self.over[0]), reverse=True)
+        total, least = max(1, sum(counts.values())), self.over[0]
+        scores = [known[w] for w in counts]
+        top = sorted(((s, n) for s, n in zip(scores, counts.values()) if s > least), reverse=True)
         best = [s for s, n in top for _ in range(min(n, 5))][:5]
         hits = [sum(n for s, n in top if s > over) for over in self.over]
-        return np.array([max((s for s, _ in pairs), default=0.0), sum(best) / 5, *np.log1p(hits), *np.log1p(1000 * np.array(hits) / total)])
+        return np.array([max(scores, default=0.0), sum(best) / 5, *np.log1p(hits), *np.log1p(1000 * np.array(hits) / total)])
 
     def scores(self, texts: list[str | None], known: dict[str, float], at_once: int = 200) -> list[float]:
         out: list[float] = []
