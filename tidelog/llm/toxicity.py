@@ -9,6 +9,7 @@ The subsequences of all landmarks are laid out as one matrix, so a word meets ev
 
 from __future__ import annotations
 
+import pickle
 import re
 import warnings
 import zlib
@@ -252,7 +253,8 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 128, decay: float
     tells the classes apart.
     """
     y = np.array(labels)
-    counts = [words_of(t) for t in texts]
+    one: dict[str, str] = {}  # a word is held once, not once per text
+    counts = [{one.setdefault(w, w): n for w, n in words_of(t).items()} for t in texts]
     if len({k for c, k in zip(counts, labels) if any(len(w) >= 2 for w in c)}) < 2:
         return _unusable("a class has no text with words")
     # Of rising share among toxic texts: a z-score of document frequencies, smoothed.
@@ -360,10 +362,27 @@ def fit_on(docs: DataFrame, labels: DataFrame, per_class: int = 1500, most_chars
     # At most 2 * per_class rows, by the limits above.
     sample = docs.select("doc_id", "text").where(F.length("text") <= most_chars).join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")
     # Of texts under one id the one with the least MD5.
-    rows = sample.groupBy("order").agg(F.min(F.struct(F.md5("text").alias("digest"), "text", "label")).alias("r")).select("order", "r.*").collect()
-    rows.sort(key=lambda r: r["order"])
+    rows = sample.groupBy("order").agg(F.min(F.struct(F.md5("text").alias("digest"), "text", "label")).alias("r")).select("order", "r.text", "r.label")
     prior = label.agg(F.avg("label").alias("p")).collect()[0]["p"]  # of all labelled rows, not of the balanced sample
-    return fit([r["text"] for r in rows], [r["label"] for r in rows], prior=prior, **how) if rows else None
+    fitted = rows.repartition(1).mapInPandas(_fit_in_task(prior, how), "model binary, said array<string>").collect()
+    for why in fitted[0]["said"] if fitted else []:
+        warnings.warn(why, stacklevel=2)
+    return pickle.loads(fitted[0]["model"]) if fitted else None
+
+
+def _fit_in_task(prior: float | None, how: dict):
+    """The fit takes some hundred MB beside the sample, which a task has and the driver needs for its plans; the model is 2 MB."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        rows = pd.concat(parts).sort_values("order")
+        with warnings.catch_warnings(record=True) as said:
+            warnings.simplefilter("always")
+            model = fit(rows["text"].tolist(), rows["label"].tolist(), prior=prior, **how)
+        yield pd.DataFrame({"model": [pickle.dumps(model)], "said": [[str(w.message) for w in said if w.category is UserWarning]]})
+
+    return run
 
 
 def held_out(doc_id):
