@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tidelog.llm import neighbours
+from tidelog.llm import neighbours, queries
 
 
 def _clusters(seed, n=1200, dims=20):
@@ -25,6 +25,27 @@ def _table(spark, m):
     return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
 
 
+def test_a_search_that_finds_next_to_nothing_loses_no_link(spark, monkeypatch):
+    """Above the bound the search is approximate; what it misses comes from the exact check."""
+    m = _clusters(21)
+    expected = _expected(m)
+    assert sum(n for n, _ in expected.values()) > 600
+    first = neighbours._first_graph
+    monkeypatch.setattr(neighbours, "_first_graph", lambda *a, **k: first(*a, **k).where("u % 2 = 0"))
+    monkeypatch.setattr(neighbours, "_join_neighbours", lambda graph, *a, **k: graph.select("u", "v", "cos", "near", *graph.columns[4:]).where("false"))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.vector_links(_table(spark, m), brute=0).collect()}
+    assert got == expected
+
+
+def test_op9_searches_at_every_size(spark, tmp_path, monkeypatch):
+    m = _clusters(22, 600)
+    _table(spark, m).write.parquet(f"{tmp_path}/embeddings.parquet")
+    rounds, join = [], neighbours._join_neighbours
+    monkeypatch.setattr(neighbours, "_join_neighbours", lambda *a, **k: rounds.append(1) or join(*a, **k))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in queries.op9_embedding_dedup(spark, str(tmp_path)).collect()}
+    assert got == _expected(m) and rounds
+
+
 @pytest.mark.parametrize("parts", [1, 5])
 def test_blocks_chunks_and_strips_hold_every_edge(spark, monkeypatch, parts):
     """Blocks of several chunks, met strip by strip, with radii and with vectors of two lengths."""
