@@ -101,11 +101,12 @@ def curriculum_mix(docs: DataFrame, epochs: int = 3, weights: tuple[int, ...] =
 
 
 def read_by_mix(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the mix reads, with all their columns, the words ``taken`` and the ``first_position``; one row each."""
+    """The rows of ``docs`` that the mix reads, one row each, range-sorted by the position they are first read at: all their columns, the words
+    ``taken``, the ``first_position`` and all ``placements`` (see ``curriculum_mix``), since a row may be read once per epoch."""
     mixed = stored(curriculum_mix(docs).select(
         F.col("doc_key").alias("__key"), F.col("row_hash").alias("__row"),
         F.aggregate("placements", F.lit(0).cast("long"), lambda n, p: n + p["taken"]).alias("taken"),
-        F.get("placements", F.lit(0))["position"].alias("first_position")), "mix")
+        F.get("placements", F.lit(0))["position"].alias("first_position"), "placements"), "mix")
     named = docs.select("*", *[c.alias(n) for c, n in zip(row_names(), ("__key", "__row"))])
     repeated = stored(mixed.groupBy("__key", "__row").count().where("count > 1").select("__key", "__row"), "repeated")
     ids = ["__key", "__row"]
@@ -116,7 +117,7 @@ def read_by_mix(docs: DataFrame) -> DataFrame:
             rows.join(repeated, ids, "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy(*ids).orderBy(F.col(by).asc_nulls_last())))
             for rows, by in ((named, "__row"), (mixed, "first_position"))]
         out = out.unionByName(numbered[0].join(numbered[1].where("taken > 0"), [*ids, "__n"]).drop("__n"))
-    return out.drop(*ids)
+    return out.drop(*ids).orderBy("first_position", "doc_id")
 
 
 def by_position(mixed: DataFrame) -> DataFrame:
